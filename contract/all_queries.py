@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contract import report_queries, row_queries  # noqa: F401
+from contract import load_queries, report_queries, row_queries  # noqa: F401
 from contract.adapters import AS_OF, normalized_like
 from contract.registry import ORACLES, QUERIES, plain
 from tidewatch.plans import analytics

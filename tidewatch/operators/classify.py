@@ -124,12 +124,13 @@ def with_category(
 ) -> DataFrame:
     """Add the four category columns.
 
-    Text, keyword and rules are computed in projections of their own, so each is evaluated once per row.
+    Text, keyword and rules are computed in projections of their own, so each is evaluated once per row. The columns
+    come out of a one-element ``inline``: a later filter on them stays above it, where otherwise Catalyst would move
+    the filter below the projections and repeat the whole computation inside the condition.
     """
     return (
         df.withColumn(BLOB, text_blob(actor1, actor2, place, url))
         .withColumn(KEYWORD, keyword_reason(BLOB))
-        .withColumn("_category", category(code, KEYWORD))
-        .select("*", "_category.*")
-        .drop(BLOB, KEYWORD, "_category")
+        .select("*", F.inline(F.array(category(code, KEYWORD))))
+        .drop(BLOB, KEYWORD)
     )

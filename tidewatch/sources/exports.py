@@ -82,14 +82,14 @@ def scan_export_zip(spark: SparkSession, paths: str | list[str], pattern: str =
     return rows_of_zips(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths))
 
 
-_QUOTED_FIELD = r'(?:^|\t)("(?:[^"]|"")*"[^\t]*|[^\t]*)'
+_QUOTED_FIELD = r'\t("(?:[^"]|"")*"[^\t]*|[^\t]*)'
 
 
 def split_line(line: ColumnOrName) -> Column:
     """Columns of one tab-separated line; quoted columns lose their quotes, doubled quotes become single."""
     line = col(line)
     quoted = F.transform(
-        F.regexp_extract_all(line, F.lit(_QUOTED_FIELD), 1),
+        F.regexp_extract_all(F.concat(F.lit("\t"), line), F.lit(_QUOTED_FIELD), 1),
         lambda f: F.when(
             f.startswith('"'), F.replace(F.regexp_replace(f, r'^"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"'))
         ).otherwise(f),
