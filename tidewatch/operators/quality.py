@@ -47,10 +47,14 @@ def _percent(count: str, total: str) -> Column:
 
 def quality_audit(validated: DataFrame, as_of: datetime | str, by: list[str] | None = None) -> DataFrame:
     """Percentages of surviving rows over all rows seen, one row in total or per group (such as per export)."""
-    grouped = validated.groupBy(*(by or []))
-    counts = grouped.agg(F.count("*").alias("total_events"), *quality_counters(~F.col("drop")))
+    counts = validated.groupBy(*(by or [])).agg(F.count("*").alias("total_events"), *quality_counters(~F.col("drop")))
+    return audit_rows(counts, as_of, by)
+
+
+def audit_rows(counts: DataFrame, as_of: datetime | str, by: list[str] | None = None) -> DataFrame:
+    """Audit rows from ``total_events`` and the three counters; other columns of ``by`` are kept."""
     return counts.select(
-        *(by or []),
+        *(by or [c for c in counts.columns if c in ("source", "export_time_utc")]),
         moment_literal(as_of).alias("run_timestamp"),
         "total_events",
         *[_percent(f"{name}_count", "total_events").alias(f"{name}_pct")

@@ -7,9 +7,12 @@ events already stored are not stored again, and a load that broke off is repeate
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import fixed_values as fv
@@ -17,9 +20,9 @@ from tidewatch.operators import ledger as lg
 from tidewatch.operators.dedupe import new_events
 from tidewatch.operators.normalize import normalize_events
 from tidewatch.operators.project import dropped_rows, normalized_rows, raw_rows
-from tidewatch.operators.quality import load_metrics, quality_audit
+from tidewatch.operators.quality import audit_rows, quality_counters
 from tidewatch.operators.validate import parse_error_drops, surviving, validate_and_clean, validation_drops
-from tidewatch.session import shared_folder, use_utc
+from tidewatch.session import remove_shared_folder, shared_folder, use_utc
 from tidewatch.sources.exports import (
     BINARY_FILE, discover_new, latest_export, list_exports, rows_of_zips, scan_export_tsv, with_export_metadata,
 )
@@ -45,17 +48,37 @@ def label_rows(rows: DataFrame, as_of: Moment, run_id: str, source: str = fv.SOU
     return validated.withColumn("outcome", outcome)
 
 
-def _metrics(labelled: DataFrame, accepted: DataFrame, as_of: Moment) -> DataFrame:
-    """Counters per export, from one small count per export and outcome on either side."""
-    keys = lg.CHECKPOINT_KEY
-    rows = labelled.filter("outcome <> 'file_error'").select(*keys, "outcome")
-    seen = load_metrics(rows, as_of, by=keys).drop("rows_inserted", "normalized_inserted", "rows_duplicated")
-    inserted = accepted.groupBy(*keys).agg(F.count("*").alias("rows_inserted"))
-    counted = seen.join(inserted, keys, "left").fillna(0, ["rows_inserted"])
-    duplicated = F.greatest(
-        F.col("rows_seen") - F.col("rows_inserted") - F.col("rows_dropped"), F.lit(0).cast("bigint")
+def _summary(labelled: DataFrame) -> DataFrame:
+    """Per export: rows by outcome, quality counters of the surviving rows and, if a file was unreadable, why."""
+    def rows(*labels: str) -> Column:
+        return F.count_if(F.col("outcome").isin(*labels))
+
+    return labelled.groupBy(*lg.CHECKPOINT_KEY).agg(
+        rows("candidate", "dropped").alias("rows_seen"),
+        rows("candidate").alias("_candidates"),
+        rows("dropped").alias("rows_dropped"),
+        rows("parse_error").alias("parse_errors"),
+        *quality_counters(F.col("outcome") == "candidate"),
+        F.min("file_error").alias("error_message"),
+    )
+
+
+def _counts(exports: DataFrame, summary: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Per readable export, empty ones included: the counters that the ledger and the audit record."""
+    inserted = accepted.groupBy(*lg.CHECKPOINT_KEY).agg(F.count("*").alias("rows_inserted"))
+    joined = (
+        exports.select(*lg.CHECKPOINT_KEY).distinct().join(summary, lg.CHECKPOINT_KEY, "left")
+        .filter("error_message is null").drop("error_message").join(inserted, lg.CHECKPOINT_KEY, "left").fillna(0)
     )
-    return counted.withColumns({"rows_duplicated": duplicated, "normalized_inserted": F.col("rows_inserted")})
+    duplicated = F.col("rows_seen") - F.col("rows_inserted") - F.col("rows_dropped")
+    return joined.withColumn("rows_duplicated", F.greatest(duplicated, F.lit(0).cast("bigint")))
+
+
+def _together(spark: SparkSession, *actions: Callable[[], None]) -> None:
+    """Run independent writes side by side, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]:
+            done.result()
 
 
 def load_rows(
@@ -70,57 +93,80 @@ def load_rows(
     """Load the rows of ``exports`` (``source``, ``export_time_utc``, ``export_url``, ``export_filename``).
 
     Order of writes: quarantine, raw, normalized and audit partitions first, the ledger's ``completed`` rows last, so a
-    completed export is always whole. Returns the counters per export.
+    completed export is always whole; an unreadable file fails its own export only. Validated rows, the accepted ones
+    among them and the counters are each written once to the shared folder and read from there, so that no later step
+    repeats the parsing and a lost executor costs a re-read. Returns the counters per export.
     """
     spark = use_utc(tables.spark)
     run_id = run_id or str(uuid.uuid4())
-    tables.append("ingestion_runs", lg.open_runs(spark.createDataFrame([(run_id,)], "id string"), as_of, trigger_mode))
-    checkpoints = lg.current(tables.read("export_checkpoints"))
-    tables.append("export_checkpoints", lg.new_checkpoints(checkpoints, exports, as_of))
-    tables.append("export_checkpoints", lg.claimed(_of(tables, exports), as_of))
-
-    staging = shared_folder(spark, "staged-rows")
-    label_rows(rows, as_of, run_id, source).write.parquet(staging)
-    labelled = spark.read.parquet(staging)
-
-    broken = (
-        labelled.filter("outcome = 'file_error'").groupBy(*lg.CHECKPOINT_KEY)
-        .agg(F.min("file_error").alias("error_message"))
+    before = lg.current(tables.read("export_checkpoints"))
+    opened = lg.open_runs(spark.createDataFrame([(run_id,)], "id string"), as_of, trigger_mode)
+    fresh = lg.new_checkpoints(before, exports, as_of)
+    mine = before.join(exports.select(*lg.CHECKPOINT_KEY), lg.CHECKPOINT_KEY, "left_semi").unionByName(fresh)
+    _together(
+        spark,
+        lambda: tables.append("ingestion_runs", opened),
+        lambda: tables.append("export_checkpoints", fresh.unionByName(lg.claimed(mine, as_of))),
     )
-    usable = labelled.join(broken.select(*lg.CHECKPOINT_KEY), lg.CHECKPOINT_KEY, "left_anti")
-    candidates = surviving(usable.filter("outcome = 'candidate'"))
+    try:
+        return _load_claimed(tables, rows, exports, as_of, run_id, source)
+    except Exception as error:
+        _record_failure(tables, exports, as_of, run_id, str(error) or "load failed")
+        raise
+
+
+def _record_failure(tables: EventTables, exports: DataFrame, as_of: Moment, run_id: str, message: str) -> None:
+    """Mark the run and its exports failed, so that the next load takes them up again."""
+    errors = exports.select(*lg.CHECKPOINT_KEY, F.lit(message).alias("error_message"))
+    tables.append("export_checkpoints", lg.failed(_of(tables, exports), errors))
+    fields = "id string, status string, error_summary string, finished boolean"
+    patch = tables.spark.createDataFrame([(run_id, "failed", message, True)], fields)
+    tables.append("ingestion_runs", lg.run_patches(patch, as_of))
+
+
+def _load_claimed(
+    tables: EventTables, rows: DataFrame, exports: DataFrame, as_of: Moment, run_id: str, source: str
+) -> DataFrame:
+    spark = tables.spark
+    staged: list[str] = []
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        staged.append(shared_folder(spark, name))
+        df.write.parquet(staged[-1])
+        return spark.read.parquet(staged[-1])
+
+    labelled = stage("staged-rows", label_rows(rows, as_of, run_id, source))
+    summary = stage("staged-counts", _summary(labelled))
+    broken = summary.filter("error_message is not null").select(*lg.CHECKPOINT_KEY, "error_message")
+    usable = labelled
+    if not broken.isEmpty():
+        usable = labelled.join(broken.select(*lg.CHECKPOINT_KEY), lg.CHECKPOINT_KEY, "left_anti")
     own = exports.select(export_key().alias(EXPORT_KEY), F.to_date("export_time_utc").alias("export_date")).distinct()
     history = tables.read("raw_events").join(own, ["export_date", EXPORT_KEY], "left_anti")
-    batch_rows = labelled.filter("outcome = 'candidate'").count()
-
-    accepted_folder = shared_folder(spark, "accepted-rows")
-    new_events(candidates, history, batch_rows=batch_rows).write.parquet(accepted_folder)
-    accepted = spark.read.parquet(accepted_folder)
+    batch_rows = summary.agg(F.coalesce(F.sum("_candidates"), F.lit(0)).alias("n")).first()["n"]
+    candidates = surviving(usable.filter("outcome = 'candidate'"))
+    accepted = stage("accepted-rows", new_events(candidates, history, batch_rows=batch_rows))
+    counts = stage("load-counts", _counts(exports, summary, accepted))
 
     rejected = parse_error_drops(usable.filter("outcome = 'parse_error'"), source).unionByName(
         validation_drops(usable.filter("outcome = 'dropped'"))
     )
-    tables.publish("dropped_events", dropped_rows(rejected, as_of))
-    tables.publish("raw_events", raw_rows(accepted, as_of))
-    tables.publish("normalized_events", normalized_rows(accepted, as_of))
-    audit_rows = usable.filter("outcome in ('candidate', 'dropped')")
-    tables.publish("data_quality_audit", quality_audit(audit_rows, as_of, by=["export_time_utc"]))
-
-    metrics = _metrics(usable, accepted, as_of)
-    seen = labelled.select(*lg.CHECKPOINT_KEY).distinct()
-    empty = exports.dropDuplicates(lg.CHECKPOINT_KEY).join(seen, lg.CHECKPOINT_KEY, "left_anti")
-    counts = metrics.unionByName(empty.select(
-        *lg.CHECKPOINT_KEY, *[F.lit(0).cast("bigint").alias(c) for c in metrics.columns if c not in lg.CHECKPOINT_KEY]
-    ))
+    _together(
+        spark,
+        lambda: tables.publish("dropped_events", dropped_rows(rejected, as_of)),
+        lambda: tables.publish("raw_events", raw_rows(accepted, as_of)),
+        lambda: tables.publish("normalized_events", normalized_rows(accepted, as_of)),
+        lambda: tables.publish("data_quality_audit", audit_rows(counts.withColumnRenamed("rows_seen", "total_events"), as_of)),
+    )
     claimed = _of(tables, exports)
     changes = lg.completed(claimed, counts, as_of).unionByName(lg.failed(claimed, broken))
     tables.append("export_checkpoints", changes)
-    outcome = counts.agg(
+    totals = counts.agg(
         F.count("*").cast("int").alias("exports_completed"),
         F.coalesce(F.sum("rows_inserted"), F.lit(0)).alias("events_inserted"),
         F.coalesce(F.sum("rows_duplicated"), F.lit(0)).alias("events_duplicated"),
     ).crossJoin(broken.agg(F.count("*").cast("int").alias("_broken"), F.max("error_message").alias("error_summary")))
-    patch = outcome.select(
+    patch = totals.select(
         F.lit(run_id).alias("id"),
         F.when(F.col("_broken") > 0, "failed").otherwise("completed").alias("status"),
         (F.col("exports_completed") + F.col("_broken")).alias("exports_seen"),
@@ -128,6 +174,8 @@ def load_rows(
         F.lit(True).alias("finished"),
     )
     tables.append("ingestion_runs", lg.run_patches(patch, as_of))
+    for folder in staged[:-1]:  # all but the counters, which are returned
+        remove_shared_folder(spark, folder)
     return counts
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,5 +46,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism or os.cpu_count() or 1)
+def remove_shared_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder made by :func:`shared_folder` once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
