@@ -19,9 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def base(spark: SparkSession, sf_dir: str, arrange=lambda events: events) -> DataFrame:
     """Events with their customer, nation and region."""
-    e, c = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer")
+    e, c = arrange(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer")
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
         e.join(c, e.user_id == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
@@ -91,9 +91,15 @@ _SPARK_DIALECT = {"text": "STRING", "day": "date_format(ts, 'yyyyMMdd')", "secon
 _DUCKDB_DIALECT = {"text": "VARCHAR", "day": "strftime(ts, '%Y%m%d')", "second": "strftime(ts, '%Y%m%d%H%M%S')"}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the scan has fewer splits than cores; a large input has more and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "event_id")
+
+
 def raw_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty parsed rows: 13 texts, one export per day, file order by event id."""
-    rows = base(spark, sf_dir).withColumn("m", F.col("event_id"))
+    rows = base(spark, sf_dir, spread).withColumn("m", F.col("event_id"))
     day = F.date_format(F.col("ts"), "yyyyMMdd")
     return rows.select(
         "event_id",

@@ -213,7 +213,7 @@ def _lookup_dimension(spark, sf):
 
 def _blobs(spark, sf):
     blob = text.text_blob("Actor1Name", "Actor2Name", "ActionGeo_FullName", "SOURCEURL")
-    return raw_like(spark, sf).withColumn("blob", blob)
+    return raw_like(spark, sf).withColumn("blob", blob).withColumn("keyword", classify.keyword_reason("blob"))
 
 
 def _category_query(key: str, reason: str, struct) -> None:
@@ -235,7 +235,7 @@ _category_query("detect_crisis", q.CRISIS_REASON, lambda: classify.detect_crisis
 _category_query("root_category", q.ROOT_REASON, lambda: classify.detect_root("EventCode"))
 _category_query("categorize_event",
                 f"coalesce({q.CYBER_REASON}, {q.CRISIS_REASON}, {q.ROOT_REASON}, '{fv.FALLBACK_REASON}')",
-                lambda: classify.category("EventCode", classify.keyword_reason("blob")))
+                lambda: classify.category("EventCode", "keyword"))
 
 _NORM_COLUMNS = ["event_id", "source", "export_time_utc", "export_url", "ingestion_run_id", "dedupe_key", "global_event_id",
                  "sql_date", "event_time_utc", "actor1_name", "actor2_name", "event_code", "action_geo_full_name",
