@@ -191,3 +191,25 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     plan = dedupe.new_events(rows)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert one(dedupe.new_events(rows)).n == 0
+
+
+def test_id_range_keeps_every_possible_duplicate(spark, tables, tmp_path):
+    landing = tmp_path / "landing"
+    same = {"GLOBALEVENTID": "", "Actor1Name": "No id"}
+    write_export(landing, A, [line(GLOBALEVENTID=i) for i in ("5", "007", "900")] + [line(**same)])
+    load_landing(spark, tables, str(landing), AS_OF)
+    write_export(landing, B, [line(GLOBALEVENTID="7"), line(GLOBALEVENTID="8"), line(**same)])
+    write_export(landing, C, [line(**same)])
+    load_landing(spark, tables, str(landing), AS_OF)
+    ids = sorted(r.global_event_id or 0 for r in tables.read("raw_events").collect())
+    assert ids == [0, 5, 7, 8, 900]
+
+
+def test_history_scan_prunes_own_exports_and_ids(spark, tables, tmp_path):
+    write_export(tmp_path / "z", A, [line(GLOBALEVENTID="1")])
+    load_landing(spark, tables, str(tmp_path / "z"), AS_OF)
+    history = dedupe.same_id_range(tables.read("raw_events").filter(~F.col("export_key").isin([B])), 5, 9)
+    plan = history.select("source", "dedupe_key")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "GreaterThanOrEqual(global_event_id,5)" in pushed and "IsNull(global_event_id)" in pushed
+    assert "export_key" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]

@@ -26,20 +26,39 @@ def rank_per_key(df: DataFrame, keys: list[str], order: list[Column | str], name
     return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
 
 
-def not_stored(batch: DataFrame, history: DataFrame, keys: list[str], batch_rows: int | None = None) -> DataFrame:
+def not_stored(
+    batch: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    batch_rows: int | None = None,
+    batch_keys: DataFrame | None = None,
+) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``history``.
 
-    A batch known to be small is turned around: its keys are broadcast to the history scan, which then keeps only
+    A batch counted to be small is turned around: its keys are broadcast to the history scan, which then keeps only
     the few keys that collide, and history is not shuffled at all. Without a known small size both sides are
-    hash-partitioned on the key.
+    hash-partitioned on the key. ``batch_keys`` may give a cheaper frame with the same keys.
     """
     stored = history.select(*keys)
     if batch_rows is not None and batch_rows <= BROADCAST_KEY_LIMIT:
-        colliding = stored.join(F.broadcast(batch.select(*keys)), keys, "left_semi").distinct()
+        sought = (batch if batch_keys is None else batch_keys).select(*keys)
+        colliding = stored.join(F.broadcast(sought), keys, "left_semi").distinct()
         return batch.join(colliding, keys, "left_anti")
     return batch.join(stored, keys, "left_anti")
 
 
+def same_id_range(history: DataFrame, lowest: int | None, highest: int | None) -> DataFrame:
+    """History rows that can share a key with events whose ids lie in the given range, or with events without an id.
+
+    A key made from an id can only equal a key of that same id. Ids grow with time, so the range skips nearly all row
+    groups of the stored table by their statistics.
+    """
+    without_id = F.col("global_event_id").isNull()
+    if lowest is None or highest is None:
+        return history.filter(without_id)
+    return history.filter(without_id | F.col("global_event_id").between(lowest, highest))
+
+
 def new_events(
     batch: DataFrame,
     history: DataFrame | None = None,
@@ -50,7 +69,7 @@ def new_events(
     """Events to append: first occurrence within the batch, and not loaded before."""
     keys = keys or EVENT_KEY
     first = first_per_key(batch, keys, order or ARRIVAL)
-    return first if history is None else not_stored(first, history, keys, batch_rows)
+    return first if history is None else not_stored(first, history, keys, batch_rows, batch)
 
 
 def inserted_only(rows: DataFrame, inserted: DataFrame, keys: list[str] | None = None) -> DataFrame:

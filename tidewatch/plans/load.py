@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import fixed_values as fv
 from tidewatch.operators import ledger as lg
-from tidewatch.operators.dedupe import new_events
+from tidewatch.operators.dedupe import new_events, same_id_range
 from tidewatch.operators.normalize import normalize_events
 from tidewatch.operators.project import dropped_rows, normalized_rows, raw_rows
 from tidewatch.operators.quality import audit_rows, quality_counters
@@ -53,11 +53,14 @@ def _summary(labelled: DataFrame) -> DataFrame:
     def rows(*labels: str) -> Column:
         return F.count_if(F.col("outcome").isin(*labels))
 
+    candidate_id = F.when(F.col("outcome") == "candidate", F.col("global_event_id"))
     return labelled.groupBy(*lg.CHECKPOINT_KEY).agg(
         rows("candidate", "dropped").alias("rows_seen"),
         rows("candidate").alias("_candidates"),
         rows("dropped").alias("rows_dropped"),
         rows("parse_error").alias("parse_errors"),
+        F.min(candidate_id).alias("_lowest_id"),
+        F.max(candidate_id).alias("_highest_id"),
         *quality_counters(F.col("outcome") == "candidate"),
         F.min("file_error").alias("error_message"),
     )
@@ -141,9 +144,11 @@ def _load_claimed(
     usable = labelled
     if not broken.isEmpty():
         usable = labelled.join(broken.select(*lg.CHECKPOINT_KEY), lg.CHECKPOINT_KEY, "left_anti")
-    own = exports.select(export_key().alias(EXPORT_KEY), F.to_date("export_time_utc").alias("export_date")).distinct()
-    history = tables.read("raw_events").join(own, ["export_date", EXPORT_KEY], "left_anti")
-    batch_rows = summary.agg(F.coalesce(F.sum("_candidates"), F.lit(0)).alias("n")).first()["n"]
+    # As constants, the keys of this load's own exports (a bounded number) exclude their partitions without a join.
+    own = [row[0] for row in exports.select(export_key()).distinct().collect()]
+    known = summary.agg(F.coalesce(F.sum("_candidates"), F.lit(0)).alias("rows"), F.min("_lowest_id"), F.max("_highest_id"))
+    batch_rows, lowest, highest = known.first()
+    history = same_id_range(tables.read("raw_events").filter(~F.col(EXPORT_KEY).isin(own)), lowest, highest)
     candidates = surviving(usable.filter("outcome = 'candidate'"))
     accepted = stage("accepted-rows", new_events(candidates, history, batch_rows=batch_rows))
     counts = stage("load-counts", _counts(exports, summary, accepted))

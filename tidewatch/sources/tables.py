@@ -61,8 +61,9 @@ class EventTables:
         return events if since_date is None else events.filter(F.col("event_date") >= F.lit(since_date).cast("date"))
 
     def append(self, name: str, df: DataFrame) -> None:
+        """Add log or snapshot rows, a few per export or group, as one file."""
         fields, _ = _TABLES[name]
-        df.select(*fields.names).write.mode("append").parquet(self.path(name))
+        df.select(*fields.names).repartition(1).write.mode("append").parquet(self.path(name))
 
     def publish(self, name: str, df: DataFrame) -> None:
         """Write whole exports: each replaces the partitions it owns and no others.
