@@ -66,7 +66,8 @@ def coverage(raw: DataFrame, normalized: DataFrame) -> DataFrame:
 
     left = summary(raw, "action_geo_country_code", "total_raw", "raw_valid_country")
     right = summary(normalized, "country_code", "total_norm", "norm_valid_country")
-    return left.crossJoin(right)  # one row each
+    both = left.unionByName(right, allowMissingColumns=True)  # one row each, side by side without a join
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])
 
 
 def canonicalize_codes(normalized: DataFrame) -> DataFrame:

@@ -166,11 +166,16 @@ def _load_claimed(
     claimed = _of(tables, exports)
     changes = lg.completed(claimed, counts, as_of).unionByName(lg.failed(claimed, broken))
     tables.append("export_checkpoints", changes)
-    totals = counts.agg(
-        F.count("*").cast("int").alias("exports_completed"),
-        F.coalesce(F.sum("rows_inserted"), F.lit(0)).alias("events_inserted"),
-        F.coalesce(F.sum("rows_duplicated"), F.lit(0)).alias("events_duplicated"),
-    ).crossJoin(broken.agg(F.count("*").cast("int").alias("_broken"), F.max("error_message").alias("error_summary")))
+    zero = F.lit(0).cast("bigint")
+    outcomes = counts.select("rows_inserted", "rows_duplicated", F.lit(None).cast("string").alias("error_message"))
+    failures = broken.select(zero.alias("rows_inserted"), zero.alias("rows_duplicated"), "error_message")
+    totals = outcomes.unionByName(failures).agg(
+        F.count_if(F.col("error_message").isNull()).cast("int").alias("exports_completed"),
+        F.count("error_message").cast("int").alias("_broken"),
+        F.coalesce(F.sum("rows_inserted"), zero).alias("events_inserted"),
+        F.coalesce(F.sum("rows_duplicated"), zero).alias("events_duplicated"),
+        F.max("error_message").alias("error_summary"),
+    )
     patch = totals.select(
         F.lit(run_id).alias("id"),
         F.when(F.col("_broken") > 0, "failed").otherwise("completed").alias("status"),
