@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import groups_for, shuffle_partitions, text_bytes
+from tidewatch.llm.common import groups_for, text_bytes
 from tidewatch.llm.tokens import PieceEncoder, slices
 
 SEQUENCE = 4096
@@ -105,7 +105,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, seed: int = 42) -> DataFrame:
     """All pieces of all documents with their ids (little-endian unsigned 32-bit)."""
-    groups = groups_for(text_bytes(docs), GROUP_BYTES, shuffle_partitions(docs.sparkSession))
+    groups = groups_for(text_bytes(docs), GROUP_BYTES, 1)
     key = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)), F.lit(groups)).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), key.alias("group_key"))
 

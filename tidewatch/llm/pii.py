@@ -51,11 +51,14 @@ def permuted(x: Column, a: Column, b: Column, purpose: str, key: str) -> Column:
         return F.conv(F.substring(keyed(value, f"{purpose}|{round_no}", key), 1, 12), 16, 10).cast("long") % modulus
 
     state = F.struct(_div(x, b).alias("l"), (x % b).alias("r"))
-    for i in range(ROUNDS):
-        if i % 2:
-            state = bind(state, lambda s, i=i: F.struct(s["l"].alias("l"), ((s["r"] + shift(s["l"], i, b)) % b).alias("r")))
-        else:
-            state = bind(state, lambda s, i=i: F.struct(((s["l"] + shift(s["r"], i, a)) % a).alias("l"), s["r"].alias("r")))
+    def move_left(i: int):
+        return lambda s: F.struct(((s["l"] + shift(s["r"], i, a)) % a).alias("l"), s["r"].alias("r"))
+
+    def move_right(i: int):
+        return lambda s: F.struct(s["l"].alias("l"), ((s["r"] + shift(s["l"], i, b)) % b).alias("r"))
+
+    for i in range(0, ROUNDS, 2):
+        state = bind(bind(state, move_left(i)), move_right(i + 1))
     return bind(state, lambda s: s["l"] * b + s["r"])
 
 
@@ -106,13 +109,11 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """Area and exchange start with 2 to 9, before and after; a leading country code stays."""
+    """The ten national digits are permuted; a leading country code stays. The pattern's layout is the validation."""
     def of(d: Column) -> Column:
-        national = F.substring(d, -10, 10)
-        area, rest = F.substring(national, 1, 3).cast("long"), F.substring(national, 4, 7).cast("long")
-        new = permuted((area - 200) * 8_000_000 + (rest - 2_000_000), F.lit(800).cast("long"), F.lit(8_000_000).cast("long"), "phone", key)
-        text = bind(new, lambda n: F.concat(F.substring(d, F.lit(1), F.length(d) - 10), _padded(_div(n, F.lit(8_000_000)) + 200, 3), _padded(n % 8_000_000 + 2_000_000, 7)))
-        return F.when((area >= 200) & (rest >= 2_000_000), _fill(m, text))
+        half = F.lit(100_000).cast("long")
+        new = permuted(F.substring(d, -10, 10).cast("long"), half, half, "phone", key)
+        return _fill(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), _padded(new, 10)))
 
     return bind(_digits(m), of)
 
@@ -199,7 +200,8 @@ def pseudonymised(docs: DataFrame, result: str, key: str = KEY) -> DataFrame:
         F.split(text, ANY, -1), F.zip_with(matches, made, lambda m, r: F.coalesce(r["text"], m)),
         lambda p, m: F.concat(p, F.coalesce(m, F.lit(""))))
     valid = F.filter(made, lambda r: r["text"].isNotNull())
-    counts = F.struct(*[F.size(F.filter(valid, lambda r, kind=kind: r["kind"] == kind)).cast("long").alias(kind) for kind in KINDS])
+    kinds = F.transform(valid, lambda r: r["kind"])
+    counts = F.struct(*[(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(kind) for kind in KINDS])
     out = F.when(F.size(matches) > 0, F.array_join(pieces, "")).otherwise(text)
     columns = [out.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     return rows.select(*columns, counts.alias(result))
