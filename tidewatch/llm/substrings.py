@@ -21,10 +21,12 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,7 +111,7 @@ def _grouped(docs: np.ndarray, hashes: np.ndarray, buckets, settled: bool):
         cuts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else np.zeros(0, int)
         parts = [(-1 - int(docs[a]) % SETTLED, int(docs[a]), hashes[a:b].tobytes()) for a, b in zip(cuts, np.r_[cuts[1:], len(docs)], strict=True)] if len(docs) else []
     else:
-        order = np.argsort(buckets, kind="stable")
+        order = np.lexsort((docs, buckets))  # runs of equal documents compress well
         buckets, docs, hashes = buckets[order], docs[order], hashes[order]
         cuts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(buckets) else np.zeros(0, int)
         parts = [(int(buckets[a]), None, docs[a:b].tobytes() + hashes[a:b].tobytes()) for a, b in zip(cuts, np.r_[cuts[1:], len(buckets)], strict=True)]
@@ -134,7 +136,7 @@ def _combined(docs: np.ndarray, hashes: np.ndarray, buckets: int, own_too: bool)
     yield _grouped(docs[new], hashes[new], ((first >> np.uint64(17)) % np.uint64(buckets)).astype(np.int64), False)
 
 
-def _collecting(make, width: int, buckets: int, own_too: bool):
+def _collecting(make, buckets: int, own_too: bool):
     """Task over batches: collect (documents, hashes) up to a bound, then combine and send."""
 
     def run(batches):
@@ -200,30 +202,43 @@ def _flagged(known, width: int) -> np.ndarray:
     return data if width == 1 else data.reshape(-1, 2)
 
 
-def _candidates(text, known) -> np.ndarray:
-    """Starts of the windows around the flagged anchors of a text."""
-    h = word_hashes(_words(text))
-    places = cover_places(len(h))
-    return h, _around(places[np.isin(anchors(h, places), _flagged(known, 1))], len(h))
+def packed_text(text: str | None) -> bytes | None:
+    return None if text is None else zstandard.ZstdCompressor(level=3).compress(text.encode("utf-8", "surrogatepass"))
+
 
+def unpacked_words(data: bytes | None) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split() if data else []
 
-def _anchors_of(text) -> np.ndarray:
+
+def _anchors_of(text: str | None) -> np.ndarray:
     h = word_hashes(_words(text))
     return np.unique(anchors(h, cover_places(len(h))))
 
 
-def _windows_of(text, known) -> np.ndarray:
-    h, starts = _candidates(text, known)
-    return window_hashes(h, starts)
+def _marks(words: list[bytes], known) -> bytes:
+    """A bitmap of the starts of windows around the flagged anchors; empty if there are none."""
+    h = word_hashes(words)
+    places = cover_places(len(h))
+    starts = _around(places[np.isin(anchors(h, places), _flagged(known, 1))], len(h))
+    marked = np.zeros(len(h), bool)
+    marked[starts] = True
+    return zlib.compress(np.packbits(marked).tobytes(), 1) if len(starts) else b""
+
+
+def _marked_windows(words: list[bytes], marks: bytes) -> tuple[np.ndarray, np.ndarray]:
+    starts = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(marks), np.uint8), count=len(words)))
+    return starts, window_hashes(word_hashes(words), starts)
+
 
+def _windows_of(data: bytes | None, marks: bytes) -> np.ndarray:
+    return _marked_windows(unpacked_words(data), marks)[1]
 
-def _kept(text: str | None, known, repeated) -> tuple[int, int, str, str]:
-    words = _words(text)
+
+def _kept(words: list[bytes], marks=None, repeated=None) -> tuple[int, int, str, str]:
     covered = np.zeros(len(words), bool)
     if repeated:
-        h, starts = _candidates(text, known)
-        mine, flagged = window_hashes(h, starts), _flagged(repeated, 2)
-        hit = starts[np.isin(mine.view("V16").ravel(), flagged.view("V16").ravel())] if len(starts) else starts
+        starts, mine = _marked_windows(words, marks)
+        hit = starts[np.isin(mine.view("V16").ravel(), _flagged(repeated, 2).view("V16").ravel())]
         edges = np.zeros(len(words) + 1, np.int64)
         np.add.at(edges, hit, 1)
         np.add.at(edges, hit + WINDOW, -1)
@@ -237,21 +252,40 @@ RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_te
 NAMES = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
 
 
-def _finishing(with_text: bool, pending: bool):
-    """Task that ends a document's work. With ``pending`` a document with flagged anchors keeps text and anchors instead."""
+def _pack(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([packed_text(t) for t in part.column(1).to_pylist()], pa.binary())], names=["doc_id", "data"])
+
+
+def _results(ids, made, with_text: bool) -> list[pa.Array]:
+    return [pa.array(ids, pa.int64()), *(pa.array([m[i] if i < 3 or with_text else None for m in made], t) for i, t in enumerate(TYPES))]
+
+
+def _first_pass(with_text: bool):
+    """Task that ends the work on documents without a window to compare, and marks the windows of the others."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                ids, data, known = (c.to_pylist() for c in batch.slice(at, 256).columns)
+                words = [unpacked_words(x) for x in data]
+                marks = [_marks(w, k) if k else b"" for w, k in zip(words, known, strict=True)]
+                made = [(None,) * 4 if m else _kept(w) for w, m in zip(words, marks, strict=True)]
+                waiting = [pa.array([x if m else None for x, m in zip(column, marks, strict=True)], pa.binary()) for column in (data, marks)]
+                yield pa.RecordBatch.from_arrays([*_results(ids, made, with_text), *waiting], names=[*NAMES, "data", "marks"])
+
+    return run
+
 
+def _last_pass(with_text: bool):
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                rows = list(zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True))
-                waits = [pending and bool(row[2]) for row in rows]
-                made = [(None,) * 4 if wait else _kept(*row[1:], *[None] * (4 - len(row))) for wait, row in zip(waits, rows, strict=True)]
-                columns = [pa.array([row[0] for row in rows], pa.int64()), *(pa.array([m[i] if i < 3 or with_text else None for m in made], t) for i, t in enumerate(TYPES))]
-                names = list(NAMES)
-                if pending:
-                    columns += [pa.array([row[1] if w else None for w, row in zip(waits, rows, strict=True)], pa.string()), pa.array([row[2] if w else None for w, row in zip(waits, rows, strict=True)], pa.list_(pa.binary()))]
-                    names += ["text", "known"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                ids, data, marks, repeated = (c.to_pylist() for c in batch.slice(at, 256).columns)
+                made = [_kept(unpacked_words(x), m, r) for x, m, r in zip(data, marks, repeated, strict=True)]
+                yield pa.RecordBatch.from_arrays(_results(ids, made, with_text), names=NAMES)
 
     return run
 
@@ -259,18 +293,19 @@ def _finishing(with_text: bool, pending: bool):
 def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text`` (null unless asked for) of every document.
 
-    Texts are moved once, to meet their flagged anchors; those without any are done then, and only the others are staged.
+    Texts, compressed, are moved once to meet their flagged anchors; those without a window to compare are done then, and
+    only the others are staged and moved again.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = groups_for(text_bytes(rows), BUCKET_BYTES, shuffle_partitions(spark))
     key = F.coalesce("doc_id", F.lit(NULL_ID))
 
-    shared = _asked(rows.mapInArrow(_collecting(_anchors_of, 1, buckets, True), SENT), 1, True)
-    met = rows.join(shared, key == F.col("known_id"), "left").select("doc_id", "text", "known")
-    first = staged(met.mapInArrow(_finishing(with_text, True), RESULT + ", text string, known array<binary>"), "first-pass")
-    candidates = first.where("known IS NOT NULL").select("doc_id", "text", "known")
-    smaller = _asked(candidates.mapInArrow(_collecting(_windows_of, 2, buckets, False), SENT), 2, False)
+    shared = _asked(rows.mapInArrow(_collecting(_anchors_of, buckets, True), SENT), 1, True)
+    met = rows.mapInArrow(_pack, "doc_id long, data binary").join(shared, key == F.col("known_id"), "left").select("doc_id", "data", "known")
+    first = staged(met.mapInArrow(_first_pass(with_text), RESULT + ", data binary, marks binary"), "first-pass")
+    waiting = first.where("marks IS NOT NULL").select("doc_id", "data", "marks")
+    smaller = _asked(waiting.mapInArrow(_collecting(_windows_of, buckets, False), SENT), 2, False)
     smaller = smaller.select("known_id", F.col("known").alias("repeated"))
-    changed = candidates.join(smaller, key == F.col("known_id"), "left").select("doc_id", "text", "known", "repeated")
-    return first.where("known IS NULL").select(*NAMES).union(changed.mapInArrow(_finishing(with_text, False), RESULT))
+    changed = waiting.join(smaller, key == F.col("known_id"), "left").select("doc_id", "data", "marks", "repeated")
+    return first.where("marks IS NULL").select(*NAMES).union(changed.mapInArrow(_last_pass(with_text), RESULT))
