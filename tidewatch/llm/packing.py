@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import groups_for, text_bytes
-from tidewatch.llm.tokens import PieceEncoder, slices
+from tidewatch.llm.tokens import encoder, slices
 
 SEQUENCE = 4096
 GROUP_BYTES = 4_000_000
@@ -92,7 +92,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """``doc_id``, ``group_key`` and ids with the end id, as unsigned 16-bit integers (the vocabulary is smaller)."""
 
     def encode(batches):
-        coder = PieceEncoder(tokenizer_path, leading_space=False)
+        coder = encoder(tokenizer_path, leading_space=False)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts):

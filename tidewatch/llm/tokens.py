@@ -8,11 +8,12 @@ text; tests compare both. A text with other runs of spaces is encoded as it is w
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that a task remembers; then it forgets all. Bounds memory, not results.
-REMEMBERED = 400_000
+#: Pieces that a worker learns before it forgets those not met since it last did so. Bounds memory, not results.
+REMEMBERED = 500_000
 
 
 class PieceEncoder:
@@ -27,6 +28,7 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True  # control strings inside a text are ordinary text
         self.leading_space = leading_space
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> list[str]:
         pieces = text.split(" ")
@@ -39,17 +41,26 @@ class PieceEncoder:
     def _learn(self, pieces: list[str]) -> None:
         for at in range(0, len(pieces), 4096):
             part = pieces[at : at + 4096]
-            for piece, coded in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            for piece, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[piece] = np.array(coded.ids, dtype="<u4").tobytes()
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         cut = [self._pieces(t) if t else [] for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self._learn(list({p for pieces in cut for p in pieces}.difference(self.known)))
+            self.known, self.older = {}, self.known
+        new = {p for pieces in cut for p in pieces}.difference(self.known)
+        met = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in met)
+        self._learn(list(new - met))
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
 
 
+@lru_cache(maxsize=4)
+def encoder(path: str, leading_space: bool) -> PieceEncoder:
+    """A worker's encoder, kept from task to task with what it has learned."""
+    return PieceEncoder(path, leading_space)
+
+
 def slices(texts: list[str | None], limit: int = 2_000_000):
     """Index ranges of consecutive texts of about ``limit`` characters, a longer text alone."""
     start = size = 0

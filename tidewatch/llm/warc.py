@@ -163,7 +163,7 @@ def normalise(files: DataFrame, source: str, target: str) -> DataFrame:
                 columns = [pa.array([archive] * len(entries), pa.string()), pa.array([e[0] for e in entries], pa.int64()), pa.array([e[1] for e in entries], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["archive", "offset", "length"])
 
-    return staged(files.select("file").repartition(F.col("file")).mapInArrow(rewrite, INDEX), "warc-index")
+    return staged(files.select("file").repartition(shuffle_partitions(files.sparkSession), F.col("file")).mapInArrow(rewrite, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import open_folder, staged, write_whole
-from tidewatch.llm.tokens import PieceEncoder, slices
+from tidewatch.llm.common import open_folder, shuffle_partitions, staged, write_whole
+from tidewatch.llm.tokens import encoder, slices
 from tidewatch.session import shared_folder
 
 MAGIC = b"TWWM0001"
@@ -160,7 +160,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     """Encode and write all documents; returns the table of files (``MANIFEST``), written once."""
 
     def write(batches):
-        coder, ids, doc_ids, lengths, size = PieceEncoder(tokenizer_path, leading_space=True), [], [], [], 0
+        coder, ids, doc_ids, lengths, size = encoder(tokenizer_path, leading_space=True), [], [], [], 0
         end = np.array([end_id], "<u4").tobytes()
 
         def flush() -> pa.RecordBatch:
@@ -213,7 +213,7 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                     [pa.array(doc_ids, pa.int64()), pa.array(starts + start, pa.int64()), pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return placed.repartition(F.col("file")).mapInArrow(read, READ)
+    return placed.repartition(shuffle_partitions(manifest.sparkSession), F.col("file")).mapInArrow(read, READ)
 
 
 def token_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
