@@ -85,7 +85,7 @@ _RAW_FIELDS = {
     "AvgTone": "CASE m % 9 WHEN 0 THEN '' WHEN 1 THEN '25.5' WHEN 2 THEN '-31' WHEN 3 THEN 'bad' "
                "ELSE CAST(k % 41 - 20 AS {text}) || '.25' END",
     "SOURCEURL": "CASE m % 29 WHEN 0 THEN 'https://example.com/ransomware-attack' "
-                 "WHEN 1 THEN 'https://example.com/cyber-attack-report' ELSE 'https://example.com/' || m END",
+                 "WHEN 1 THEN 'https://example.com/notes/cyber-attack' ELSE 'https://example.com/' || m END",
 }
 _SPARK_DIALECT = {"text": "STRING", "day": "date_format(ts, 'yyyyMMdd')", "second": "date_format(ts, 'yyyyMMddHHmmss')"}
 _DUCKDB_DIALECT = {"text": "VARCHAR", "day": "strftime(ts, '%Y%m%d')", "second": "strftime(ts, '%Y%m%d%H%M%S')"}

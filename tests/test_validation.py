@@ -21,8 +21,8 @@ def validated(spark, **changes):
 def test_clean_event(spark):
     row = one(validated(spark))
     assert row.quality_flags == [] and not row["drop"]
-    assert (row.action_geo_country_code, row.country_name, row.primary_category) == ("USA", "United States", "conflict")
-    assert (row.action_geo_lat, row.avg_tone, row.goldstein_score) == (Decimal("38.907200"), Decimal("-2.500"), Decimal("-3.500"))
+    assert (row.action_geo_country_code, row.country_name, row.primary_category) == ("NOR", "Norway", "conflict")
+    assert (row.action_geo_lat, row.avg_tone, row.goldstein_score) == (Decimal("69.649200"), Decimal("-4.750"), Decimal("-6.250"))
     assert row.event_time_utc == datetime(2026, 3, 26, 0, 15)
 
 
@@ -51,7 +51,7 @@ def test_future_is_the_only_drop(spark):
     assert one(late)["drop"] is True
     drop = one(validation_drops(late))
     assert (drop.drop_reason, drop.error_detail) == ("validation_drop", "time_future_outlier")
-    assert '"GLOBALEVENTID":"123"' in drop.raw_payload
+    assert '"GLOBALEVENTID":"7041"' in drop.raw_payload
 
 
 def test_category_comes_from_the_raw_code(spark):

@@ -14,24 +14,20 @@ from tidewatch.functions.text import ColumnOrName, clean_text, code_root, col, s
 
 
 @lru_cache
-def country_codes(lines: str = fv.COUNTRY_CODES) -> dict[str, str]:
-    """Code to country name from ``name: code code ...`` lines; a later line wins a shared code."""
-    names = {}
-    for line in lines.strip().splitlines():
-        name, codes = line.split(":")
-        names.update(dict.fromkeys(codes.split(), name))
-    return names
+def country_codes() -> dict[str, str]:
+    """Code to country name; a later country wins a shared code."""
+    return {code: name for name, codes in fv.COUNTRY_CODES.items() for code in codes}
 
 
-def country_dimension(spark: SparkSession, lines: str = fv.COUNTRY_CODES) -> DataFrame:
+def country_dimension(spark: SparkSession) -> DataFrame:
     """The lookup as a table of unique codes. It is a fixed list, a few kilobytes at any data size."""
-    names = country_codes(lines)
+    names = country_codes()
     return spark.createDataFrame(pa.table({"code": list(names), "known_name": list(names.values())}))
 
 
-def with_country_name(df: DataFrame, code: ColumnOrName, out: str = "country_name", lines: str = fv.COUNTRY_CODES) -> DataFrame:
+def with_country_name(df: DataFrame, code: ColumnOrName, out: str = "country_name") -> DataFrame:
     """Add the country name of a code, ``Unknown`` where there is none: a hash lookup in the broadcast fixed list."""
-    dimension = country_dimension(df.sparkSession, lines).withColumnRenamed("code", "_lookup_code")
+    dimension = country_dimension(df.sparkSession).withColumnRenamed("code", "_lookup_code")
     return (
         df.join(F.broadcast(dimension), F.upper(strip(code)) == F.col("_lookup_code"), "left")
         .withColumn(out, F.coalesce(F.col("known_name"), F.lit(fv.UNKNOWN)))

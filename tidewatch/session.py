@@ -37,10 +37,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (single-machine tests) a local temporary folder is used and set.
+    Where that setting is absent, a single-machine session (master ``local``) gets a temporary folder; on a cluster, whose
+    executors would each write to their own disk, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
