@@ -9,17 +9,30 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-from array import array
+import unicodedata
 from functools import lru_cache
 
+import numpy as np
+
 #: Pieces that a worker learns before it forgets those not met since it last did so. Bounds memory, not results.
 REMEMBERED = 500_000
 
 
 #: White space that is not between two other characters; a mark after something else than a letter or digit.
 ODD_SPACE = re.compile(r"\s\s|^\s|\s\Z")
-ODD_MARK = re.compile(r"(?:[\W_]|^)[,.][ \n]")
+#: Letters whose lower case or composed form ends in a mark, which would join the full stop or comma after it.
+JOINING = "".join(c for c in map(chr, range(0x80, 0x30000)) if c.isalnum() and not unicodedata.normalize("NFC", c.lower())[-1].isalnum())
+ODD_MARK = re.compile(rf"[,.](?<![^\W_{JOINING}].)[ \n]")
+OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Pieces that are encoded as one text, with a separator between them whose id no piece has.
+AT_ONCE = 4096
+
+
+def odd_space(text: str) -> bool:
+    """``ODD_SPACE.search``, without a pattern where spaces and line ends are the only white space."""
+    if OTHER_SPACE.search(text):
+        return ODD_SPACE.search(text) is not None
+    return text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ("  ", "\n\n", " \n", "\n "))
 
 
 class PieceEncoder:
@@ -33,12 +46,15 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control strings inside a text are ordinary text
         self.leading_space = leading_space
+        # Either is always a token of its own: a line end that no white space touches, a lone control character.
+        self.mark, self.between = ("\n", "\n") if leading_space else ("\x01", " \x01 ")
+        (self.mark_id,) = self.tokenizer.encode(self.between, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> list[str]:
         """Cut at white space, and before a mark that stands between a letter or digit and white space."""
-        if "\0" in text or self.leading_space and ODD_SPACE.search(text):
+        if "\0" in text or self.leading_space and odd_space(text):
             return [text]
         cut = text.replace("\n", "\0\n\0").replace(" ", "\0 ") if self.leading_space else text.replace("\n", "\0").replace(" ", "\0")
         if not ODD_MARK.search(text):
@@ -46,13 +62,20 @@ class PieceEncoder:
         return cut.split("\0")
 
     def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 4096):
-            part = pieces[at : at + 4096]
-            for piece, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = array("I", coded.ids)
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                self.known[piece] = ids.tobytes()
+        """Encode pieces many at a time, but those that a separator could join or be taken for alone."""
+        plain = [p for p in pieces if p and self.mark not in p and not p[-1].isspace()]
+        self.known.update((p, self._encoded(p).tobytes()) for p in set(pieces).difference(plain))
+        for at in range(0, len(plain), AT_ONCE):
+            part = plain[at : at + AT_ONCE]
+            ids = self._encoded(self.between.join(part))
+            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)) * 4
+            if len(ends) != len(part):
+                raise ValueError("the separator of pieces is not a token of its own")
+            raw, starts = ids.tobytes(), np.append(0, ends[:-1] + 4)
+            self.known.update((p, raw[a:b]) for p, a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         cut = [self._pieces(t) if t else [] for t in texts]
