@@ -213,3 +213,65 @@ def test_history_scan_prunes_own_exports_and_ids(spark, tables, tmp_path):
     pushed = plan[plan.index("PushedFilters"):]
     assert "GreaterThanOrEqual(global_event_id,5)" in pushed and "IsNull(global_event_id)" in pushed
     assert "export_key" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+
+
+def test_hard_stop_of_the_stream_loses_nothing(spark, tables, tmp_path):
+    landing = tmp_path / "landing"
+    write_export(landing, A, [line(GLOBALEVENTID="1")])
+    listing = exports.list_exports(spark, str(landing))
+    fresh = ledger.new_checkpoints(tables.read("export_checkpoints"), listing, AS_OF)
+    tables.append("export_checkpoints", fresh.unionByName(ledger.claimed(fresh, AS_OF)))  # what a load writes first
+    assert status(tables) == {A: ("processing", 1)}
+
+    def run():
+        stream_load(spark, str(landing), tables, str(tmp_path / "c"), lambda: AS_OF).awaitTermination()
+
+    run()
+    assert status(tables) == {A: ("completed", 2)} and keys(tables) == ["1"]
+    run()
+    assert keys(tables, "raw_events") == ["1"]
+
+
+def test_stream_takes_up_failed_exports(spark, tables, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / f"{A}.export.CSV.zip").write_bytes(b"broken")
+
+    def run():
+        stream_load(spark, str(landing), tables, str(tmp_path / "c"), lambda: AS_OF, files_per_batch=1).awaitTermination()
+
+    run()
+    assert status(tables) == {A: ("failed", 1)}
+    write_export(tmp_path / "mended", A, [line(GLOBALEVENTID="1")])
+    (landing / f"{A}.export.CSV.zip").write_bytes((tmp_path / "mended" / f"{A}.export.CSV.zip").read_bytes())
+    write_export(landing, B, [line(GLOBALEVENTID="2")])
+    run()
+    assert {k: v[0] for k, v in status(tables).items()} == {A: "completed", B: "completed"}
+    assert keys(tables) == keys(tables, "raw_events") == ["1", "2"]
+
+
+def test_sources_of_one_export_time_keep_their_rows(spark, tables, tmp_path):
+    for source, i in (("feed_a", "1"), ("feed_b", "2")):
+        write_export(tmp_path / source, A, [line(GLOBALEVENTID=i)])
+        stream_load(spark, str(tmp_path / source), tables, str(tmp_path / f"c-{source}"), lambda: AS_OF, source=source).awaitTermination()
+    assert keys(tables) == keys(tables, "raw_events") == ["1", "2"]
+    assert tables.read("data_quality_audit").count() == 2
+
+
+def test_repeat_replaces_its_own_rows(spark, tables, tmp_path):
+    write_export(tmp_path / "z", A, [line(GLOBALEVENTID="1", DATEADDED="20260401000000")])
+    load_landing(spark, tables, str(tmp_path / "z"), AS_OF)
+    assert tables.read("dropped_events").count() == 1 and keys(tables) == []
+    done = ledger.current(tables.read("export_checkpoints"))
+    tables.append("export_checkpoints", ledger.released(done))  # offered again
+    load_landing(spark, tables, str(tmp_path / "z"), "2026-04-02 00:00:00")
+    assert tables.read("dropped_events").count() == 0 and keys(tables) == keys(tables, "raw_events") == ["1"]
+
+
+def test_files_of_one_export_time_share_a_load_and_runs_keep_their_id(spark, tables, tmp_path):
+    write_export(tmp_path / "z" / "x", A, [line(GLOBALEVENTID="1")])
+    write_export(tmp_path / "z" / "y", A, [line(GLOBALEVENTID="2")])
+    write_export(tmp_path / "z" / "x", B, [line(GLOBALEVENTID="3")])
+    load_landing(spark, tables, str(tmp_path / "z" / "*"), AS_OF, run_id="night", exports_per_load=1)
+    assert keys(tables) == keys(tables, "raw_events") == ["1", "2", "3"]
+    assert {r.id for r in tables.read("ingestion_runs").collect()} == {"night", "night-2"}

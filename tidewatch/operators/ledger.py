@@ -89,14 +89,25 @@ def stale_reset(
     started = "processing_started_at"
     limit = moment_for(ledger, started, utc(as_of) - timedelta(minutes=stale_minutes))
     stuck = (F.col("source") == source) & (F.col("status") == "processing") & (F.col(started) < limit)
+    return released(ledger.filter(stuck))
+
+
+def released(rows: DataFrame) -> DataFrame:
+    """Rows in processing, back to pending."""
     return _next(
-        ledger.filter(stuck),
+        rows,
         status=F.lit("pending"),
         processing_started_at=F.lit(None),
         last_error=F.coalesce("last_error", F.lit(fv.STALE_RESET_TEXT)),
     )
 
 
+def unfinished(ledger: DataFrame, source: str = fv.SOURCE) -> DataFrame:
+    """Failed and released rows of a source, those tried least first."""
+    waiting = ledger.filter((F.col("source") == source) & F.col("status").isin("pending", "failed"))
+    return waiting.orderBy("attempt_count", "export_time_utc")
+
+
 def completed(ledger: DataFrame, counts: DataFrame, as_of: Moment) -> DataFrame:
     """Rows of the exports in ``counts`` (``rows_seen``, ``rows_inserted``, ``rows_duplicated``), as completed."""
     counted = counts.select(*CHECKPOINT_KEY, "rows_seen", "rows_inserted", "rows_duplicated")

@@ -7,9 +7,10 @@ events already stored are not stored again, and a load that broke off is repeate
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from itertools import groupby
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,14 +157,20 @@ def _load_claimed(
     rejected = parse_error_drops(usable.filter("outcome = 'parse_error'"), source).unionByName(
         validation_drops(usable.filter("outcome = 'dropped'"))
     )
+    claimed = _of(tables, exports)
+    again = [row[0] for row in claimed.filter("attempt_count > 1").select(export_key()).distinct().collect()]
+
+    def replace(name: str, rows: DataFrame) -> None:
+        tables.withdraw(name, again)
+        tables.publish(name, rows)
+
     _together(
         spark,
-        lambda: tables.publish("dropped_events", dropped_rows(rejected, as_of)),
-        lambda: tables.publish("raw_events", raw_rows(accepted, as_of)),
-        lambda: tables.publish("normalized_events", normalized_rows(accepted, as_of)),
-        lambda: tables.publish("data_quality_audit", audit_rows(counts.withColumnRenamed("rows_seen", "total_events"), as_of)),
+        lambda: replace("dropped_events", dropped_rows(rejected, as_of)),
+        lambda: replace("raw_events", raw_rows(accepted, as_of)),
+        lambda: replace("normalized_events", normalized_rows(accepted, as_of)),
+        lambda: replace("data_quality_audit", audit_rows(counts.withColumnRenamed("rows_seen", "total_events"), as_of)),
     )
-    claimed = _of(tables, exports)
     changes = lg.completed(claimed, counts, as_of).unionByName(lg.failed(claimed, broken))
     tables.append("export_checkpoints", changes)
     zero = F.lit(0).cast("bigint")
@@ -205,6 +212,25 @@ def pending_exports(tables: EventTables, listing: DataFrame) -> DataFrame:
     return discover_new(listing, lg.current(tables.read("export_checkpoints")))
 
 
+def release_own(tables: EventTables, exports: DataFrame) -> None:
+    """Release those of ``exports`` that are in processing, for a loader that knows itself to be the one that broke off."""
+    stuck = _of(tables, exports).filter("status = 'processing'")
+    if not stuck.isEmpty():
+        tables.append("export_checkpoints", lg.released(stuck))
+
+
+def _slices(exports: list[tuple[Moment, str]], size: int) -> Iterator[list[str]]:
+    """Names by export time, about ``size`` at once; files of one export time own the same partitions and stay together."""
+    held: list[str] = []
+    for _, same in groupby(exports, key=lambda x: x[0]):
+        if len(held) >= size:
+            yield held
+            held = []
+        held += [url for _, url in same]
+    if held:
+        yield held
+
+
 def load_landing(
     spark: SparkSession,
     tables: EventTables,
@@ -218,7 +244,8 @@ def load_landing(
     """Load every export in the landing folder that the ledger does not know as done; returns how many there were.
 
     The listing reads names only. The names of new files are the one thing that passes the driver, as they do in Spark's
-    own file index; a long backlog is worked off in loads of ``exports_per_load`` files.
+    own file index; a long backlog is worked off in loads of about ``exports_per_load`` files. The first has the given
+    ``run_id``, further ones the same with a number.
     """
     use_utc(spark)
     recover_stale(tables, as_of)
@@ -227,15 +254,14 @@ def load_landing(
     listing = list_exports(spark, landing, pattern=pattern, archive_suffix=suffix)
     if latest_only:
         listing = latest_export(listing)
-    pending = pending_exports(tables, listing).orderBy("export_time_utc").select("export_url")
-    urls = pending.toPandas()["export_url"].tolist()
-    for start in range(0, len(urls), exports_per_load):
-        part = urls[start:start + exports_per_load]
+    pending = pending_exports(tables, listing).orderBy("export_time_utc", "export_url").select("export_time_utc", "export_url")
+    names = [tuple(row) for row in pending.collect()]
+    for number, part in enumerate(_slices(names, exports_per_load), start=1):
         paths = [url.removesuffix(suffix) for url in part]
         if plain:
             rows = scan_export_tsv(spark, paths, "*").withColumn("path", F.concat("path", F.lit(suffix)))
         else:
             rows = rows_of_zips(spark.read.format("binaryFile").schema(BINARY_FILE).load(paths))
-        one_load = run_id if len(urls) <= exports_per_load else None
+        one_load = run_id and (run_id if number == 1 else f"{run_id}-{number}")
         load_rows(tables, rows, listing.filter(F.col("export_url").isin(part)), as_of, one_load)
-    return len(urls)
+    return len(names)

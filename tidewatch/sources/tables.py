@@ -28,8 +28,9 @@ _TABLES: dict[str, tuple[T.StructType, list[str]]] = {
 _PARTITION_TYPES = {"export_date": T.DateType(), "event_date": T.DateType(), EXPORT_KEY: T.StringType()}
 
 
-def export_key(time_column: str = "export_time_utc"):
-    return F.date_format(time_column, "yyyyMMddHHmmss")
+def export_key(time_column: str = "export_time_utc", source_column: str = "source"):
+    """An export's own key, as in the ledger: two sources may have exports of one time."""
+    return F.concat_ws("-", source_column, F.date_format(time_column, "yyyyMMddHHmmss"))
 
 
 class EventTables:
@@ -65,6 +66,19 @@ class EventTables:
         fields, _ = _TABLES[name]
         df.select(*fields.names).repartition(1).write.mode("append").parquet(self.path(name))
 
+    def withdraw(self, name: str, keys: list[str]) -> None:
+        """Delete the partitions of exports that are loaded again, so that none stays that gets no rows this time."""
+        if not keys:
+            return
+        stored = self.read(name)
+        if not stored.inputFiles():
+            return
+        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for row in stored.filter(F.col(EXPORT_KEY).isin(keys)).select(folder.alias("folder")).distinct().collect():
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.folder))
+            path.getFileSystem(conf).delete(path, True)
+
     def publish(self, name: str, df: DataFrame) -> None:
         """Write whole exports: each replaces the partitions it owns and no others.
 

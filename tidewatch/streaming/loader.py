@@ -12,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewatch import fixed_values as fv
 from tidewatch.operators import ledger as lg
 from tidewatch.operators.dedupe import EVENT_KEY
-from tidewatch.plans.load import load_rows, recover_stale
+from tidewatch.plans.load import load_rows, recover_stale, release_own
 from tidewatch.session import use_utc
-from tidewatch.sources.exports import BINARY_FILE, discover_new, rows_of_zips, with_export_metadata
+from tidewatch.sources.exports import BINARY_FILE, discover_new, list_exports, rows_of_zips, with_export_metadata
 from tidewatch.sources.tables import EventTables
 
 
@@ -37,7 +37,8 @@ def stream_load(
     Files count once twice over: the stream's checkpoint remembers offered files, and the ledger remembers completed
     exports, so a lost checkpoint or a repeated micro-batch loads nothing twice. Events are checked against the whole
     raw table, without a time bound and without stream state. There is no watermark: late events are always accepted,
-    and events from the future are quarantined.
+    and events from the future are quarantined. A micro-batch that broke off is repeated by Spark and takes up its own
+    exports again; failed and stale ones of earlier micro-batches come along, at most ``files_per_batch`` each time.
     """
     use_utc(spark)
     files = (
@@ -52,12 +53,22 @@ def stream_load(
         recover_stale(tables, now, source)
         listed = with_export_metadata(batch.select(F.col("path").alias("export_url")))
         exports = listed.select(F.lit(source).alias("source"), "export_time_utc", "export_url", "export_filename")
-        new = discover_new(exports, lg.current(tables.read("export_checkpoints")))
-        # At most files_per_batch names. As constants they stay the same when the load changes the ledger.
-        urls = [row.export_url for row in new.select("export_url").collect()]
+        release_own(tables, exports)
+        known = lg.current(tables.read("export_checkpoints"))
+        # At most files_per_batch names each. As constants they stay the same when the load changes the ledger.
+        urls = [row.export_url for row in discover_new(exports, known).select("export_url").collect()]
+        loads = batch.filter(F.col("path").isin(urls))
+        waiting = lg.unfinished(known.join(exports, lg.CHECKPOINT_KEY, "left_anti"), source).limit(files_per_batch)
+        wanted = [row.export_url for row in waiting.select("export_url").collect()]
+        if wanted:
+            there = list_exports(spark, landing, source=source).filter(F.col("export_url").isin(wanted))
+            again = [row.export_url for row in there.select("export_url").collect()]
+            exports = exports.unionByName(there)
+            if again:
+                loads = loads.unionByName(spark.read.format("binaryFile").schema(BINARY_FILE).load(again))
+                urls += again
         if urls:
-            rows = rows_of_zips(batch.filter(F.col("path").isin(urls)))
-            load_rows(tables, rows, exports.filter(F.col("export_url").isin(urls)), now, None, "stream", source)
+            load_rows(tables, rows_of_zips(loads), exports.filter(F.col("export_url").isin(urls)), now, None, "stream", source)
 
     writer = files.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
