@@ -13,6 +13,8 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces that a worker learns before it forgets those not met since it last did so. Bounds memory, not results.
 REMEMBERED = 500_000
@@ -23,14 +25,14 @@ ODD_SPACE = re.compile(r"\s\s|^\s|\s\Z")
 #: Letters whose lower case or composed form ends in a mark, which would join the full stop or comma after it.
 JOINING = "".join(c for c in map(chr, range(0x80, 0x30000)) if c.isalnum() and not unicodedata.normalize("NFC", c.lower())[-1].isalnum())
 ODD_MARK = re.compile(rf"[,.](?<![^\W_{JOINING}].)[ \n]")
-OTHER_SPACE = re.compile(r"[^\S \n]")
+OTHER_SPACE = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n"]
 #: Pieces that are encoded as one text, with a separator between them whose id no piece has.
 AT_ONCE = 4096
 
 
 def odd_space(text: str) -> bool:
     """``ODD_SPACE.search``, without a pattern where spaces and line ends are the only white space."""
-    if OTHER_SPACE.search(text):
+    if any(x in text for x in OTHER_SPACE):
         return ODD_SPACE.search(text) is not None
     return text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ("  ", "\n\n", " \n", "\n "))
 
@@ -52,14 +54,14 @@ class PieceEncoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _pieces(self, text: str) -> list[str]:
-        """Cut at white space, and before a mark that stands between a letter or digit and white space."""
-        if "\0" in text or self.leading_space and odd_space(text):
-            return [text]
+    def _cut(self, text: str) -> str:
+        """The text with a zero character at white space, and before a mark that stands between a letter or digit and white space."""
+        if self.leading_space and odd_space(text):
+            return text
         cut = text.replace("\n", "\0\n\0").replace(" ", "\0 ") if self.leading_space else text.replace("\n", "\0").replace(" ", "\0")
         if not ODD_MARK.search(text):
             cut = cut.replace(".\0", "\0.\0").replace(",\0", "\0,\0")
-        return cut.split("\0")
+        return cut
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces many at a time, but those that a separator could join or be taken for alone."""
@@ -77,15 +79,31 @@ class PieceEncoder:
     def _encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self._pieces(t) if t else [] for t in texts]
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of these distinct pieces, met before or not."""
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        new = {p for pieces in cut for p in pieces}.difference(self.known)
-        met = new.intersection(self.older)
-        self.known.update((p, self.older[p]) for p in met)
-        self._learn(list(new - met))
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+        found = list(map(self.known.get, pieces))
+        new = [at for at, ids in enumerate(found) if ids is None]
+        met = {p: self.older[p] for p in map(pieces.__getitem__, new) if p in self.older}
+        self.known.update(met)
+        self._learn([pieces[at] for at in new if pieces[at] not in met])
+        for at in new:
+            found[at] = self.known[pieces[at]]
+        return found
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Pieces are cut, numbered and put together as columns; only the distinct ones of these texts are Python's."""
+        alone = {at: self._encoded(t).tobytes() for at, t in enumerate(texts) if t and "\0" in t}
+        cut = pa.array([self._cut(t) if t and at not in alone else "" for at, t in enumerate(texts)], pa.large_string())
+        lists = pc.split_pattern(cut, "\0")
+        pieces = lists.values.dictionary_encode()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = pa.array(self._known(distinct), pa.large_binary()).take(pieces.indices)
+        _, offsets, data = found.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[lists.offsets.to_numpy()].tolist()
+        raw = b"" if data is None else data.to_pybytes()
+        return [alone.get(at, raw[a:b]) for at, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
 
 
 @lru_cache(maxsize=4)
@@ -94,7 +112,7 @@ def encoder(path: str, leading_space: bool) -> PieceEncoder:
     return PieceEncoder(path, leading_space)
 
 
-def slices(texts: list[str | None], limit: int = 2_000_000):
+def slices(texts: list[str | None], limit: int = 4_000_000):
     """Index ranges of consecutive texts of about ``limit`` characters, a longer text alone."""
     start = size = 0
     for at, text in enumerate(texts):
