@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,11 @@ ODD_SPACE = re.compile(r"\s\s|^\s|\s\Z")
 JOINING = "".join(c for c in map(chr, range(0x80, 0x30000)) if c.isalnum() and not unicodedata.normalize("NFC", c.lower())[-1].isalnum())
 ODD_MARK = re.compile(rf"[,.](?<![^\W_{JOINING}].)[ \n]")
 OTHER_SPACE = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n"]
+#: A piece of Latin letters (not the one whose lower case is two characters), then ASCII symbols other than the apostrophe:
+#: both vocabularies split it before the symbols and nowhere else, so it can go to the merges without the steps before them.
+LATIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+([!-&(-/:-@\[-`{-~]*)")
+#: Pieces that must come out of the short way as of the whole one, or it is not taken.
+PROBES = ["Probe", " Émigré", "straße!?", " ÅBEN_#,", "x$$$"]
 #: Pieces that are encoded as one text, with a separator between them whose id no piece has.
 AT_ONCE = 4096
 
@@ -51,6 +58,9 @@ class PieceEncoder:
         # Either is always a token of its own: a line end that no white space touches, a lone control character.
         self.mark, self.between = ("\n", "\n") if leading_space else ("\x01", " \x01 ")
         (self.mark_id,) = self.tokenizer.encode(self.between, add_special_tokens=False).ids
+        self.byte_names = self._byte_names()
+        words = PROBES if leading_space else [p.strip() for p in PROBES]
+        self.short_way = self._merged(words) == [self._encoded(p).tobytes() for p in words]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -63,8 +73,38 @@ class PieceEncoder:
             cut = cut.replace(".\0", "\0.\0").replace(",\0", "\0,\0")
         return cut
 
+    @staticmethod
+    def _byte_names() -> dict[int, str]:
+        """The character that stands for each byte but the line end: itself if printable, else the next one over 255."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        alphabet = sorted(ByteLevel.alphabet())
+        others = iter([c for c in alphabet if ord(c) > 255])
+        names = {b: chr(b) if chr(b) in alphabet else next(others) for b in range(256)}
+        return {b: c for b, c in names.items() if b != 10}
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that ``LATIN`` matches, from the merges alone."""
+        cut = [self._letters_and_symbols(p) for p in pieces]
+        text = "\n".join(chain.from_iterable(cut))
+        named = (text if self.leading_space else text.lower()).encode().decode("latin-1").translate(self.byte_names)
+        units, merge, out = iter(named.split("\n")), self.tokenizer.model.tokenize, []
+        for parts in cut:
+            ids = [t.id for _ in parts for t in merge(next(units))]
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
+        return out
+
+    @staticmethod
+    def _letters_and_symbols(piece: str) -> list[str]:
+        at = LATIN.fullmatch(piece).start(1)
+        return [piece] if at == len(piece) else [piece[:at], piece[at:]]
+
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces many at a time, but those that a separator could join or be taken for alone."""
+        """Latin words by their merges; others many at a time, but those that a separator could join or be taken for alone."""
+        if self.short_way:
+            latin = [p for p in pieces if LATIN.fullmatch(p)]
+            self.known.update(zip(latin, self._merged(latin), strict=True))
+            pieces = [p for p in pieces if p not in self.known]
         plain = [p for p in pieces if p and self.mark not in p and not p[-1].isspace()]
         self.known.update((p, self._encoded(p).tobytes()) for p in set(pieces).difference(plain))
         for at in range(0, len(plain), AT_ONCE):

@@ -40,9 +40,10 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         depth = max(1, int(ids.max(initial=0)).bit_length())
-        ids, planes, zeros, ranks = ids.astype(np.uint32), [], [], []
+        kind = np.uint16 if depth <= 16 else np.uint32
+        ids, planes, zeros, ranks = ids.astype(kind), [], [], []
         for k in range(depth - 1, -1, -1):
-            ones = (ids >> np.uint32(k)) & np.uint32(1) == 1
+            ones = ids & kind(1 << k) != 0
             packed = np.packbits(ones, bitorder="little")
             counts = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), BLOCK // 8), dtype=np.uint32) if len(packed) else np.zeros(0, np.uint32)
             planes.append(packed)
@@ -107,12 +108,13 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids: each plane, from the last, undoes its ordering."""
-        ids = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        ids = np.zeros(self.n, kind)
         for level in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
-            before = np.empty(self.n, np.uint32)
+            before = np.empty(self.n, kind)
             before[~ones] = ids[: self.zeros[level]]
-            before[ones] = ids[self.zeros[level] :] | np.uint32(1 << (len(self.planes) - 1 - level))
+            before[ones] = ids[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
             ids = before
         return ids
 
