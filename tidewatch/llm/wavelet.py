@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,9 +49,10 @@ class WaveletMatrix:
             counts = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), BLOCK // 8), dtype=np.uint32) if len(packed) else np.zeros(0, np.uint32)
             planes.append(packed)
             ranks.append(np.concatenate([np.zeros(1, np.uint32), np.cumsum(counts, dtype=np.uint32)]))
-            low = ids[~ones]
+            mask, values = pa.Array.from_buffers(pa.bool_(), len(ids), [None, pa.py_buffer(packed)]), pa.array(ids)
+            low, high = (values.filter(m).to_numpy() for m in (pc.invert(mask), mask))
             zeros.append(len(low))
-            ids = np.concatenate([low, ids[ones]])
+            ids = np.concatenate([low, high])
         return cls(sum(map(len, (ids,))), planes, zeros, ranks)
 
     def _ones(self, level: int, i: int) -> int:
@@ -113,8 +115,8 @@ class WaveletMatrix:
         for level in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
             before = np.empty(self.n, kind)
-            before[~ones] = ids[: self.zeros[level]]
-            before[ones] = ids[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
+            before[np.flatnonzero(~ones)] = ids[: self.zeros[level]]
+            before[np.flatnonzero(ones)] = ids[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
             ids = before
         return ids
 
