@@ -258,7 +258,7 @@ def normalized_events(spark, sf):
 
 
 def validated_events(spark, sf):
-    return validate.validate_and_clean(normalized_events(spark, sf), AS_OF)
+    return validate.validate_and_clean(normalize.normalize_events(raw_like(spark, sf), country_names=False), AS_OF)
 
 
 # ---------------------------------------------------------------- validation

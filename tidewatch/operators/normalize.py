@@ -16,11 +16,14 @@ from tidewatch.operators.classify import with_category
 ORIGIN = ["export_time_utc", "export_url", "ingestion_run_id", "row_number"]
 
 
-def normalize_events(parsed: DataFrame, source: str = fv.SOURCE, run_id: Column | str | None = None) -> DataFrame:
+def normalize_events(
+    parsed: DataFrame, source: str = fv.SOURCE, run_id: Column | str | None = None, country_names: bool = True
+) -> DataFrame:
     """Type and classify parsed rows.
 
     ``parsed`` holds the 13 feed fields as text and ``export_time_utc`` (optionally ``export_url``,
     ``ingestion_run_id`` and ``row_number``). One projection, no shuffle: the only join is with a fixed broadcast list.
+    Without ``country_names`` it is left out, for rows that validation names anew anyway.
     """
     if run_id is not None:
         parsed = parsed.withColumn("ingestion_run_id", F.lit(run_id))
@@ -46,4 +49,5 @@ def normalize_events(parsed: DataFrame, source: str = fv.SOURCE, run_id: Column
         F.struct(*fv.FIELD_POSITIONS).alias("raw_payload"),
         *extra,
     )
-    return with_country_name(with_category(typed), "action_geo_country_code")
+    events = with_category(typed)
+    return with_country_name(events, "action_geo_country_code") if country_names else events

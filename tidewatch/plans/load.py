@@ -38,7 +38,7 @@ def label_rows(rows: DataFrame, as_of: Moment, run_id: str, source: str = fv.SOU
     One pass without a shuffle. Malformed rows keep their columns for the quarantine.
     """
     with_origin = with_export_metadata(rows.withColumnRenamed("path", "export_url"))
-    events = normalize_events(with_origin.drop("export_filename"), source, run_id)
+    events = normalize_events(with_origin.drop("export_filename"), source, run_id, country_names=False)
     validated = validate_and_clean(events, as_of)
     outcome = (
         F.when(F.col("file_error").isNotNull(), "file_error")
