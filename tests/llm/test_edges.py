@@ -154,6 +154,27 @@ def test_pseudonyms(spark, nothing, docs):
     assert pii.pseudonymised(docs, "found_").where("text <=> 'one'").count() == 1
 
 
+def test_pseudonyms_beside_other_digits(spark):
+    cases = {
+        "order 12 4111 1111 1111 1111": ("card", "4111 1111 1111 1111"), "2024 4111 1111 1111 1111": ("card", "4111 1111 1111 1111"),
+        "4111111111111111 12/27": ("card", "4111111111111111"), "4111 1111 1111 1111 123": ("card", "4111 1111 1111 1111"),
+        "4111111111111111 555-123-4567": ("card phone", "4111111111111111 555-123-4567"), "12345 2024-01-05": ("date", "2024-01-05"),
+        "123 555-123-4567": ("phone", "555-123-4567"), "1234567 078-05-1120": ("ssn", "078-05-1120"),
+        "4111111111111111 12/27/2024": ("card date", "4111111111111111 12/27/2024"), "123-45-6789-4111-1111-1111-1111": ("ssn card", "123-45-6789 4111-1111-1111-1111"),
+        "4111 1111 1111 1111 5500 0000 0000 0004 1 2 3": ("card card", "4111 1111 1111 1111"), "378282246310005 4111-1111-1111-1111 9": ("card card", "378282246310005"),
+        "7 41111 11111 111111 7": ("card", "41111 11111 111111"), "555 123 2024-01-05": ("date", "2024-01-05"),
+        "TOKEN = abcdefgh12345678": ("secret", "abcdefgh12345678"), "Password: 'hunter2hunter2'": ("secret", "hunter2hunter2"),
+        "1 2 3 4 5 6 7 8 9 0 1 2 3 4111x": ("", ""), " ".join(["10"] * 3_000): (None, "nothing"),
+    }
+    frame = spark.createDataFrame([(t,) for t in cases], "text string").withColumn("was", F.col("text"))
+    for r in pii.pseudonymised(frame, "found").collect():
+        kinds, gone = cases[r["was"]]
+        if kinds is not None:
+            assert sorted(k for k, n in r["found"].asDict().items() for _ in range(n)) == sorted(kinds.split()), r
+        assert re.sub("[0-9A-Za-z]", "", r["was"])[:20] == re.sub("[0-9A-Za-z]", "", r["text"])[:20] or "secret" in kinds
+        assert all(x not in r["text"] for x in gone.split(" ") if len(x) > 7) and (not gone or gone not in r["text"])
+
+
 def test_permutation_is_one_to_one(spark):
     made = spark.range(70).select(pii.permuted(F.col("id"), F.lit(7).cast("long"), F.lit(10).cast("long"), "t", "k").alias("p"))
     assert sorted(r["p"] for r in made.collect()) == list(range(70))

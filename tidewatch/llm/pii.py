@@ -1,7 +1,9 @@
 """Format-preserving pseudonyms by keyed Feistel permutations (operator 6), in DataFrame functions only.
 
-Card numbers (Luhn), North American phone numbers, social security numbers, IPv4 addresses and dates are found by one
-pattern and validated. The value of each is permuted within its own range (an unbalanced Feistel network over a x b, whose
+Card numbers (Luhn), North American phone numbers, social security numbers, IPv4 addresses and dates are found in passes,
+each over what the ones before left, and validated: e-mail addresses, secrets and IP addresses; cards of a usual layout and
+issuer, or that are a whole run of digit groups; dates, phone and social security numbers; cards that are any other part of
+a run of digit groups. So a value is found beside whatever digits. The value of each is permuted within its own range (an unbalanced Feistel network over a x b, whose
 rounds add a keyed digest modulo a or b), so the result is valid again, keeps its layout, and equal values stay equal in
 all documents, however they are written. E-mail addresses and secrets (access keys, tokens, passwords) have no such range;
 they become keyed digests, equal for equal values. The key is a parameter; whoever has it can invert the permutations.
@@ -23,17 +25,23 @@ from tidewatch.llm.common import bind, unused
 KEY = "change-me"
 KINDS = ["email", "secret", "ip", "date", "phone", "ssn", "card"]
 
-#: Patterns in order of precedence at one place.
+#: Patterns; those looked for at once are in order of precedence at one place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![A-Za-z0-9])(?:password|passwd|token|secret|api_key)\s?[=:]\s?[\"']?[A-Za-z0-9_+/-]{8,}[\"']?",
+    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\"']?[A-Za-z0-9_+/-]{8,}[\"']?",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z]))",
+    "ssn": r"(?<![0-9A-Za-z]|[0-9A-Za-z]-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9A-Za-z])",
 }
-ANY = "|".join(PATTERNS.values())
+#: A run of digit groups that is long enough for a card number, and the layouts (groups with a blank between) of known issuers.
+RUN = r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ -][0-9]++(?![A-Za-z]))*+"
+USUAL_CARD = (
+    r"^(?:(?:4[0-9]{3}|5[1-5][0-9]{2}|2[2-7][0-9]{2}|6[0245][0-9]{2}|35[0-9]{2})( ?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?"
+    r"|3[47][0-9]{2}( ?)[0-9]{6}\2[0-9]{5}|3[068][0-9]{2}( ?)[0-9]{6}\3[0-9]{4}|4[0-9]{12})$")
+#: A card number has 13 to 19 digits, so it ends at most this many groups after its first.
+MOST_GROUPS = 19
+PIECES = "array<struct<text:string,kind:string>>"
 ROUNDS = 8
 POWERS = [10**k for k in range(11)]
 #: Dates from here on are numbered; the range is two rectangles, 250 x 292 days and the 49 days to the end of 2099.
@@ -171,37 +179,108 @@ def _email(m: Column, key: str) -> Column:
 
 def _secret(m: Column, key: str) -> Column:
     """The name and quotes stay; the value becomes a digest. A name before it makes no difference to equal values."""
-    value = F.regexp_extract(m, "^(?:[a-z_]+\\s?[=:]\\s?[\"']?)?([A-Za-z0-9_+/-]+)[\"']?$", 1)
-    return F.concat(F.regexp_extract(m, "^((?:[a-z_]+\\s?[=:]\\s?[\"']?)?)", 1), F.lit("redacted-"), F.substring(keyed(value, "secret", key), 1, 16), F.regexp_extract(m, "([\"']?)$", 1))
+    value = F.regexp_extract(m, "^(?:[A-Za-z_]+\\s?[=:]\\s?[\"']?)?([A-Za-z0-9_+/-]+)[\"']?$", 1)
+    return F.concat(F.regexp_extract(m, "^((?:[A-Za-z_]+\\s?[=:]\\s?[\"']?)?)", 1), F.lit("redacted-"), F.substring(keyed(value, "secret", key), 1, 16), F.regexp_extract(m, "([\"']?)$", 1))
 
 
 _MAKERS = {"email": _email, "secret": _secret, "ip": _ip, "date": _date, "phone": _phone, "ssn": _ssn, "card": _card}
 
 
-def replacement(m: Column, key: str) -> Column:
-    """Struct of the match's pseudonym and kind; both null where it is no valid value."""
-    none = F.lit(None).cast("struct<text:string,kind:string>")
+def _piece(text: Column, kind: Column | None = None) -> Column:
+    return F.struct(text.alias("text"), (F.lit(None).cast("string") if kind is None else kind).alias("kind"))
 
-    def tried(kind: str, rest: Column) -> Column:
-        made = F.struct(_MAKERS[kind](m, key).alias("text"), F.lit(kind).alias("kind"))
-        return F.when(m.rlike(f"^(?:{PATTERNS[kind]})$"), made).otherwise(rest)
 
-    return reduce(lambda rest, kind: tried(kind, rest), reversed(KINDS), none)
+def _cut(pieces: Column, pattern: str, of) -> Column:
+    """``pieces`` with those of no kind cut at the matches of ``pattern``; ``of`` gives the pieces of a match."""
+    def each(p: Column) -> Column:
+        text = p["text"]
+        parts = F.zip_with(
+            F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+            lambda s, m: F.concat(F.array(_piece(s)), F.when(m.isNotNull(), of(m)).otherwise(F.array().cast(PIECES))))
+        return F.when(p["kind"].isNull() & text.rlike(pattern), F.flatten(parts)).otherwise(F.array(p))
+
+    return bind(F.flatten(F.transform(pieces, each)), lambda cut: F.when(F.size(cut) > 1, _joined(cut)).otherwise(cut))
+
+
+def _joined(pieces: Column) -> Column:
+    """``pieces`` with neighbours of no kind made one, so that the next pass sees what really stands beside a value."""
+    start = F.struct(F.array().cast(PIECES).alias("out"), F.lit("").alias("rest"))
+
+    def step(s: Column, p: Column) -> Column:
+        more = F.struct(s["out"].alias("out"), F.concat(s["rest"], p["text"]).alias("rest"))
+        return F.when(p["kind"].isNull(), more).otherwise(F.struct(F.concat(s["out"], F.array(_piece(s["rest"]), p)).alias("out"), F.lit("").alias("rest")))
+
+    return F.aggregate(pieces, start, step, lambda s: F.concat(s["out"], F.array(_piece(s["rest"]))))
+
+
+def _kinds(*kinds: str):
+    """Pattern and pieces of a match, for kinds in order of precedence at one place."""
+    def of(m: Column) -> Column:
+        return F.array(_piece(m, reduce(lambda rest, k: F.when(m.rlike(f"^(?:{PATTERNS[k]})$"), k).otherwise(rest), reversed(kinds), F.lit(None).cast("string"))))
+
+    return "|".join(PATTERNS[k] for k in kinds), of
+
+
+def _cards(run: Column, usual: bool) -> Column:
+    """Pieces of a run of digit groups: the leftmost, then longest, valid card numbers of whole groups, and what is left.
+
+    If ``usual``, only those of a usual layout, or that are the whole run.
+    """
+    def best_at(g: Column, i: Column) -> Column:
+        """Groups of the longest card number that begins at group ``i``, joined by blanks; null if there is none."""
+        def tried(n: Column) -> Column:
+            def of(text: Column) -> Column:
+                fits = F.when((F.length(F.replace(text, F.lit(" "), F.lit(""))).between(13, 19)), _luhn(F.replace(text, F.lit(" "), F.lit(""))))
+                return F.when(fits & (text.rlike(USUAL_CARD) | ((i == 0) & (n == F.size(g))) if usual else F.lit(True)), F.struct(text.alias("text"), n.alias("n")))
+
+            return bind(F.array_join(F.slice(g, i + 1, n), " "), of)
+
+        lengths = F.sequence(F.least(F.lit(MOST_GROUPS), F.size(g) - i), F.lit(1), F.lit(-1))
+        return F.get(F.filter(F.transform(lengths, tried), lambda x: x.isNotNull()), F.lit(0))
+
+    def of_groups(g: Column) -> Column:
+        start = F.struct(F.array().cast(PIECES).alias("out"), F.lit(1).alias("at"), F.lit(1).alias("rest"), F.lit(0).alias("i"), F.lit(0).alias("next"))
+
+        def step(s: Column, x: Column) -> Column:
+            def taken(card: Column) -> Column:
+                width = F.length(card["text"])
+                found = card.isNotNull()
+                cut = F.concat(s["out"], F.array(_piece(F.substring(run, s["rest"], s["at"] - s["rest"])), _piece(F.substring(run, s["at"], width), F.lit("card"))))
+                return F.struct(
+                    F.when(found, cut).otherwise(s["out"]).alias("out"), (s["at"] + F.length(x) + 1).alias("at"),
+                    F.when(found, s["at"] + width).otherwise(s["rest"]).alias("rest"), (s["i"] + 1).alias("i"),
+                    F.when(found, s["i"] + card["n"]).otherwise(s["next"]).alias("next"))
+
+            return bind(F.when(s["i"] >= s["next"], best_at(g, s["i"])), taken)
+
+        return F.aggregate(g, start, step, lambda s: F.concat(s["out"], F.array(_piece(F.substring(run, s["rest"], F.length(run))))))
+
+    return bind(F.split(run, "[ -]"), of_groups)
+
+
+def found_pieces(text: Column) -> Column:
+    """``text`` in pieces: private values with their kind, and what is between them."""
+    pieces = F.array(_piece(text))
+    pieces = _cut(pieces, *_kinds("email", "secret", "ip"))
+    pieces = _cut(pieces, RUN, lambda m: _cards(m, True))
+    pieces = _cut(pieces, *_kinds("date", "phone", "ssn"))
+    return _cut(pieces, RUN, lambda m: _cards(m, False))
+
+
+def replacement(m: Column, kind: Column, key: str) -> Column:
+    """The match's pseudonym; null where it is no valid value."""
+    return reduce(lambda rest, k: F.when(kind == k, _MAKERS[k](m, key)).otherwise(rest), reversed(KINDS), F.lit(None).cast("string"))
 
 
 def pseudonymised(docs: DataFrame, result: str, key: str = KEY) -> DataFrame:
     """``docs`` with pseudonyms in ``text`` and a struct ``result`` that counts them by kind."""
     text = F.col("text").cast("string")
-    private = F.when(text.rlike("[0-9@]|(?:password|passwd|token|secret|api_key)\\s?[=:]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    found = F.coalesce(private, F.array().cast("array<string>"))
-    matches, made = unused(docs, "matches"), unused(docs, "made")
-    rows = docs.withColumn(matches, found).withColumn(made, F.transform(F.col(matches), lambda m: replacement(m, key)))
-    pieces = F.zip_with(
-        F.split(text, ANY, -1), F.zip_with(matches, made, lambda m, r: F.coalesce(r["text"], m)),
-        lambda p, m: F.concat(p, F.coalesce(m, F.lit(""))))
-    valid = F.filter(made, lambda r: r["text"].isNotNull())
-    kinds = F.transform(valid, lambda r: r["kind"])
+    private = F.when(text.rlike("[0-9@]|(?i:password|passwd|token|secret|api_key)\\s?[=:]"), found_pieces(text))
+    found, made = unused(docs, "matches"), unused(docs, "made")
+    rows = docs.withColumn(found, private)
+    rows = rows.withColumn(made, F.transform(F.col(found), lambda p: F.when(p["kind"].isNotNull(), replacement(p["text"], p["kind"], key))))
+    kinds = F.coalesce(F.filter(F.zip_with(found, made, lambda p, m: F.when(m.isNotNull(), p["kind"])), lambda k: k.isNotNull()), F.array().cast("array<string>"))
     counts = F.struct(*[(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(kind) for kind in KINDS])
-    out = F.when(F.size(matches) > 0, F.array_join(pieces, "")).otherwise(text)
+    out = F.coalesce(F.array_join(F.zip_with(found, made, lambda p, m: F.coalesce(m, p["text"])), ""), text)
     columns = [out.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     return rows.select(*columns, counts.alias(result))
