@@ -121,6 +121,14 @@ def test_decontamination(docs, nothing, items):
     assert wumanber.without_contaminated(docs, items.limit(0)).count() == len(TEXTS)
 
 
+def test_items_without_an_id_hit(docs, items):
+    nameless = items.where("item_id = 1").selectExpr("CAST(NULL AS long) AS item_id", "text")
+    got = {r["doc_id"]: (r["hit"], r["items"]) for r in wumanber.find_windows(docs, nameless, "found_").select("doc_id", wumanber.hit_words("found_").alias("hit"), "found_.items").collect()}
+    assert got[6] == (12, []) and got[7] == (12, []) and got[4] == (0, [])
+    kept = {r["doc_id"] for r in wumanber.without_contaminated(docs, nameless).select("doc_id").collect()}
+    assert 4 in kept and not {6, 7} & kept
+
+
 def test_decontamination_in_blocks(docs, items, monkeypatch):
     whole = sorted(map(str, wumanber.find_windows(docs, items, "found_").select("doc_id", "found_").collect()))
     monkeypatch.setattr(wumanber, "BLOCK_BYTES", 8)

@@ -5,8 +5,9 @@ all of them, in one narrow job without shuffle. For each pattern length there is
 a pair that ends no part of a pattern lets the search skip all but one word; a pair that ends patterns gives, with their
 first two words, the few patterns that are compared word by word.
 
-Defined results: a null or empty text has no words; items without words find nothing; repeated documents are judged each
-for itself; equal windows count for all their items; empty tables give no row or no hit; other columns stay untouched.
+Defined results: a null or empty text has no words; items without words find nothing; items with a null id hit like any
+other, but have no place among the items found; repeated documents are judged each for itself; equal windows count for all
+their items; empty tables give no row or no hit; other columns stay untouched.
 """
 
 from __future__ import annotations
@@ -77,10 +78,10 @@ def matchers(items: list[tuple[object, str | None]]) -> list[WuManber]:
     return [WuManber(m, patterns) for m, patterns in sorted(by_length.items())]
 
 
-def item_blocks(items: DataFrame) -> Iterator[list[tuple[str, str]]]:
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[str | None, str]]]:
     """The items in blocks of bounded size, one at a time on the driver."""
     block, size = [], 0
-    for row in items.select(F.col("item_id").cast("string"), "text").where("text IS NOT NULL AND item_id IS NOT NULL").toLocalIterator():
+    for row in items.select(F.col("item_id").cast("string"), "text").where("text IS NOT NULL").toLocalIterator():
         if block and size + len(row[1]) > BLOCK_BYTES:
             yield block
             block, size = [], 0
@@ -125,7 +126,7 @@ def find_windows(docs: DataFrame, items: DataFrame, result: str) -> DataFrame:
                     for one in searches:
                         for start, items_found in one.find(words):
                             spans.append((start, start + one.length))
-                            names.update(items_found)
+                            names.update(x for x in items_found if x is not None)
                     made.append({"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in _joined(spans)], "items": sorted(names)})
                 columns = [*batch.columns[:-1], pa.array(made, batch.schema.field(len(schema) - 1).type)]
                 yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
