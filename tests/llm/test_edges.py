@@ -60,6 +60,10 @@ def test_simhash(docs, nothing):
     assert simhash.one_of_each(docs).where("doc_id = 8").count() == 2
 
 
+def test_one_of_each_keeps_rows_without_an_id(docs):
+    assert simhash.one_of_each(docs).where("doc_id IS NULL").collect() == docs.where("doc_id IS NULL").collect()
+
+
 def simhash_hex(value):
     return f"{value & (1 << 64) - 1:016x}"
 

@@ -11,7 +11,7 @@ spanning forest of the links it finds (at most as many as it has rows), never al
 reachability is exact.
 
 Defined results: a null text or one without words has fingerprint zero, linked like any other; repeated rows of one id
-are one member; a null id is left out of results; an empty table gives no row; other columns are ignored.
+are one member; a null id is left out of results (``one_of_each`` keeps its rows, unjudged); an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -206,6 +206,6 @@ def hex_text(fingerprint: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Of each component the document with the smallest id, with its own columns."""
+    """Of each component the document with the smallest id, with its own columns, and all documents without an id."""
     stay = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("stay_id"))
-    return docs.join(stay, F.col("doc_id").cast("long") == F.col("stay_id"), "left_semi")
+    return docs.join(stay, F.col("doc_id").cast("long") == F.col("stay_id"), "left_semi").union(docs.where("doc_id IS NULL"))
