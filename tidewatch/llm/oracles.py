@@ -1,3 +1,74 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+
+def _collocations() -> str:
+    """Phrases by lists of words; cuts and containment by joins on the phrase."""
+    grams = "\n    UNION ALL ".join(
+        f"SELECT lang, {m} AS m, unnest(list_transform(range(1, len(w) - {m - 2}), lambda i: array_to_string(w[i:i + {m - 1}], ' '))) AS phrase FROM pieces WHERE len(w) >= {m}"
+        for m in range(1, 6))
+    return rf"""
+WITH parts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]'), lambda x: x <> '') AS w FROM parts),
+grams AS ({grams}),
+counts AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND a >= 100),
+cuts AS (
+    SELECT lang, phrase, m, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)),
+scores AS (
+    SELECT c.lang, c.phrase, c.m, c.a, c.k, f.a AS l, s.a AS r, t.n,
+           ((1000::HUGEINT * c.a * t.n) // (f.a::HUGEINT * s.a))::BIGINT AS score
+    FROM cuts c JOIN counts f ON f.lang = c.lang AND f.phrase = c.first AND f.m = c.k
+    JOIN counts s ON s.lang = c.lang AND s.phrase = c.rest AND s.m = c.m - c.k JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM candidates c WHERE c.lang = b.lang AND c.m > b.m AND 100 * c.a >= 100 * b.a
+        AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
+
+
+def _clusters() -> str:
+    """Three rounds of assignment and floored means as a chain of views; distances in long."""
+    floor_mean = "((total - ((total % n) + n) % n) // n)::BIGINT"
+
+    def assigned(k: int) -> str:
+        return f"""
+a{k} AS MATERIALIZED (
+    SELECT row, vec_id, v, arg_min(cluster, (d, cluster)) AS cluster, min(d)::BIGINT AS distance FROM (
+        SELECT x.row, x.vec_id, x.v, c.cluster, list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM vectors x, c{k} c) GROUP BY row, vec_id, v)"""
+
+    def moved(k: int) -> str:
+        return f"""
+m{k} AS (
+    SELECT cluster, list({floor_mean} ORDER BY place) AS v FROM (
+        SELECT cluster, place, sum(x)::HUGEINT AS total, count(*)::HUGEINT AS n
+        FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS place FROM a{k}) GROUP BY cluster, place) GROUP BY cluster),
+c{k + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{k} c LEFT JOIN m{k} m USING (cluster))"""
+
+    chain = ",".join(f"{assigned(k)},{moved(k)}" for k in range(3)) + "," + assigned(3)
+    return f"""
+WITH vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+    SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1)::INTEGER AS cluster, v FROM vectors WHERE vec_id IS NOT NULL
+    QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), v) <= 16),{chain}
+SELECT a.vec_id, a.cluster, a.distance, sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+       sum(a.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a3 a JOIN c3 c USING (cluster)
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op11_phrase_collocations": _collocations(),
+    "op12_centroid_clusters": _clusters(),
+}

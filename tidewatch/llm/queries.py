@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chat, licences, packing, pii, quality, simhash, substrings, warc, wavelet, wumanber
+from tidewatch.llm import centroids, chat, licences, packing, phrases, pieces, pii, quality, simhash, substrings, warc, wavelet, wumanber
 from tidewatch.llm.common import table
 from tidewatch.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_VOCABULARY, WORD_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def vocabulary(name: str) -> str:
@@ -75,8 +75,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.clustered(table(spark, sf_dir, "embeddings")))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), vocabulary(PIECE_MODEL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_simhash_near_dedup, op3_wavelet_tokens, op4_packing, op5_decontamination, op6_pii,
-        op7_licence_rules, op8_chat_format, op9_warc_normaliser, op10_substring_dedup)
+        op7_licence_rules, op8_chat_format, op9_warc_normaliser, op10_substring_dedup, op11_phrase_collocations,
+        op12_centroid_clusters, op13_sentence_pieces)
 }
