@@ -1,8 +1,9 @@
 """Phrase collocations by vertical partitioning of word suffixes (operator 11).
 
-Phrases of two to five words are counted by depth-truncated suffix trees, built independently per group of prefixes:
+Phrases of two to five words are counted by depth-truncated suffix trees, built independently per group of prefixes. Texts
+are read once, into blocks of numbered words that are written to the shared folder; all steps read those:
 
-1. Words are counted per language, combined in each task. Words below the least count cannot be part of a candidate.
+1. Words are counted per language, combined in each block. Words below the least count cannot be part of a candidate.
 2. Prefixes, pairs of words, are counted by 64-bit hash. Pairs below the least count end a suffix, so suffixes are
    truncated there. What is kept is a bitmap of fixed size: a wrong hit lets a suffix run on and changes no count.
 3. The frequencies of the prefixes give the number of groups that keep each within the memory budget. A prefix beyond its
@@ -14,8 +15,8 @@ Phrases of two to five words are counted by depth-truncated suffix trees, built
 Scores are decimal integers; products have up to 38 digits. All joins are on a phrase that one side has once.
 
 Defined results: a null text has no word; a null language is ``und``; repeated rows count each time; ties are ordered by
-count, then phrase; an empty table gives no row; columns beside those named are ignored. Very long texts are read in blocks,
-each beginning with the last words of the one before.
+count, then phrase; an empty table gives no row; columns beside those named are ignored. A very long text is cut into several
+blocks, each of which ends with the first words of the next.
 """
 
 from __future__ import annotations
@@ -35,13 +36,15 @@ PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Bits of a bitmap of hashes: 8 MB, whatever the table.
 BITS = 1 << 26
 CHUNK_BITS = 1 << 14
-#: Bytes of text that a task reads at once; pairs that it combines before sending; distinct words that it holds.
-BLOCK_BYTES, COMBINED_PAIRS, COMBINED_WORDS = 4_000_000, 8_000_000, 1_000_000
+#: Bytes of text in a block; pairs that a task combines before sending.
+BLOCK_BYTES, COMBINED_PAIRS = 8_000_000, 8_000_000
 #: Suffixes of a group, about, and of a prefix before it is extended.
 GROUP_SUFFIXES = 1_000_000
 PREFIX_SUFFIXES = GROUP_SUFFIXES // 4
 _END = b"."
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + PIECE_ENDS + BLANKS, bytes(range(97, 123)) + _END * len(PIECE_ENDS) + b" " * len(BLANKS))
+#: Rows of a batch that are Python objects at once.
+ROWS = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,78 +87,84 @@ def bitmap(rows: DataFrame, column: str = "h") -> bytes:
     return bytes(made)
 
 
-def _blocks(texts):
-    """Bytes of several texts, joined as pieces; a long text in parts cut at a blank."""
-    held, size = [], 0
-    for text in texts:
-        data = text.encode("utf-8", "surrogatepass").translate(_TABLE)
-        at = 0
-        while len(data) - at > BLOCK_BYTES:
-            stop = max(data.rfind(b" ", at, at + BLOCK_BYTES), data.rfind(_END, at, at + BLOCK_BYTES))
-            if stop <= at:
-                break
-            yield b"".join([*held, data[at:stop]])
-            held, size, at = [], 0, stop
-        held += [data[at:], _END]
-        size += len(data) - at
-        if size >= BLOCK_BYTES:
-            yield b"".join(held)
-            held, size = [], 0
-    if held:
-        yield b"".join(held)
-
-
-class Reader:
-    """Words of one language in one task: their numbers and hashes. Number 0 ends a piece."""
-
-    def __init__(self, lang: str, frequent: Bitmap | None = None):
-        self.lang, self.frequent = lang, frequent
-        self.numbers: dict[bytes, int] = {_END: 0}
-        self.words: list[bytes] = [_END]
-        self.h, self.known = np.zeros(1, np.uint64), np.zeros(1, bool)
-        self.pending: list[bytes] = []
-
-    def read(self, block: bytes, carry: int) -> tuple[np.ndarray, int]:
-        """Numbers of the words of a block, after the last ``carry`` of the block before, and how many of them start no
-        phrase yet (the last ``carry``, which the next block repeats)."""
-        words = self.pending + block.replace(_END, b" . ").split()
-        self.pending = words[len(words) - carry:] if carry else []
-        numbers = self.numbers
-        new = [w for w in dict.fromkeys(words) if w not in numbers]
-        if new:
-            numbers.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
-            self.words += new
-            h = hashes(self.lang, new)
-            self.h = np.concatenate([self.h, h])
-            self.known = np.concatenate([self.known, self.frequent.holds(h) if self.frequent else np.ones(len(h), bool)])
-        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), len(words) - len(self.pending)
-
-    def forget(self) -> None:
-        """Drop the numbers given so far (between blocks), to bound memory where words never end."""
-        pending = self.pending
-        self.__init__(self.lang, self.frequent)
-        self.pending = pending
-
-
-def _by_lang(batches, frequent=None):
-    """(reader, block) over a task's batches, with one reader a language."""
-    readers: dict[str, Reader] = {}
+class Numbers(dict):
+    """Words to numbers in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _words(text: str) -> list[bytes]:
+    """Words and ends of pieces."""
+    return text.encode("utf-8", "surrogatepass").translate(_TABLE).replace(_END, b" . ").split()
+
+
+def block(lang: str, words: list[bytes], starts: int) -> tuple:
+    """A row of ``BLOCKS``: distinct words, the number of each word of the block (0 ends a piece), and how many places, from
+    the first, may start a phrase (what follows is there to end phrases)."""
+    numbers = Numbers({_END: 0})
+    listed = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+    return lang, b" ".join(numbers), listed.tobytes(), starts
+
+
+def _make_blocks(batches):
+    held: dict[str, tuple[list[bytes], int]] = {}
+
+    def row(lang: str, words: list[bytes], starts: int) -> pa.RecordBatch:
+        return _batch(BLOCKS, **{name: [value] for name, value in zip(BLOCKS, block(lang, words, starts), strict=True)})
+
     for batch in batches:
-        texts: dict[str, list[str]] = {}
-        for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            texts.setdefault(lang, []).append(text)
-        for lang, some in texts.items():
-            reader = readers.setdefault(lang, Reader(lang, frequent))
-            for block in _blocks(some):
-                yield reader, block
-    for reader in readers.values():  # the last words of all, which no block repeats
-        yield reader, _END * DEPTH
+        for at in range(0, batch.num_rows, ROWS):
+            for lang, text in zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns), strict=True):
+                words, size = held.pop(lang, ([], 0))
+                new = _words(text)
+                if len(text) > BLOCK_BYTES:  # alone, in several blocks
+                    step = max(1, BLOCK_BYTES * len(new) // max(1, len(text)))
+                    for first in range(0, len(new), step):
+                        part = new[first : first + step + DEPTH - 1]
+                        yield row(lang, part, min(step, len(part)))
+                else:
+                    words += new
+                    words.append(_END)
+                    size += len(text)
+                if size >= BLOCK_BYTES:
+                    yield row(lang, words, len(words))
+                    words, size = [], 0
+                held[lang] = words, size
+            if sum(size for _, size in held.values()) > 2 * BLOCK_BYTES:  # many languages in one task
+                for lang, (words, _) in held.items():
+                    yield row(lang, words, len(words))
+                held.clear()
+    for lang, (words, _) in held.items():
+        if words:
+            yield row(lang, words, len(words))
+
+
+class Block:
+    """Words of one language: their numbers, and hash and frequency of each number."""
+
+    def __init__(self, lang: str, vocabulary: bytes, numbers: bytes, starts: int, frequent: Bitmap | None = None):
+        self.lang, self.starts = lang, starts
+        self.words = vocabulary.split(b" ")
+        self.numbers = np.frombuffer(numbers, np.int32).astype(np.int64)
+        self.h = hashes(lang, self.words)
+        self.known = frequent.holds(self.h) if frequent else np.ones(len(self.words), bool)
+        self.known[0] = False
+
+
+def _read_blocks(batches, frequent: Bitmap | None = None):
+    for batch in batches:
+        for at in range(batch.num_rows):
+            (lang,), (vocabulary,), (numbers,), (starts,) = (c.to_pylist() for c in batch.slice(at, 1).columns)
+            yield Block(lang, vocabulary, numbers, starts, frequent)
 
 
 def _batch(kinds: dict, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[name], kind) for name, kind in kinds.items()], names=list(kinds))
 
 
+BLOCKS = {"lang": pa.string(), "vocabulary": pa.binary(), "numbers": pa.binary(), "starts": pa.int64()}
 WORDS = {"lang": pa.string(), "word": pa.string(), "h": pa.int64(), "n": pa.int64()}
 PAIRS = {"h": pa.int64(), "n": pa.int64()}
 SUFFIXES = {"grp": pa.int64(), "extended": pa.bool_(), "lang": pa.string(), "suffix": pa.string(), "n": pa.int64()}
@@ -163,39 +172,31 @@ NODES = {"lang": pa.string(), "phrase": pa.string(), "depth": pa.int32(), "a": p
 
 
 def _ddl(kinds: dict) -> str:
-    names = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.int32(): "int"}
+    names = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.int32(): "int", pa.binary(): "binary"}
     return ", ".join(f"{name} {names[kind]}" for name, kind in kinds.items())
 
 
 def _count_words(batches):
-    counts: dict[str, tuple[Reader, np.ndarray]] = {}
-
-    def sent(lang):
-        reader, n = counts.pop(lang)
-        words = [w.decode("utf-8", "surrogatepass") for w in reader.words[1:]]
-        yield _batch(WORDS, lang=[lang] * (len(words) + 1), word=[*words, None], h=np.r_[reader.h[1:], np.zeros(1, np.uint64)].view(np.int64), n=np.r_[n[1:], n[1:].sum()])
-        reader.forget()
-
-    for reader, block in _by_lang(batches):
-        found, _ = reader.read(block, 0)
-        n = counts.get(reader.lang, (None, np.zeros(0, np.int64)))[1]
-        now = np.bincount(found, minlength=len(reader.words))
-        now[: len(n)] += n
-        counts[reader.lang] = reader, now
-        if sum(len(n) for _, n in counts.values()) > COMBINED_WORDS:
-            for lang in list(counts):
-                yield from sent(lang)
-    for lang in list(counts):
-        yield from sent(lang)
-
-
-def _pairs_of(reader: Reader, numbers: np.ndarray, flagged: Bitmap | None) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each place and the next make a pair of frequent words (that ``flagged`` holds), and its hash."""
-    known, h = reader.known[numbers], reader.h[numbers]
+    """Counts of a block's words, and under no word the count of all."""
+    for part in _read_blocks(batches):
+        n = np.bincount(part.numbers[: part.starts], minlength=len(part.words))[1:]
+        some = np.flatnonzero(n)
+        words = [part.words[i + 1].decode("utf-8", "surrogatepass") for i in some.tolist()]
+        h = np.r_[part.h[1:][some], np.zeros(1, np.uint64)].view(np.int64)
+        yield _batch(WORDS, lang=[part.lang] * (len(some) + 1), word=[*words, None], h=h, n=np.r_[n[some], n.sum()])
+
+
+def _pairs_of(part: Block, flagged: Bitmap | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each place and the next make a pair of frequent words (that ``flagged`` holds), and the hashes of those that
+    do, in order."""
+    known = part.known[part.numbers]
     both = known[:-1] & known[1:]
-    pair = mixed(h[:-1], h[1:])
+    at = np.flatnonzero(both)
+    pair = mixed(part.h[part.numbers[at]], part.h[part.numbers[at + 1]])
     if flagged:
-        both[both] = flagged.holds(pair[both])
+        held = flagged.holds(pair)
+        both[at[~held]] = False
+        pair = pair[held]
     return both, pair
 
 
@@ -208,16 +209,13 @@ def _count_pairs(frequent: Bitmap):
             for at in range(0, len(h), 1 << 20):
                 yield _batch(PAIRS, h=h[at:at + (1 << 20)].view(np.int64), n=n[at:at + (1 << 20)])
 
-        for reader, block in _by_lang(batches, frequent):
-            numbers, starts = reader.read(block, 1)
-            both, pair = _pairs_of(reader, numbers, None)
-            held.append(pair[:starts][both[:starts]])
+        for part in _read_blocks(batches, frequent):
+            both, pair = _pairs_of(part)
+            held.append(pair[: np.count_nonzero(both[: part.starts])])
             size += len(held[-1])
             if size >= COMBINED_PAIRS:
                 yield from sent()
                 held, size = [], 0
-            if len(reader.words) > COMBINED_WORDS:
-                reader.forget()
         if size:
             yield from sent()
 
@@ -225,38 +223,39 @@ def _count_pairs(frequent: Bitmap):
 
 
 def _send_suffixes(frequent: Bitmap, flagged: Bitmap, extended: Bitmap, groups: int):
-    def combined(reader: Reader, numbers: np.ndarray, starts: int):
-        both, pair = _pairs_of(reader, numbers, flagged)
-        at = np.flatnonzero(both[:starts])
+    def combined(part: Block):
+        both, pair = _pairs_of(part, flagged)
+        numbers, size = part.numbers, len(part.words)
+        at = np.flatnonzero(both[: part.starts])
         if not len(at):
             return
+        prefix = pair[: len(at)]
         both = np.r_[both, np.zeros(DEPTH, bool)]
         length = np.full(len(at), 2)
-        whole = pair[at]
-        size = len(reader.words)
         key = numbers[at] * size + numbers[at + 1]
         going = np.ones(len(at), bool)
         for more in range(1, DEPTH - 1):
             going &= both[at + more]
-            length += going
-            new = numbers[at[going] + more + 1]
-            whole[going] = mixed(whole[going], reader.h[new])
-            key = np.unique(key, return_inverse=True)[1] * (size + 1)  # a rank, so that the next word fits beside it
-            key[going] += new + 1
+            on = np.flatnonzero(going)
+            length[on] += 1
+            # A rank, so that the next word fits beside it; suffixes that have ended keep a rank of their own.
+            ranks = np.unique(key, return_inverse=True)[1]
+            key = ranks * (size + 1)
+            key[on] += numbers[at[on] + more + 1] + 1
         _, first, n = np.unique(key, return_index=True, return_counts=True)
-        at, length, whole, prefix = at[first], length[first], whole[first], pair[at[first]]
-        long = extended.holds(prefix)
-        group = np.where(long, whole, prefix) % np.uint64(groups)
-        words = reader.words
+        at, length, prefix = at[first], length[first], prefix[first]
+        words = part.words
         listed = numbers.tolist()
-        texts = [b" ".join([words[w] for w in listed[a:a + d]]).decode("utf-8", "surrogatepass") for a, d in zip(at.tolist(), length.tolist(), strict=True)]
-        yield _batch(SUFFIXES, grp=group.astype(np.int64), extended=long, lang=[reader.lang] * len(texts), suffix=texts, n=n)
+        texts = [b" ".join([words[w] for w in listed[a : a + d]]) for a, d in zip(at.tolist(), length.tolist(), strict=True)]
+        long = extended.holds(prefix)
+        key = prefix.copy()
+        key[long] = hashes(part.lang, [texts[i] for i in np.flatnonzero(long).tolist()])
+        group = (key % np.uint64(groups)).astype(np.int64)
+        yield _batch(SUFFIXES, grp=group, extended=long, lang=[part.lang] * len(texts), suffix=[t.decode("utf-8", "surrogatepass") for t in texts], n=n)
 
     def run(batches):
-        for reader, block in _by_lang(batches, frequent):
-            yield from combined(reader, *reader.read(block, DEPTH - 1))
-            if len(reader.words) > COMBINED_WORDS:
-                reader.forget()
+        for part in _read_blocks(batches, frequent):
+            yield from combined(part)
 
     return run
 
@@ -308,13 +307,14 @@ def phrase_counts(docs: DataFrame, least: int = 100) -> tuple[DataFrame, DataFra
     each language (``lang``, ``total``). Both are written once."""
     spark = docs.sparkSession
     rows = docs.where("text IS NOT NULL").select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    counted = rows.mapInArrow(_count_words, _ddl(WORDS)).groupBy("lang", "word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
+    blocks = staged(rows.mapInArrow(_make_blocks, _ddl(BLOCKS)), "word-blocks")
+    counted = blocks.mapInArrow(_count_words, _ddl(WORDS)).groupBy("lang", "word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
     words = staged(counted.where(F.col("word").isNull() | (F.col("n") >= least)), "words")
     known = words.where("word IS NOT NULL")
     share = spark.sparkContext.broadcast
     frequent = share(bitmap(known))
 
-    pairs = rows.mapInArrow(lambda batches: _count_pairs(Bitmap(frequent.value))(batches), _ddl(PAIRS))
+    pairs = blocks.mapInArrow(lambda batches: _count_pairs(Bitmap(frequent.value))(batches), _ddl(PAIRS))
     pairs = staged(pairs.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "prefixes")
     suffixes = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     groups = groups_for(suffixes, GROUP_SUFFIXES, shuffle_partitions(spark))
@@ -323,7 +323,7 @@ def phrase_counts(docs: DataFrame, least: int = 100) -> tuple[DataFrame, DataFra
     def send(batches):
         return _send_suffixes(Bitmap(frequent.value), Bitmap(flagged.value), Bitmap(extended.value), groups)(batches)
 
-    nodes = rows.mapInArrow(send, _ddl(SUFFIXES)).groupBy("grp").applyInArrow(_subtree(least), _ddl(NODES))
+    nodes = blocks.mapInArrow(send, _ddl(SUFFIXES)).groupBy("grp").applyInArrow(_subtree(least), _ddl(NODES))
     phrases = nodes.groupBy("lang", "phrase", "depth").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     single = known.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("depth"), F.col("n").alias("a"))
     return staged(single.unionByName(phrases), "phrases"), words.where("word IS NULL").select("lang", F.col("n").alias("total"))
