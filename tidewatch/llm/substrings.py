@@ -2,26 +2,30 @@
 
 {0, 1, 3} is a difference cover modulo 7: for any two places some shift below 7 brings both to a residue of the cover. So
 two equal windows of 13 words share an anchor, seven words at a cover place of both texts, and only 3 of 7 places are
-hashed. Three steps, each a shuffle of hashes (never of windows or pairs):
-
-1. Anchors that occur in two documents or more are found.
-2. Each is extended to the windows of 13 words around it; the smallest document that has a window is found.
-3. Words under windows that a smaller document has are removed.
-
-Before each shuffle a task sends every hash once, with the smallest document that has it there, and settles the other
-documents of its batch itself. A hash thus arrives as often as there are batches, however common it is; buckets of hashes
-are as many as keep each at about ``BUCKET_BYTES`` of text. Anchors are 64-bit hashes, and only choose candidates; windows
-are compared by 128 bits.
-
-Defined results: a null or empty text has no words and keeps none; texts below 13 words lose nothing; repeated rows of one
-id count as one document and none removes from another; a null id sorts before all; an empty table gives no row; other
-columns are ignored.
+hashed. Texts are compressed and put into units of about ``UNIT_BYTES``, as they come, without a shuffle. Then:
+
+1. Each unit sends each of its anchors once, with the smallest document that has it and whether another has it too. A
+   bucket of anchors tells the units which anchors stand in two documents or more.
+2. A unit extends those, and those it shares within itself, to the windows of 13 words around them.
+3. Each unit sends each such window once, with the smallest document that has it; a bucket of windows tells the units
+   which have a smaller document elsewhere. A unit removes the words under windows that a smaller document has.
+
+Between units and buckets one row passes for each pair of them that has anything to say, with all hashes in it, so there
+are never more rows than hashes; a hash arrives as often as there are units, however common it is, and no row is addressed
+to a document, so neither a common text nor a common id makes a large group. Anchors are 63-bit hashes, and only choose
+candidates; windows are compared by 128 bits.
+
+Defined results: a null or empty text has no words and keeps none; texts below 13 words lose nothing; rows of one id, equal
+or not, count as one document and none removes from another; a null id sorts before all; an empty table gives no row; other
+columns are ignored. A text longer than a unit is one by itself.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +38,21 @@ from tidewatch.llm.common import groups_for, shuffle_partitions, staged, text_by
 
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
-#: Bytes of text whose hashes share a bucket, on average; bytes of text that a task combines before it sends hashes.
+#: Bytes of text whose hashes share a bucket, on average; bytes of text in a unit.
 BUCKET_BYTES = 16_000_000
-BATCH_BYTES = 24_000_000
+UNIT_BYTES = 12_000_000
 #: Stands for a null id, which sorts before all.
 NULL_ID = -(2**63)
-#: Groups of settled rows; each row is of one document.
-SETTLED = 4096
-SENT = "bucket long, settled boolean, doc_id long, hashes binary"
+ROWS = 256
+UNITS = "unit long, doc_id long, data binary"
+SENT = "bucket long, unit long, hashes binary"
+TOLD = "unit long, hashes binary"
+RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+FIRST = f"{RESULT}, unit long, data binary, marks binary"
+NAMES = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
+TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_ONE = np.uint64(1)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -50,10 +60,6 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
 def _rolled(h: np.ndarray, length: int, at: np.ndarray, factor: np.uint64) -> np.ndarray:
     """A hash of ``length`` words from each place of ``at``; every step mixes, so order counts."""
     out = np.zeros(len(at), np.uint64)
@@ -62,230 +68,252 @@ def _rolled(h: np.ndarray, length: int, at: np.ndarray, factor: np.uint64) -> np
     return out
 
 
-def cover_places(n: int) -> np.ndarray:
-    """Places of anchors in a text of ``n`` words; one too short for a window has none."""
-    places = np.arange(n - ANCHOR + 1 if n >= WINDOW else 0)
-    return places[np.isin(places % PERIOD, COVER)]
-
+def packed_text(text: str | None) -> bytes | None:
+    return None if text is None else zstandard.ZstdCompressor(level=3).compress(text.encode("utf-8", "surrogatepass"))
 
-def anchors(h: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return _rolled(h, ANCHOR, places, _MIX)
 
+def unpacked_words(data: bytes | None) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split() if data else []
 
-def window_hashes(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """128 bits of each window, as 16-byte rows."""
-    out = np.empty((len(starts), 2), np.uint64)
-    out[:, 0] = _rolled(h, WINDOW, starts, _MIX)
-    out[:, 1] = _rolled(h ^ np.uint64(0x5851F42D4C957F2D), WINDOW, starts, np.uint64(0xC2B2AE3D27D4EB4F))
-    return out
 
+class Unit:
+    """The words of some documents, one after another."""
+
+    def __init__(self, ids: list[int | None], data: list[bytes | None]):
+        self.ids, self.data = ids, data
+        self.words: list[bytes] = []
+        bounds = [0]
+        for part in data:
+            self.words += unpacked_words(part)
+            bounds.append(len(self.words))
+        self.bounds = np.array(bounds)
+        self.sizes = np.diff(self.bounds)
+        self.docs = np.array([NULL_ID if i is None else i for i in ids], np.int64)
+        self.h = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+        self.doc_of = np.repeat(np.arange(len(ids)), self.sizes)
+        self.place = np.arange(len(self.words)) - self.bounds[self.doc_of]
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of all anchors; a text too short for a window has none."""
+        size = self.sizes[self.doc_of]
+        at = np.flatnonzero(np.isin(self.place % PERIOD, COVER) & (self.place + ANCHOR <= size) & (size >= WINDOW))
+        return at, _rolled(self.h, ANCHOR, at, _MIX) & ~_ONE
+
+    def around(self, at: np.ndarray) -> np.ndarray:
+        """Which words start a window that holds an anchor at one of ``at``."""
+        marked = np.zeros(len(self.words), bool)
+        for back in range(PERIOD):
+            inside = (self.place[at] >= back) & (self.place[at] - back + WINDOW <= self.sizes[self.doc_of[at]])
+            marked[at[inside] - back] = True
+        return marked
+
+    def windows(self, starts: np.ndarray) -> np.ndarray:
+        """128 bits of each window, as 16-byte rows."""
+        out = np.empty((len(starts), 2), np.uint64)
+        out[:, 0] = _rolled(self.h, WINDOW, starts, _MIX)
+        out[:, 1] = _rolled(self.h ^ np.uint64(0x5851F42D4C957F2D), WINDOW, starts, np.uint64(0xC2B2AE3D27D4EB4F))
+        return out
+
+    def results(self, which: np.ndarray, covered: np.ndarray, with_text: bool) -> list[pa.Array]:
+        made = []
+        for i in which.tolist():
+            a, b = self.bounds[i], self.bounds[i + 1]
+            hit = covered[a:b]
+            gone = int(hit.sum())
+            words = self.words[a:b]
+            left = b" ".join([w for w, c in zip(words, hit.tolist(), strict=True) if not c] if gone else words)
+            made.append((self.ids[i], len(words), gone, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "surrogatepass") if with_text else None))
+        return [pa.array([m[k] for m in made], kind) for k, kind in enumerate(TYPES)]
+
+
+def _groups(hashes: np.ndarray, docs: np.ndarray):
+    """Entries by hash, then document: their order, where each hash starts, and the smallest and largest document of each."""
+    order = np.lexsort((docs, hashes)) if hashes.ndim == 1 else np.lexsort((docs, hashes[:, 1], hashes[:, 0]))
+    h = hashes[order]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1] if hashes.ndim == 1 else (h[1:] != h[:-1]).any(axis=1)
+    starts = np.flatnonzero(new)
+    return order, starts, docs[order][starts], docs[order][np.r_[starts[1:], len(h)] - 1] if len(h) else docs[:0]
 
-def _around(places: np.ndarray, n: int) -> np.ndarray:
-    """Starts of all windows that hold an anchor at one of ``places``."""
-    starts = (places[:, None] - np.arange(PERIOD)[None, :]).ravel()
-    return np.unique(starts[(starts >= 0) & (starts + WINDOW <= n)])
 
+def pack(lows: np.ndarray, hashes: np.ndarray) -> bytes:
+    """Hashes with a document each, which follow in runs."""
+    order = np.argsort(lows, kind="stable")
+    lows, hashes = lows[order], hashes[order]
+    starts = np.flatnonzero(np.r_[True, lows[1:] != lows[:-1]]) if len(lows) else np.zeros(0, int)
+    counts = np.diff(np.r_[starts, len(lows)])
+    return struct.pack("<I", len(starts)) + lows[starts].astype("<i8").tobytes() + counts.astype("<u4").tobytes() + hashes.astype("<u8").tobytes()
 
-def _words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split() if text else []
 
+def unpack(data: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    runs = struct.unpack_from("<I", data)[0]
+    lows, counts = np.frombuffer(data, "<i8", runs, 4), np.frombuffer(data, "<u4", runs, 4 + 8 * runs)
+    hashes = np.frombuffer(data, "<u8", -1, 4 + 12 * runs)
+    return np.repeat(lows, counts), hashes if width == 1 else hashes.reshape(-1, width)
 
-def _ordered(hashes: np.ndarray, docs: np.ndarray):
-    """Entries by hash, then document: order, and where each hash starts."""
-    width = hashes.ndim
-    order = np.lexsort((docs, hashes)) if width == 1 else np.lexsort((docs, hashes[:, 1], hashes[:, 0]))
-    h = hashes[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1] if width == 1 else (h[1:] != h[:-1]).any(axis=1)
-    return order, new
 
+def _rows(schema: str, *columns) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split(" ") for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], names=[name for name, _ in fields])
 
-def _grouped(docs: np.ndarray, hashes: np.ndarray, buckets, settled: bool):
-    """Rows of ``SENT``: hashes of each document (settled), or hashes with their documents of each bucket.
 
-    Settled rows have negative buckets by document, so that both kinds take the same shuffle.
-    """
-    if settled:
-        order = np.argsort(docs, kind="stable")
-        docs, hashes = docs[order], hashes[order]
-        cuts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else np.zeros(0, int)
-        parts = [(-1 - int(docs[a]) % SETTLED, int(docs[a]), hashes[a:b].tobytes()) for a, b in zip(cuts, np.r_[cuts[1:], len(docs)], strict=True)] if len(docs) else []
-    else:
-        order = np.lexsort((docs, buckets))  # runs of equal documents compress well
-        buckets, docs, hashes = buckets[order], docs[order], hashes[order]
-        cuts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(buckets) else np.zeros(0, int)
-        parts = [(int(buckets[a]), None, docs[a:b].tobytes() + hashes[a:b].tobytes()) for a, b in zip(cuts, np.r_[cuts[1:], len(buckets)], strict=True)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([p[0] for p in parts], pa.int64()), pa.array([settled] * len(parts), pa.bool_()), pa.array([p[1] for p in parts], pa.int64()), pa.array([p[2] for p in parts], pa.binary())],
-        names=["bucket", "settled", "doc_id", "hashes"])
-
-
-def _combined(docs: np.ndarray, hashes: np.ndarray, buckets: int, own_too: bool):
-    """Settle what a batch can: its documents beyond the smallest of a hash (with ``own_too`` that one as well, if it is not
-    the only one). The smallest goes to the hash's bucket."""
-    order, new = _ordered(hashes, docs)
-    docs, hashes = docs[order], hashes[order]
-    again = np.zeros(len(docs), bool)
-    again[1:] = ~new[1:] & (docs[1:] == docs[:-1])
-    docs, hashes, new = docs[~again], hashes[~again], new[~again]
-    shared = ~new
-    if own_too:
-        shared[:-1] |= ~new[1:]
-    first = hashes[new] if hashes.ndim == 1 else hashes[new][:, 0]
-    yield _grouped(docs[shared], hashes[shared], None, True)
-    yield _grouped(docs[new], hashes[new], ((first >> np.uint64(17)) % np.uint64(buckets)).astype(np.int64), False)
-
-
-def _collecting(make, buckets: int, own_too: bool):
-    """Task over batches: collect (documents, hashes) up to a bound, then combine and send."""
+def _to_buckets(unit: int, lows: np.ndarray, hashes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    key = hashes if hashes.ndim == 1 else hashes[:, 0]
+    bucket = ((key >> np.uint64(17)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    found, starts = np.unique(bucket[order], return_index=True)
+    parts = [pack(lows[o], hashes[o]) for o in np.split(order, starts[1:])] if len(found) else []
+    return _rows(SENT, found, [unit] * len(found), parts)
 
-    def run(batches):
-        docs, hashes, size = [], [], 0
 
-        def flush():
-            yield from _combined(np.concatenate(docs), np.concatenate(hashes), buckets, own_too)
+def _in_units(batches):
+    """Texts, compressed, with a number for each run of about ``UNIT_BYTES`` of them."""
+    from pyspark import TaskContext
 
-        for batch in batches:
-            for doc_id, text, *more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = make(text, *more)
-                if len(found):
-                    docs.append(np.full(len(found), NULL_ID if doc_id is None else doc_id, np.int64))
-                    hashes.append(found)
+    unit, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            units, data = [], []
+            for text in part.column(1).to_pylist():
+                if size and size + len(text or "") > UNIT_BYTES:
+                    unit, size = unit + 1, 0
                 size += len(text or "")
-                if size >= BATCH_BYTES and docs:
-                    yield from flush()
-                    docs, hashes, size = [], [], 0
-        if docs:
-            yield from flush()
-
-    return run
+                units.append(unit)
+                data.append(packed_text(text))
+            yield pa.RecordBatch.from_arrays([pa.array(units, pa.int64()), part.column(0), pa.array(data, pa.binary())], names=["unit", "doc_id", "data"])
 
 
-def _answering(width: int, own_too: bool):
-    """Task over one bucket: which documents share a hash with another (or, without ``own_too``, a smaller one)."""
+def _unit_runs(batches) -> Iterator[tuple[int, list[list]]]:
+    """(unit, columns) for each run of rows of one unit; a run that was split between tasks comes in parts."""
+    unit, held = None, []
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        cuts = [i for i in range(1, batch.num_rows) if columns[0][i] != columns[0][i - 1]]
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            if a == b:
+                continue
+            if columns[0][a] != unit and held:
+                yield unit, held
+                held = []
+            unit = columns[0][a]
+            held = [x + c[a:b] for x, c in zip(held, columns[1:], strict=True)] if held else [c[a:b] for c in columns[1:]]
+    if held:
+        yield unit, held
+
+
+def _send_anchors(buckets: int):
+    def run(batches):
+        for unit, (ids, data) in _unit_runs(batches):
+            texts = Unit(ids, data)
+            at, h = texts.anchors()
+            order, starts, low, high = _groups(h, texts.docs[texts.doc_of[at]])
+            yield _to_buckets(unit, low, h[order][starts] | (low != high).astype(np.uint64), buckets)
 
-    def answer(group: pa.Table) -> pa.Table:
-        if group["bucket"][0].as_py() < 0:
-            return group
-        docs, hashes = [], []
-        for part in group["hashes"]:
-            data = part.as_buffer()
-            n = len(data) // (8 + 8 * width)
-            docs.append(np.frombuffer(data, np.int64, n))
-            got = np.frombuffer(data, np.uint64, n * width, 8 * n)
-            hashes.append(got if width == 1 else got.reshape(-1, width))
-        docs, hashes = np.concatenate(docs), np.concatenate(hashes)
-        order, new = _ordered(hashes, docs)
-        docs, hashes = docs[order], hashes[order]
-        starts = np.flatnonzero(new)
-        group_of = np.cumsum(new) - 1
-        low = docs[starts][group_of]
-        shared = docs != low
-        if own_too:
-            other = np.zeros(len(starts), bool)
-            np.logical_or.at(other, group_of[shared], True)
-            shared = other[group_of]
-        out = _grouped(docs[shared], hashes[shared], None, True)
-        return pa.Table.from_batches([out])
+    return run
 
-    return answer
 
+def _answer_anchors(group: pa.Table) -> pa.Table:
+    """Anchors of two documents or more, for each unit that sent one of a single document."""
+    units, lows, hashes = _received(group, 1)
+    several = hashes & _ONE
+    hashes = hashes & ~_ONE
+    order, starts, low, high = _groups(hashes, lows)
+    shared = (low != high) | (np.maximum.reduceat(several[order], starts) > 0)
+    told = np.repeat(shared, np.diff(np.r_[starts, len(order)])) & (several[order] == 0)
+    return _to_units(units[order][told], hashes[order][told, None])
 
-def _asked(sent: DataFrame, width: int, own_too: bool) -> DataFrame:
-    """``known_id`` and its hashes that were settled or answered, one row a document."""
-    answered = sent.groupBy("bucket").applyInArrow(_answering(width, own_too), SENT)
-    return answered.groupBy(F.col("doc_id").alias("known_id")).agg(F.collect_list("hashes").alias("known"))
 
+def _send_windows(buckets: int):
+    def run(batches):
+        for unit, (ids, data, marks) in _unit_runs(batches):
+            texts = Unit(ids, data)
+            starts = _marked(texts, marks)
+            h = texts.windows(starts)
+            order, first, low, _ = _groups(h, texts.docs[texts.doc_of[starts]])
+            yield _to_buckets(unit, low, h[order][first], buckets)
 
-def _flagged(known, width: int) -> np.ndarray:
-    data = np.frombuffer(b"".join(known), np.uint64)
-    return data if width == 1 else data.reshape(-1, 2)
+    return run
 
 
-def packed_text(text: str | None) -> bytes | None:
-    return None if text is None else zstandard.ZstdCompressor(level=3).compress(text.encode("utf-8", "surrogatepass"))
+def _answer_windows(group: pa.Table) -> pa.Table:
+    """Windows with the smallest document that has them, for each unit whose own smallest is larger."""
+    units, lows, hashes = _received(group, 2)
+    order, starts, low, _ = _groups(hashes, lows)
+    least = np.repeat(low, np.diff(np.r_[starts, len(order)]))
+    told = lows[order] > least
+    return _to_units(units[order][told], np.c_[hashes[order][told], least[told].view(np.uint64)])
 
 
-def unpacked_words(data: bytes | None) -> list[bytes]:
-    return zstandard.ZstdDecompressor().decompress(data).split() if data else []
+def _received(group: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [unpack(part.as_buffer(), width) for part in group["hashes"]]
+    units = np.repeat(group["unit"].to_numpy(), [len(p[0]) for p in parts])
+    return units, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
-def _anchors_of(text: str | None) -> np.ndarray:
-    h = word_hashes(_words(text))
-    return np.unique(anchors(h, cover_places(len(h))))
+def _to_units(units: np.ndarray, values: np.ndarray) -> pa.Table:
+    order = np.argsort(units, kind="stable")
+    found, starts = np.unique(units[order], return_index=True)
+    parts = [np.ascontiguousarray(values[o]).astype("<u8").tobytes() for o in np.split(order, starts[1:])] if len(found) else []
+    return pa.Table.from_batches([_rows(TOLD, found, parts)])
 
 
-def _marks(words: list[bytes], known) -> bytes:
-    """A bitmap of the starts of windows around the flagged anchors; empty if there are none."""
-    h = word_hashes(words)
-    places = cover_places(len(h))
-    starts = _around(places[np.isin(anchors(h, places), _flagged(known, 1))], len(h))
-    marked = np.zeros(len(h), bool)
-    marked[starts] = True
-    return zlib.compress(np.packbits(marked).tobytes(), 1) if len(starts) else b""
+def _told(group: pa.Table, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(group["hashes"].to_pylist()), "<u8").reshape(-1, width)
 
 
-def _marked_windows(words: list[bytes], marks: bytes) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(marks), np.uint8), count=len(words)))
-    return starts, window_hashes(word_hashes(words), starts)
+def _mark(with_text: bool):
+    """Task over one unit: ends the work on documents without a window to compare, and marks the windows of the others."""
 
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        if not len(docs):
+            return pa.table({n: pa.array([], t) for n, t in zip([*NAMES, "unit", "data", "marks"], [*TYPES, pa.int64(), pa.binary(), pa.binary()], strict=True)})
+        ids, data = docs["doc_id"].to_pylist(), docs["data"].to_pylist()
+        texts = Unit(ids, data)
+        at, h = texts.anchors()
+        order, starts, low, high = _groups(h, texts.docs[texts.doc_of[at]])
+        flagged = np.union1d(h[order][starts][low != high], _told(told, 1)[:, 0])
+        marked = texts.around(at[np.isin(h, flagged)])
+        waits = np.zeros(len(ids), bool)
+        waits[texts.doc_of[marked]] = True
+        done, waiting = np.flatnonzero(~waits), np.flatnonzero(waits)
+        bits = [zlib.compress(np.packbits(marked[texts.bounds[i]:texts.bounds[i + 1]]).tobytes(), 1) for i in waiting.tolist()]
+        ended = pa.table([*texts.results(done, np.zeros(len(texts.words), bool), with_text), *(pa.nulls(len(done), t) for t in (pa.int64(), pa.binary(), pa.binary()))], names=[*NAMES, "unit", "data", "marks"])
+        unit = docs["unit"][0].as_py()
+        left = [pa.array([ids[i] for i in waiting.tolist()], pa.int64()), *(pa.nulls(len(waiting), t) for t in TYPES[1:])]
+        open_ = pa.table([*left, pa.array([unit] * len(waiting), pa.int64()), pa.array([data[i] for i in waiting.tolist()], pa.binary()), pa.array(bits, pa.binary())], names=ended.column_names)
+        return pa.concat_tables([ended, open_])
 
-def _windows_of(data: bytes | None, marks: bytes) -> np.ndarray:
-    return _marked_windows(unpacked_words(data), marks)[1]
+    return run
 
 
-def _kept(words: list[bytes], marks=None, repeated=None) -> tuple[int, int, str, str]:
-    covered = np.zeros(len(words), bool)
-    if repeated:
-        starts, mine = _marked_windows(words, marks)
-        hit = starts[np.isin(mine.view("V16").ravel(), _flagged(repeated, 2).view("V16").ravel())]
-        edges = np.zeros(len(words) + 1, np.int64)
+def _marked(texts: Unit, marks: list[bytes]) -> np.ndarray:
+    """Starts of the marked windows of a unit's documents."""
+    bits = [np.unpackbits(np.frombuffer(zlib.decompress(m), np.uint8), count=n) for m, n in zip(marks, texts.sizes.tolist(), strict=True)]
+    return np.flatnonzero(np.concatenate(bits))
+
+
+def _remove(with_text: bool):
+    """Task over one unit: documents without the words under windows that a smaller document has."""
+
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        if not len(docs):
+            return pa.table({n: pa.array([], t) for n, t in zip(NAMES, TYPES, strict=True)})
+        texts = Unit(docs["doc_id"].to_pylist(), docs["data"].to_pylist())
+        starts = _marked(texts, docs["marks"].to_pylist())
+        answers = _told(told, 3)
+        mine = texts.docs[texts.doc_of[starts]]
+        every = np.concatenate([texts.windows(starts), answers[:, :2]])
+        order, first, low, _ = _groups(every, np.concatenate([mine, answers[:, 2].view(np.int64)]))
+        least = np.empty(len(every), np.int64)
+        least[order] = np.repeat(low, np.diff(np.r_[first, len(every)]))
+        hit = starts[mine > least[: len(starts)]]
+        edges = np.zeros(len(texts.words) + 1, np.int64)
         np.add.at(edges, hit, 1)
         np.add.at(edges, hit + WINDOW, -1)
         covered = np.cumsum(edges[:-1]) > 0
-    left = b" ".join([w for w, c in zip(words, covered.tolist(), strict=True) if not c] if covered.any() else words)
-    return len(words), int(covered.sum()), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "surrogatepass")
-
-
-TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string())
-RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-NAMES = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
-
-
-def _pack(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([packed_text(t) for t in part.column(1).to_pylist()], pa.binary())], names=["doc_id", "data"])
-
-
-def _results(ids, made, with_text: bool) -> list[pa.Array]:
-    return [pa.array(ids, pa.int64()), *(pa.array([m[i] if i < 3 or with_text else None for m in made], t) for i, t in enumerate(TYPES))]
-
-
-def _first_pass(with_text: bool):
-    """Task that ends the work on documents without a window to compare, and marks the windows of the others."""
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids, data, known = (c.to_pylist() for c in batch.slice(at, 256).columns)
-                words = [unpacked_words(x) for x in data]
-                marks = [_marks(w, k) if k else b"" for w, k in zip(words, known, strict=True)]
-                made = [(None,) * 4 if m else _kept(w) for w, m in zip(words, marks, strict=True)]
-                waiting = [pa.array([x if m else None for x, m in zip(column, marks, strict=True)], pa.binary()) for column in (data, marks)]
-                yield pa.RecordBatch.from_arrays([*_results(ids, made, with_text), *waiting], names=[*NAMES, "data", "marks"])
-
-    return run
-
-
-def _last_pass(with_text: bool):
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids, data, marks, repeated = (c.to_pylist() for c in batch.slice(at, 256).columns)
-                made = [_kept(unpacked_words(x), m, r) for x, m, r in zip(data, marks, repeated, strict=True)]
-                yield pa.RecordBatch.from_arrays(_results(ids, made, with_text), names=NAMES)
+        return pa.table(texts.results(np.arange(len(texts.ids)), covered, with_text), names=NAMES)
 
     return run
 
@@ -293,19 +321,16 @@ def _last_pass(with_text: bool):
 def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text`` (null unless asked for) of every document.
 
-    Texts, compressed, are moved once to meet their flagged anchors; those without a window to compare are done then, and
-    only the others are staged and moved again.
+    Texts, compressed, are moved once to meet what their unit was told; those without a window to compare are done then,
+    and only the others are staged and moved again.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    buckets = groups_for(text_bytes(rows), BUCKET_BYTES, shuffle_partitions(spark))
-    key = F.coalesce("doc_id", F.lit(NULL_ID))
-
-    shared = _asked(rows.mapInArrow(_collecting(_anchors_of, buckets, True), SENT), 1, True)
-    met = rows.mapInArrow(_pack, "doc_id long, data binary").join(shared, key == F.col("known_id"), "left").select("doc_id", "data", "known")
-    first = staged(met.mapInArrow(_first_pass(with_text), RESULT + ", data binary, marks binary"), "first-pass")
-    waiting = first.where("marks IS NOT NULL").select("doc_id", "data", "marks")
-    smaller = _asked(waiting.mapInArrow(_collecting(_windows_of, buckets, False), SENT), 2, False)
-    smaller = smaller.select("known_id", F.col("known").alias("repeated"))
-    changed = waiting.join(smaller, key == F.col("known_id"), "left").select("doc_id", "data", "marks", "repeated")
-    return first.where("marks IS NULL").select(*NAMES).union(changed.mapInArrow(_last_pass(with_text), RESULT))
+    buckets = groups_for(text_bytes(rows), BUCKET_BYTES, shuffle_partitions(docs.sparkSession))
+
+    units = staged(rows.mapInArrow(_in_units, UNITS), "units")
+    anchors = units.mapInArrow(_send_anchors(buckets), SENT).groupBy("bucket").applyInArrow(_answer_anchors, TOLD)
+    first = staged(units.groupBy("unit").cogroup(anchors.groupBy("unit")).applyInArrow(_mark(with_text), FIRST), "first-pass")
+    waiting = first.where("marks IS NOT NULL").select("unit", "doc_id", "data", "marks")
+    windows = waiting.mapInArrow(_send_windows(buckets), SENT).groupBy("bucket").applyInArrow(_answer_windows, TOLD)
+    changed = waiting.groupBy("unit").cogroup(windows.groupBy("unit")).applyInArrow(_remove(with_text), RESULT)
+    return first.where("marks IS NULL").select(*NAMES).union(changed)
