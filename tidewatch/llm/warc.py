@@ -1,9 +1,10 @@
 """Monolithic gzip archives normalised to one member a record, with a sidecar index (operator 9).
 
-Pages are written as WARC records into whole-file gzip streams. The normaliser inflates each stream once, from start to
-end in bounded pieces, writes every record as a gzip member of its own, and a sidecar with offset and length of each, so
-that a record can be read alone. Of pages with equal payloads that with the largest id is a response; the others are
-revisit records, which refer to it and hold only the HTTP header.
+Pages are written, where they are read, as WARC response records into whole-file gzip streams. Digests alone are compared:
+of pages with equal payloads that with the largest id stays a response, the others become revisit records, which refer to it
+and hold only the HTTP header. The normaliser inflates each stream once, from start to end in bounded pieces, writes every
+record, or the revisit in its place, as a gzip member of its own, and a sidecar with offset and length of each, so that a
+record can be read alone. No page is shuffled; the streams are removed once the index is written.
 
 Defined results: a null html is an empty payload; rows that share the largest id of a payload are all responses; a null id
 is written without an id field and is the smallest; an empty table writes nothing; other columns are ignored.
@@ -12,40 +13,54 @@ is written without an id field and is the smallest; an empty table writes nothin
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import groups_for, open_folder, shuffle_partitions, staged, text_bytes, write_whole
-from tidewatch.session import shared_folder
+from tidewatch.llm.common import groups_for, open_folder, shuffle_partitions, staged, write_whole
+from tidewatch.session import remove_shared_folder, shared_folder
 
-#: Bytes of records in one archive, about; payloads below this size are never revisits (the contract has no such size).
+#: Bytes of records in one archive, about.
 ARCHIVE_BYTES = 16_000_000
 PIECE = 1 << 20
-FILES = "file string, records long"
+#: Pages of one batch that are Python objects at once.
+ROWS = 256
+WRITTEN = "file string, place int, page_id long, sha1 binary, size long"
 INDEX = "archive string, offset long, length long"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 ID_FIELD = "<urn:x-page:{}>"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, sha1: bytes, refers_to: int | None) -> bytes:
-    """One WARC record. A revisit (``refers_to``) leaves the payload out; its HTTP header still tells the length."""
+def _joined(fields: list[tuple[str, str]], block: bytes) -> bytes:
+    head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in [*fields, ("Content-Length", str(len(block)))]) + "\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, sha1: bytes) -> bytes:
+    """One response record."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = http if refers_to is not None else http + payload
-    fields = [("WARC-Type", "response" if refers_to is None else "revisit")]
+    fields = [("WARC-Type", "response")]
     if page_id is not None:
         fields.append(("WARC-Record-ID", ID_FIELD.format(page_id)))
     fields += [("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", "".join(" " if c in "\r\n" else c for c in url or ""))]
-    if refers_to is not None:
-        fields += [("WARC-Refers-To", ID_FIELD.format(refers_to)), ("WARC-Profile", PROFILE)]
-    fields += [("WARC-Payload-Digest", "sha1:" + base64.b32encode(sha1).decode()), ("Content-Type", "application/http;msgtype=response"), ("Content-Length", str(len(block)))]
-    head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
-    return head.encode() + block + b"\r\n\r\n"
+    fields += [("WARC-Payload-Digest", "sha1:" + base64.b32encode(sha1).decode()), ("Content-Type", "application/http;msgtype=response")]
+    return _joined(fields, http + payload)
+
+
+def revisit(data: bytes, refers_to: int) -> bytes:
+    """The revisit record in place of a response: its payload is left out, its HTTP header still tells the length."""
+    fields, start = read_head(data)
+    fields.pop("Content-Length")
+    fields["WARC-Type"] = "revisit"
+    fields |= {"WARC-Refers-To": ID_FIELD.format(refers_to), "WARC-Profile": PROFILE}
+    return _joined(list(fields.items()), data[start : data.index(b"\r\n\r\n", start) + 4])
 
 
 def read_head(data) -> tuple[dict[str, str], int]:
@@ -96,63 +111,58 @@ def member(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def with_roles(pages: DataFrame) -> DataFrame:
-    """Pages with their digest and, for revisits, the page referred to. Only ids and digests are compared."""
-    payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"))
-    narrow = staged(rows.select("page_id", F.unhex(F.sha1(F.col("html").cast("binary"))).alias("sha1"), F.octet_length("html").alias("size")), "digests")
-    first = narrow.groupBy("sha1", "size").agg(F.max("page_id").alias("first"))
-    repeated = narrow.join(first, ["sha1", "size"]).where("first IS NOT NULL AND (page_id IS NULL OR page_id <> first)")
-    refers = repeated.groupBy("page_id", "sha1", "size").agg(F.max("first").alias("refers_to")).select(F.col("page_id").alias("r_id"), F.col("sha1").alias("r_sha1"), F.col("size").alias("r_size"), "refers_to")
-    own = rows.withColumn("sha1", F.unhex(F.sha1(F.col("html").cast("binary")))).withColumn("size", F.octet_length("html"))
-    same = F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("sha1") == F.col("r_sha1")) & (F.col("size") == F.col("r_size"))
-    return own.join(refers, same, "left").select("page_id", "url", "html", "sha1", "refers_to")
-
-
 def write_monolithic(pages: DataFrame, folder: str) -> DataFrame:
-    """One gzip stream a file over many records; returns the table of files (``FILES``), written once."""
+    """One gzip stream a file over many records; returns what was written where (``WRITTEN``), written once."""
 
     def write(batches):
-        held, size, names, counts = [], 0, [], []
+        held, size, made = [], 0, []
 
-        def stream():
+        def flush() -> pa.RecordBatch:
             packer = zlib.compressobj(1, zlib.DEFLATED, 31)
-            for data in held:
-                yield packer.compress(data)
-            yield packer.flush()
-
-        def flush():
-            names.append(write_whole(folder, "mono.warc.gz", stream()))
-            counts.append(len(held))
-            held.clear()
+            name = write_whole(folder, "mono.warc.gz", chain((packer.compress(data) for data in held), (packer.flush() for _ in range(1))))
+            columns = [[name] * len(made), range(len(made)), *zip(*made, strict=True)]
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["file", "place", "page_id", "sha1", "size"])
+            held.clear(), made.clear()
+            return out
 
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
         for batch in batches:
-            for page_id, url, html, sha1, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.append(record(page_id, url, html.encode("utf-8", "surrogatepass"), sha1, refers_to))
-                size += len(held[-1])
-                if size > ARCHIVE_BYTES:
-                    flush()
-                    size = 0
+            for at in range(0, batch.num_rows, ROWS):
+                for page_id, url, html in zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns), strict=True):
+                    payload = (html or "").encode("utf-8", "surrogatepass")
+                    sha1 = hashlib.sha1(payload).digest()
+                    held.append(record(page_id, url, payload, sha1))
+                    made.append((page_id, sha1, len(payload)))
+                    size += len(held[-1])
+                    if size > ARCHIVE_BYTES:
+                        yield flush()
+                        size = 0
         if held:
-            flush()
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["file", "records"])
+            yield flush()
+
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    return staged(rows.mapInArrow(write, WRITTEN), "warc-records")
+
 
-    return staged(pages.mapInArrow(write, FILES), "warc-files")
+def revisits(written: DataFrame) -> DataFrame:
+    """``file``, ``place`` and ``refers_to`` of the records that another page's response stands for."""
+    first = written.groupBy("sha1", "size").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 AND refers_to IS NOT NULL").drop("n")
+    return written.join(first, ["sha1", "size"]).where("page_id IS NULL OR page_id <> refers_to").select("file", "place", "refers_to")
 
 
-def normalise(files: DataFrame, source: str, target: str) -> DataFrame:
+def normalise(written: DataFrame, source: str, target: str) -> DataFrame:
     """Rewrite each stream with a member for every record, and its sidecar; returns the index (``INDEX``), written once."""
 
     def rewrite(batches):
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name, changed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 system, path = open_folder(source)
-                entries, at = [], 0
+                roles, entries = {c["place"]: c["refers_to"] for c in changed or []}, []
 
-                def members(file, entries=entries):
+                def members(file, roles=roles, entries=entries):
                     at = 0
-                    for data in split_records(inflated(file)):
-                        packed = member(data)
+                    for place, data in enumerate(split_records(inflated(file))):
+                        packed = member(revisit(data, roles[place]) if place in roles else data)
                         entries.append((at, len(packed)))
                         at += len(packed)
                         yield packed
@@ -163,7 +173,12 @@ def normalise(files: DataFrame, source: str, target: str) -> DataFrame:
                 columns = [pa.array([archive] * len(entries), pa.string()), pa.array([e[0] for e in entries], pa.int64()), pa.array([e[1] for e in entries], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["archive", "offset", "length"])
 
-    return staged(files.select("file").repartition(shuffle_partitions(files.sparkSession), F.col("file")).mapInArrow(rewrite, INDEX), "warc-index")
+    spark = written.sparkSession
+    total = written.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
+    changed = revisits(written).groupBy("file").agg(F.collect_list(F.struct("place", "refers_to")).alias("revisits"))  # of one archive
+    files = written.groupBy("file").agg(F.count("*").alias("records")).join(changed, "file", "left").select("file", "revisits")
+    tasks = groups_for(total, 4 * ARCHIVE_BYTES, shuffle_partitions(spark))
+    return staged(files.repartition(tasks, F.col("file")).mapInArrow(rewrite, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
@@ -193,6 +208,6 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     """Write all pages, normalise the archives and return what reading them back gives."""
     spark = pages.sparkSession
     source, target = shared_folder(spark, "warc-monolithic"), shared_folder(spark, "warc")
-    tasks = groups_for(text_bytes(pages, "html"), 4 * ARCHIVE_BYTES, shuffle_partitions(spark))
-    files = write_monolithic(with_roles(pages).repartition(tasks, F.xxhash64("page_id")), source)
-    return read_records(normalise(files, source, target), target)
+    index = normalise(write_monolithic(pages, source), source, target)
+    remove_shared_folder(spark, source)
+    return read_records(index, target)
