@@ -2,7 +2,11 @@
 
 Both vocabularies that are used split a text before their merges, and neither lets a token cross the place before a
 space or line end that stands between two other characters, or the place between a letter and a comma or full stop. So a
-text may be encoded piece by piece there, with the ids of the whole text; tests compare both. A text with other runs of spaces is encoded as it is where that matters (``leading_space``).
+text may be encoded piece by piece there, with the ids of the whole text; tests compare both. A text with other runs of
+spaces is encoded as it is where that matters (``leading_space``).
+
+Strings of special tokens inside a text, such as ``<|endoftext|>``, are ordinary text (``encode_special_tokens``, as in the
+description of the vocabulary files), so a document cannot end another or forge an end.
 """
 
 from __future__ import annotations
@@ -105,17 +109,22 @@ class PieceEncoder:
             latin = [p for p in pieces if LATIN.fullmatch(p)]
             self.known.update(zip(latin, self._merged(latin), strict=True))
             pieces = [p for p in pieces if p not in self.known]
-        plain = [p for p in pieces if p and self.mark not in p and not p[-1].isspace()]
+        plain = [p for p in pieces if p and self.mark not in p and not p[-1].isspace() and not self._odd_start(p)]
         self.known.update((p, self._encoded(p).tobytes()) for p in set(pieces).difference(plain))
         for at in range(0, len(plain), AT_ONCE):
             part = plain[at : at + AT_ONCE]
             ids = self._encoded(self.between.join(part))
             ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)) * 4
-            if len(ends) != len(part):
-                raise ValueError("the separator of pieces is not a token of its own")
+            if len(ends) != len(part):  # a separator was joined to its neighbour after all
+                self.known.update((p, self._encoded(p).tobytes()) for p in part)
+                continue
             raw, starts = ids.tobytes(), np.append(0, ends[:-1] + 4)
             self.known.update((p, raw[a:b]) for p, a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
 
+    def _odd_start(self, piece: str) -> bool:
+        """White space at the start, which a token may join to the separator before it; but for the one space of a word."""
+        return piece[0].isspace() and not (self.leading_space and piece[0] == " " and not piece[1:2].isspace())
+
     def _encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
