@@ -1,7 +1,8 @@
 """First-fit decreasing packing with a tournament tree, in random groups of documents (operator 4).
 
-A document's group is a hash of its id; there are as many groups as keep each at about ``GROUP_BYTES`` of text, so memory
-is bounded at any size. In a group, whole sequences are cut off long documents first; what is left of each goes, longest
+A document's group is a hash of its place in the input, so neither a common id nor a common text makes a large group; there
+are as many groups as keep each at about ``GROUP_BYTES`` of text, so memory is bounded at any size. (Rows must come in an
+order that does not change when a task is repeated, as those of files do.) In a group, whole sequences are cut off long documents first; what is left of each goes, longest
 first, to the first sequence that has room. A sequence more than the group's ids need is taken apart to fill the gaps of
 the others, so a group pads less than one sequence. A sequence whose length is a power of two is not padded.
 
@@ -89,29 +90,32 @@ def pack(lengths: list[int], room: int = SEQUENCE) -> list[tuple[int, int, int,
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """``doc_id``, ``group_key`` and ids with the end id, as unsigned 16-bit integers (the vocabulary is smaller)."""
+    """``doc_id``, ``group_key`` and ids with the end id: unsigned integers of 16 bits where the vocabulary and the end id
+    fit, else (``wide``) of 32."""
 
     def encode(batches):
         coder = encoder(tokenizer_path, leading_space=False)
+        wide = max(coder.tokenizer.get_vocab_size(), end_id + 1) > 65_536
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts):
-                ids = [np.append(np.frombuffer(x, "<u4"), end_id).astype("<u2").tobytes() for x in coder.ids(texts[a:b])]
+                ids = [np.append(np.frombuffer(x, "<u4"), end_id).astype("<u4" if wide else "<u2").tobytes() for x in coder.ids(texts[a:b])]
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("group_key"), pa.array(ids, pa.binary())], names=["doc_id", "group_key", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("group_key"), pa.array([wide] * len(ids), pa.bool_()), pa.array(ids, pa.binary())], names=["doc_id", "group_key", "wide", "ids"])
 
-    return docs.mapInArrow(encode, "doc_id long, group_key long, ids binary")
+    return docs.mapInArrow(encode, "doc_id long, group_key long, wide boolean, ids binary")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, seed: int = 42) -> DataFrame:
     """All pieces of all documents with their ids (little-endian unsigned 32-bit)."""
     groups = groups_for(text_bytes(docs), GROUP_BYTES, 1)
-    key = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)), F.lit(groups)).cast("long")
+    key = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(groups)).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), key.alias("group_key"))
 
     def pack_group(group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
-        ids = [np.frombuffer(x.as_buffer(), "<u2") for x in group["ids"]]
+        kind = "<u4" if group["wide"][0].as_py() else "<u2"
+        ids = [np.frombuffer(x.as_buffer(), kind) for x in group["ids"]]
         base = group["group_key"][0].as_py() << GROUP_SHIFT
         made = pack([len(x) for x in ids])
         docs_at, starts, lengths, sequences, offsets = (np.array(x, np.int64) for x in zip(*made, strict=True))
