@@ -11,7 +11,8 @@ spanning forest of the links it finds (at most as many as it has rows), never al
 reachability is exact.
 
 Defined results: a null text or one without words has fingerprint zero, linked like any other; repeated rows of one id
-are one member; a null id is left out of results (``one_of_each`` keeps its rows, unjudged); an empty table gives no row; other columns are ignored.
+are one member; a null id is a member without a number: it has a component's smallest id, which is null only where no member
+has one (``one_of_each`` keeps rows without an id); an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import SPACE_CLASS, staged
+from tidewatch.llm.common import SPACE_CLASS, staged, unused
 
 SEGMENTS, WIDTH, DISTANCE = 8, 8, 3
 #: Fingerprints of one key that are compared at once.
@@ -192,7 +193,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``fingerprint`` (long) and ``component_id``, the smallest id that can be reached."""
-    prints = staged(fingerprints(docs.where("doc_id IS NOT NULL")).distinct(), "fingerprints")
+    prints = staged(fingerprints(docs).distinct(), "fingerprints")
     distinct = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     rooted = components(links(distinct.select("fingerprint")))
     of = distinct.join(rooted, distinct.fingerprint == rooted.node, "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
@@ -207,5 +208,6 @@ def hex_text(fingerprint: Column) -> Column:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of each component the document with the smallest id, with its own columns, and all documents without an id."""
-    stay = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("stay_id"))
-    return docs.join(stay, F.col("doc_id").cast("long") == F.col("stay_id"), "left_semi").union(docs.where("doc_id IS NULL"))
+    name = unused(docs, "stay_id")
+    stay = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias(name))
+    return docs.join(stay, F.col("doc_id").cast("long") == F.col(name), "left_semi").union(docs.where("doc_id IS NULL"))
