@@ -151,7 +151,7 @@ def test_substrings(docs, nothing):
 def test_pseudonyms(spark, nothing, docs):
     text = "card 4111 1111 1111 1111, again 4111111111111111, not 4111111111111112; born 1980-02-29 or 29.02.1980 or 02/29/1980, not 2023-02-30; ssn 123-45-6789; ip 10.0.0.255 not 10.0.0.256; mail a.b@c.org; +1 (212) 555-0100 and 212-555-0100; 2099-12-30"
     frame = spark.createDataFrame([(1, text, "x"), (2, text, "x"), (3, None, "x"), (4, "", "x")], "doc_id long, text string, matches string")
-    got = {r["doc_id"]: r for r in pii.pseudonymised(frame, "found").collect()}
+    got = {r["doc_id"]: r for r in pii.pseudonymised(frame, "found", "k").collect()}
     new = got[1]["text"]
     assert got[2]["text"] == new and got[3]["text"] is None and got[4]["text"] == ""
     cards = re.findall(r"card ([0-9 ]+), again ([0-9]+), not 4111111111111112", new)[0]
@@ -162,8 +162,8 @@ def test_pseudonyms(spark, nothing, docs):
     p, q = re.findall(r"\+1 \((\d{3})\) (\d{3}-\d{4}) and (\S+);", new)[0][:2], re.findall(r"and (\d{3}-\d{3}-\d{4});", new)[0]
     assert "-".join(p) == q != "212-555-0100"
     assert got[1]["found"].asDict() == {"email": 1, "secret": 0, "ip": 1, "date": 4, "phone": 2, "ssn": 1, "card": 2}
-    assert pii.pseudonymised(nothing, "found_").count() == 0
-    assert pii.pseudonymised(docs, "found_").where("text <=> 'one'").count() == 1
+    assert pii.pseudonymised(nothing, "found_", "k").count() == 0
+    assert pii.pseudonymised(docs, "found_", "k").where("text <=> 'one'").count() == 1
 
 
 def test_pseudonyms_beside_other_digits(spark):
@@ -179,7 +179,7 @@ def test_pseudonyms_beside_other_digits(spark):
         "1 2 3 4 5 6 7 8 9 0 1 2 3 4111x": ("", ""), " ".join(["10"] * 3_000): (None, "nothing"),
     }
     frame = spark.createDataFrame([(t,) for t in cases], "text string").withColumn("was", F.col("text"))
-    for r in pii.pseudonymised(frame, "found").collect():
+    for r in pii.pseudonymised(frame, "found", "k").collect():
         kinds, gone = cases[r["was"]]
         if kinds is not None:
             assert sorted(k for k, n in r["found"].asDict().items() for _ in range(n)) == sorted(kinds.split()), r

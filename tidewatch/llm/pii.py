@@ -21,14 +21,12 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import bind, unused
 
-#: Stands for a secret of the deployment.
-KEY = "change-me"
 KINDS = ["email", "secret", "ip", "date", "phone", "ssn", "card"]
 
 #: Patterns; those looked for at once are in order of precedence at one place.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\"']?[A-Za-z0-9_+/-]{8,}[\"']?",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\"']?[A-Za-z0-9_+/-]{8,}+[\"']?",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z]))",
@@ -203,14 +201,22 @@ def _cut(pieces: Column, pattern: str, of) -> Column:
 
 
 def _joined(pieces: Column) -> Column:
-    """``pieces`` with neighbours of no kind made one, so that the next pass sees what really stands beside a value."""
-    start = F.struct(F.array().cast(PIECES).alias("out"), F.lit("").alias("rest"))
+    """``pieces`` with neighbours of no kind made one, so that the next pass sees what really stands beside a value.
 
-    def step(s: Column, p: Column) -> Column:
-        more = F.struct(s["out"].alias("out"), F.concat(s["rest"], p["text"]).alias("rest"))
-        return F.when(p["kind"].isNull(), more).otherwise(F.struct(F.concat(s["out"], F.array(_piece(s["rest"]), p)).alias("out"), F.lit("").alias("rest")))
+    By places: each stretch between two values is sliced out and joined once, so the work grows with the text alone.
+    """
+    places = F.filter(F.transform(pieces, lambda p, i: F.when(p["kind"].isNotNull(), i)), lambda i: i.isNotNull())
+
+    def of(k: Column) -> Column:
+        def stretch(j: Column) -> Column:
+            start = F.when(j == 0, F.lit(0)).otherwise(F.get(k, j - 1) + 1)
+            end = F.coalesce(F.get(k, j), F.size(pieces))
+            rest = _piece(F.array_join(F.transform(F.slice(pieces, start + 1, end - start), lambda p: p["text"]), ""))
+            return F.when(F.get(k, j).isNotNull(), F.array(rest, F.get(pieces, F.get(k, j)))).otherwise(F.array(rest))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(k)), stretch))
 
-    return F.aggregate(pieces, start, step, lambda s: F.concat(s["out"], F.array(_piece(s["rest"]))))
+    return bind(places, of)
 
 
 def _kinds(*kinds: str):
@@ -221,41 +227,43 @@ def _kinds(*kinds: str):
     return "|".join(PATTERNS[k] for k in kinds), of
 
 
+#: A group of a run that begins a card number is marked with a letter for its number of groups, any other with an x.
+LETTERS = "ABCDEFGHIJKLMNOPQRS"
+MARKED_CARD = "|".join(f"{c}[0-9]++(?:[ -][A-Sx][0-9]++){{{n}}}" for n, c in enumerate(LETTERS))
+
+
 def _cards(run: Column, usual: bool) -> Column:
     """Pieces of a run of digit groups: the leftmost, then longest, valid card numbers of whole groups, and what is left.
 
-    If ``usual``, only those of a usual layout, or that are the whole run.
+    If ``usual``, only those of a usual layout, or that are the whole run. Each group is marked with the length of the card
+    number that could begin there; a pattern over the marked run then takes them from the left.
     """
-    def best_at(g: Column, i: Column) -> Column:
-        """Groups of the longest card number that begins at group ``i``, joined by blanks; null if there is none."""
+    def groups_at(g: Column, i: Column) -> Column:
+        """How many groups the longest card number has that begins at group ``i``; null if there is none."""
         def tried(n: Column) -> Column:
             def of(text: Column) -> Column:
-                fits = F.when((F.length(F.replace(text, F.lit(" "), F.lit(""))).between(13, 19)), _luhn(F.replace(text, F.lit(" "), F.lit(""))))
-                return F.when(fits & (text.rlike(USUAL_CARD) | ((i == 0) & (n == F.size(g))) if usual else F.lit(True)), F.struct(text.alias("text"), n.alias("n")))
+                plain = F.replace(text, F.lit(" "), F.lit(""))
+                fits = F.when(F.length(plain).between(13, 19), _luhn(plain))
+                return F.when(fits & (text.rlike(USUAL_CARD) | ((i == 0) & (n == F.size(g))) if usual else F.lit(True)), n)
 
             return bind(F.array_join(F.slice(g, i + 1, n), " "), of)
 
         lengths = F.sequence(F.least(F.lit(MOST_GROUPS), F.size(g) - i), F.lit(1), F.lit(-1))
-        return F.get(F.filter(F.transform(lengths, tried), lambda x: x.isNotNull()), F.lit(0))
-
-    def of_groups(g: Column) -> Column:
-        start = F.struct(F.array().cast(PIECES).alias("out"), F.lit(1).alias("at"), F.lit(1).alias("rest"), F.lit(0).alias("i"), F.lit(0).alias("next"))
+        return F.get(F.filter(F.transform(lengths, tried), lambda n: n.isNotNull()), F.lit(0))
 
-        def step(s: Column, x: Column) -> Column:
-            def taken(card: Column) -> Column:
-                width = F.length(card["text"])
-                found = card.isNotNull()
-                cut = F.concat(s["out"], F.array(_piece(F.substring(run, s["rest"], s["at"] - s["rest"])), _piece(F.substring(run, s["at"], width), F.lit("card"))))
-                return F.struct(
-                    F.when(found, cut).otherwise(s["out"]).alias("out"), (s["at"] + F.length(x) + 1).alias("at"),
-                    F.when(found, s["at"] + width).otherwise(s["rest"]).alias("rest"), (s["i"] + 1).alias("i"),
-                    F.when(found, s["i"] + card["n"]).otherwise(s["next"]).alias("next"))
+    def marked(g: Column) -> Column:
+        marks = F.transform(g, lambda x, i: bind(groups_at(g, i), lambda n: F.concat(F.when(n.isNull(), F.lit("x")).otherwise(F.substring(F.lit(LETTERS), n, F.lit(1))), x)))
+        return F.array_join(F.zip_with(marks, F.regexp_extract_all(run, F.lit("[ -]"), F.lit(0)), lambda m, sep: F.concat(m, F.coalesce(sep, F.lit("")))), "")
 
-            return bind(F.when(s["i"] >= s["next"], best_at(g, s["i"])), taken)
+    def unmarked(text: Column) -> Column:
+        return F.regexp_replace(text, "[A-Sx]", "")
 
-        return F.aggregate(g, start, step, lambda s: F.concat(s["out"], F.array(_piece(F.substring(run, s["rest"], F.length(run))))))
+    def cut(text: Column) -> Column:
+        return F.flatten(F.zip_with(
+            F.split(text, MARKED_CARD, -1), F.regexp_extract_all(text, F.lit(MARKED_CARD), F.lit(0)),
+            lambda s, m: F.concat(F.array(_piece(unmarked(s))), F.when(m.isNotNull(), F.array(_piece(unmarked(m), F.lit("card")))).otherwise(F.array().cast(PIECES)))))
 
-    return bind(F.split(run, "[ -]"), of_groups)
+    return bind(bind(F.split(run, "[ -]"), marked), cut)
 
 
 def found_pieces(text: Column) -> Column:
@@ -272,8 +280,9 @@ def replacement(m: Column, kind: Column, key: str) -> Column:
     return reduce(lambda rest, k: F.when(kind == k, _MAKERS[k](m, key)).otherwise(rest), reversed(KINDS), F.lit(None).cast("string"))
 
 
-def pseudonymised(docs: DataFrame, result: str, key: str = KEY) -> DataFrame:
-    """``docs`` with pseudonyms in ``text`` and a struct ``result`` that counts them by kind."""
+def pseudonymised(docs: DataFrame, result: str, key: str) -> DataFrame:
+    """``docs`` with pseudonyms in ``text`` and a struct ``result`` that counts them by kind. ``key`` is the deployment's
+    secret: there is no default."""
     text = F.col("text").cast("string")
     private = F.when(text.rlike("[0-9@]|(?i:password|passwd|token|secret|api_key)\\s?[=:]"), found_pieces(text))
     found, made = unused(docs, "matches"), unused(docs, "made")

@@ -15,6 +15,9 @@ __all__ = ["ORACLES", "QUERIES"]
 
 BYTE_VOCABULARY, WORD_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
+#: The key of the registered query and of the pipeline over test tables. A deployment gives its own secret.
+PSEUDONYM_KEY = "key of the test tables"
+
 
 def vocabulary(name: str) -> str:
     import public_tokenizers
@@ -51,7 +54,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), "found")
+    rows = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), "found", PSEUDONYM_KEY)
     return rows.select("doc_id", "text", *[F.col(f"found.{k}").alias(f"n_{k}") for k in pii.KINDS])
 
 
