@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.conftest import SF_DIR
@@ -95,10 +96,11 @@ def test_extended_prefixes_and_small_blocks(docs, monkeypatch):
     for extended in (every, phrases.Bitmap(b"\0" * (phrases.BITS // 8))):
         totals = Counter()
         for out in phrases._send_suffixes(every, every, extended, 7)(iter(blocks)):
-            for lang, suffix, n in zip(out["lang"].to_pylist(), out["suffix"].to_pylist(), out["n"].to_pylist(), strict=True):
-                w = suffix.split(" ")
-                for m in range(2, len(w) + 1):
-                    totals[lang, " ".join(w[:m])] += n
+            for lang, suffixes, counts in zip(out["lang"].to_pylist(), out["suffixes"].to_pylist(), out["n"].to_pylist(), strict=True):
+                for suffix, n in zip(suffixes.decode().split("\n"), np.frombuffer(counts, "<i8").tolist(), strict=True):
+                    w = suffix.split(" ")
+                    for m in range(2, len(w) + 1):
+                        totals[lang, " ".join(w[:m])] += n
         assert totals == want
     sent = Counter()
     for out in phrases._count_pairs(every)(iter(blocks)):

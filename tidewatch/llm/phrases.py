@@ -8,9 +8,9 @@ are read once, into blocks of numbered words that are written to the shared fold
    truncated there. What is kept is a bitmap of fixed size: a wrong hit lets a suffix run on and changes no count.
 3. The frequencies of the prefixes give the number of groups that keep each within the memory budget. A prefix beyond its
    share is extended to the whole truncated suffix (a second bitmap), so that no prefix, however common, makes one group.
-4. Each task combines equal truncated suffixes and sends each once, with its count, to its group. A group sorts its suffixes;
-   the rows below a node are then neighbours, and the node's count is the total of its leaves. Counts of the prefixes
-   that were extended are added up over their groups.
+4. Each block combines equal truncated suffixes and sends each once, with its count, to its group: one row for each group,
+   with all the block has for it. A group sorts its suffixes; those below a node are then neighbours, and the node's count
+   is the total of its leaves. Counts of the prefixes that were extended are added up over their groups.
 
 Scores are decimal integers; products have up to 38 digits. All joins are on a phrase that one side has once.
 
@@ -167,7 +167,8 @@ def _batch(kinds: dict, **columns) -> pa.RecordBatch:
 BLOCKS = {"lang": pa.string(), "vocabulary": pa.binary(), "numbers": pa.binary(), "starts": pa.int64()}
 WORDS = {"lang": pa.string(), "word": pa.string(), "h": pa.int64(), "n": pa.int64()}
 PAIRS = {"h": pa.int64(), "n": pa.int64()}
-SUFFIXES = {"grp": pa.int64(), "extended": pa.bool_(), "lang": pa.string(), "suffix": pa.string(), "n": pa.int64()}
+#: Suffixes of one block and group, a line each; of each the count, and whether its prefix was extended.
+SUFFIXES = {"grp": pa.int64(), "lang": pa.string(), "suffixes": pa.binary(), "n": pa.binary(), "extended": pa.binary()}
 NODES = {"lang": pa.string(), "phrase": pa.string(), "depth": pa.int32(), "a": pa.int64()}
 
 
@@ -251,7 +252,12 @@ def _send_suffixes(frequent: Bitmap, flagged: Bitmap, extended: Bitmap, groups:
         key = prefix.copy()
         key[long] = hashes(part.lang, [texts[i] for i in np.flatnonzero(long).tolist()])
         group = (key % np.uint64(groups)).astype(np.int64)
-        yield _batch(SUFFIXES, grp=group, extended=long, lang=[part.lang] * len(texts), suffix=[t.decode("utf-8", "surrogatepass") for t in texts], n=n)
+        order = np.argsort(group, kind="stable")
+        found, starts = np.unique(group[order], return_index=True)
+        parts = np.split(order, starts[1:])
+        yield _batch(
+            SUFFIXES, grp=found, lang=[part.lang] * len(found), suffixes=[b"\n".join([texts[i] for i in p.tolist()]) for p in parts],
+            n=[n[p].astype("<i8").tobytes() for p in parts], extended=[long[p].tobytes() for p in parts])
 
     def run(batches):
         for part in _read_blocks(batches, frequent):
@@ -264,21 +270,23 @@ def _subtree(least: int):
     """Task over one group: the nodes of its truncated suffix tree, from suffixes in order."""
 
     def nodes(group: pa.Table) -> pa.Table:
-        numbers: dict[str, int] = {}
+        numbers: dict[bytes, int] = {}
         tongues: dict[str, int] = {}
-        path = np.full((len(group), DEPTH + 1), -1, np.int32)
+        leaves = np.frombuffer(b"".join(group["n"].to_pylist()), "<i8")
+        extended = np.frombuffer(b"".join(group["extended"].to_pylist()), bool)
+        path = np.full((len(leaves), DEPTH + 1), -1, np.int32)
         at = 0
-        for part in group.select(["lang", "suffix"]).to_batches(max_chunksize=50_000):
-            for lang, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                words = text.split(" ")
-                path[at, 0] = tongues.setdefault(lang, len(tongues))
+        for lang, suffixes in zip(group["lang"].to_pylist(), group["suffixes"], strict=True):
+            tongue = tongues.setdefault(lang, len(tongues))
+            for suffix in suffixes.as_py().split(b"\n"):
+                words = suffix.split(b" ")
+                path[at, 0] = tongue
                 path[at, 1 : len(words) + 1] = [numbers.setdefault(w, len(numbers)) for w in words]
                 at += 1
-        langs, vocabulary = list(tongues), list(numbers)
+        langs, vocabulary = list(tongues), [w.decode("utf-8", "surrogatepass") for w in numbers]
         order = np.lexsort(path.T[::-1])
         path = path[order]
-        leaves = group["n"].to_numpy()[order]
-        extended = group["extended"].to_numpy(zero_copy_only=False)[order]
+        leaves, extended = leaves[order], extended[order]
         new = np.ones(len(path), bool)
         new[1:] = path[1:, 0] != path[:-1, 0]
         new[1:] |= path[1:, 1] != path[:-1, 1]
