@@ -55,7 +55,8 @@ def test_simhash(docs, nothing):
     rows = [(i, t) for i, t in dict(TEXTS).items() if i is not None]
     roots = brute.reach({i: brute.fingerprint(t) for i, t in rows})
     got = {r["doc_id"]: (simhash_hex(r["fingerprint"]), r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
-    assert got == {i: (f"{brute.fingerprint(t):016x}", roots[i]) for i, t in rows}
+    want = {i: (f"{brute.fingerprint(t):016x}", roots[i]) for i, t in rows}
+    assert got == {**want, None: (f"{brute.fingerprint(dict(TEXTS)[None]):016x}", None)}
     assert simhash.near_duplicates(nothing).count() == 0
     assert simhash.one_of_each(docs).where("doc_id = 8").count() == 2
 
@@ -64,6 +65,14 @@ def test_one_of_each_keeps_rows_without_an_id(docs):
     assert simhash.one_of_each(docs).where("doc_id IS NULL").collect() == docs.where("doc_id IS NULL").collect()
 
 
+def test_rows_without_an_id_are_members(spark):
+    rows = [(None, "same text here " * 30), (7, "same text here " * 30), (5, "same text here " * 30), (None, "alone it stands " * 30)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == [(0, 0), (0, 5), (5, 5), (7, 5)]
+    clash = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, stay_id int")
+    assert simhash.one_of_each(clash).where("doc_id IS NOT NULL").count() == 1
+
+
 def simhash_hex(value):
     return f"{value & (1 << 64) - 1:016x}"
 
@@ -187,6 +196,17 @@ def test_pseudonyms_beside_other_digits(spark):
         assert all(x not in r["text"] for x in gone.split(" ") if len(x) > 7) and (not gone or gone not in r["text"])
 
 
+def test_pseudonyms_of_very_long_texts(spark):
+    """A million characters for each pattern, and a hundred thousand findings in one text, in linear work."""
+    long = ["a@b" + ".c" * 500_000, "a" * 1_000_000, "a@" * 400_000, "1 " * 400_000, "1-" * 400_000, "4111 1111 1111 1111 " * 50_000, "token=" + "x" * 1_000_000, "1.2.3." * 170_000,
+            "2024-01-0" * 110_000, "(" * 1_000_000, "+1 " * 300_000, "9" * 1_000_000]
+    many = " ".join(f"10.{i >> 16 & 255}.{i >> 8 & 255}.{i & 255}" for i in range(100_000))
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate([*long, many])], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.pseudonymised(frame, "found", "k").select("doc_id", "found", F.length("text").alias("n"), F.size(F.array_distinct(F.split("text", " "))).alias("different")).collect()}
+    assert got[0]["found"]["email"] == 1 and got[5]["found"]["card"] == 50_000 and got[6]["found"]["secret"] == 1
+    assert got[len(long)]["found"]["ip"] == 100_000 and got[len(long)]["different"] == 100_000
+
+
 def test_permutation_is_one_to_one(spark):
     made = spark.range(70).select(pii.permuted(F.col("id"), F.lit(7).cast("long"), F.lit(10).cast("long"), "t", "k").alias("p"))
     assert sorted(r["p"] for r in made.collect()) == list(range(70))
@@ -228,6 +248,92 @@ def brute_chats(turns):
         yield conv, len(rows), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
 
 
+def test_packing_with_a_common_id(spark):
+    """A third of the rows have one id, a third none: groups stay even, and every id lies in one piece."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"word{i % 50} " * 200) for i in range(600)]
+    made = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), vocabulary(WORD_VOCABULARY), 2)
+    assert made.agg(F.sum("length")).first()[0] == made.select("doc_id", "start", "length", "doc_tokens").where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+    assert made.where("start = 0").count() == 600
+    assert made.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
+
+
+def test_repeats_of_common_ids_over_units(spark, monkeypatch):
+    """Units of a few texts, and a third of the rows under one id or none, as one document each."""
+    monkeypatch.setattr(substrings, "UNIT_BYTES", 900)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 500)
+    texts = [f"before{i} it goes {PASSAGE if i % 2 else ''} and then{i} " + " ".join(f"w{i}x{j}" for j in range(i % 40)) for i in range(90)]
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute.repeats([(-1 if i is None else i, t) for i, t in rows])
+
+
+def test_archives_hold_a_member_a_record_and_true_offsets(spark):
+    """Every indexed stretch of an archive is one gzip member with one record, and nothing lies between them."""
+    import struct
+    import zlib
+
+    from tidewatch.llm.common import open_folder
+    from tidewatch.session import shared_folder
+
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    source, target = shared_folder(spark, "mono"), shared_folder(spark, "members")
+    written = warc.write_monolithic(pages, source)
+    index = warc.normalise(written, source, target).collect()
+    assert len(index) == pages.count() == written.count()
+    system, path = open_folder(target)
+    for archive in {r["archive"] for r in index}:
+        with system.open_input_stream(f"{path}/{archive}", compression=None) as file:
+            data = file.read()
+        mine = sorted((r["offset"], r["length"]) for r in index if r["archive"] == archive)
+        side = [i.path for i in system.get_file_info(__import__("pyarrow.fs").fs.FileSelector(path)) if i.base_name.startswith(f"{archive}.idx")]
+        with system.open_input_stream(side[0], compression=None) as file:
+            assert list(struct.iter_unpack("<QQ", file.read())) == mine
+        assert mine[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(mine, mine[1:], strict=False)) and sum(mine[-1]) == len(data)
+        for at, n in mine:
+            member = zlib.decompressobj(31)
+            text = member.decompress(data[at:at + n])
+            assert member.eof and not member.unused_data and text.count(b"WARC/1.1\r\n") == 1 and text.startswith(b"WARC/1.1\r\n")
+
+
+def jaccard(a, b):
+    def grams(text):
+        w = brute.WORD.findall((text or "").translate(brute.LOWER))
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    x, y = grams(a), grams(b)
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("part", [4096, 7])
+def test_wider_search_finds_documents_of_like_shingles(spark, monkeypatch, part):
+    """Copies with some words changed; few that share less are joined. Also where a band's group has several parts."""
+    import random
+
+    from tidewatch.llm import minwise
+
+    monkeypatch.setattr(minwise, "PART", part)
+    draw = random.Random(11)
+    texts, want = [], []
+    for base in range(12):
+        words = [f"b{base}w{draw.randint(0, 400)}" for _ in range(300)]
+        texts.append(" ".join(words))
+        for _ in range(5):
+            copy = list(words)
+            for at in draw.sample(range(300), 4):
+                copy[at] = f"n{draw.random()}"
+            texts.append(" ".join(copy))
+        texts.append(" ".join(w if i < 150 else f"o{i}" for i, w in enumerate(words)))
+    for i, a in enumerate(texts):
+        want += [(i, j) for j in range(i + 1, len(texts)) if jaccard(a, texts[j]) >= 0.8]
+    assert len(want) > 80
+    frame = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, row string, band int")
+    kept = {r["doc_id"] for r in minwise.one_of_each(frame).collect()}
+    assert {i for i in range(len(texts)) if i % 7 in (0, 6)} == kept
+    assert minwise.one_of_each(frame.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (4, None), (5, ""), (6, "a b")], "doc_id long, text string")
+    assert {r["doc_id"] for r in minwise.one_of_each(odd).collect()} == {3, 4, 6}
+
+
 def test_warc(spark, nothing):
     pages = [(1, "http://a\r\nb", "x"), (2, None, "x"), (3, "http://c", None), (4, "u", ""), (5, "u", "y" * 100_000), (5, "u", "y" * 100_000), (6, "u", "\r\n\r\nWARC/1.1\r\n")]
     frame = spark.createDataFrame([(*p, "e") for p in pages], "page_id long, url string, html string, sha1 string")

@@ -8,9 +8,9 @@ import numpy as np
 import pytest
 
 from tidewatch.llm.queries import BYTE_VOCABULARY, WORD_VOCABULARY, vocabulary
-from tidewatch.llm.tokens import PieceEncoder
+from tidewatch.llm.tokens import OTHER_SPACE, PieceEncoder
 
-PARTS = [*"ab1.,'\n \t\x01_é!", "</w>", "word", "  ", "<|endoftext|>", "\x85", "é", "　", "\x1c", "İ", "क़", "אַ"]
+PARTS = [*"ab1.,'\n \t\x01_é!", "</w>", "word", "  ", "<|endoftext|>", "\x85", "é", "　", "\x1c", "İ", "क़", "אַ", "\xa0", " menu 2, 3 item", "日本"]
 
 
 @pytest.mark.parametrize(("name", "leading_space"), [(WORD_VOCABULARY, False), (BYTE_VOCABULARY, True)])
@@ -20,3 +20,20 @@ def test_pieces_give_the_ids_of_whole_texts(name, leading_space):
     coder = PieceEncoder(vocabulary(name), leading_space)
     whole = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
     assert coder.ids(texts) == [np.array(x.ids, "<u4").tobytes() for x in whole]
+
+
+@pytest.mark.parametrize(("name", "leading_space"), [(WORD_VOCABULARY, False), (BYTE_VOCABULARY, True)])
+def test_texts_that_begin_with_any_white_space(name, leading_space):
+    """In one batch with pieces of other scripts, which share separators with them."""
+    others = ["日本 語 文", "é 1 2", "a - b"]
+    texts = [f"{a}{b}{rest}" for a in [*OTHER_SPACE, " ", "\n"] for b in ["", " ", "\n", "\xa0"] for rest in ("menu 2, 3 item", "日本", "")] + others
+    coder = PieceEncoder(vocabulary(name), leading_space)
+    want = [np.array(x.ids, "<u4").tobytes() for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert coder.ids(texts) == want and coder.ids(texts[::-1]) == want[::-1]
+
+
+def test_a_joined_separator_falls_back_to_single_pieces(monkeypatch):
+    coder = PieceEncoder(vocabulary(BYTE_VOCABULARY), True)
+    monkeypatch.setattr(coder, "_odd_start", lambda piece: False)
+    texts = ["\xa0 menu 2, 3 item", "日本 語", "x - y"]
+    assert coder.ids(texts) == [np.array(x.ids, "<u4").tobytes() for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]

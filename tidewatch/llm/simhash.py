@@ -38,14 +38,14 @@ def _segment_mask(segments) -> int:
 KEY_MASKS = np.array([_segment_mask(segments) for _, segments in KINDS], np.uint64)
 
 
-def shingles(text: Column) -> Column:
-    """XXH64 (seed 42) of each three words of the lower-cased text, or of all words if they are fewer."""
+def shingles(text: Column, words: int = 3) -> Column:
+    """XXH64 (seed 42) of each ``words`` words of the lower-cased text, or of all words if they are fewer."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     plain = F.when(F.char_length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, upper, lower))
     w = F.array_remove(F.split(plain, f"[{SPACE_CLASS}]+"), "")
     hashed = F.transform(F.array(w), lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(
-        F.size(w) < 3, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
-        F.slice(F.transform(w, lambda x, i: F.xxhash64(F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)))), 1, F.size(w) - 2)))
+        F.size(w) < words, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
+        F.slice(F.transform(w, lambda x, i: F.xxhash64(F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, words)]))), 1, F.size(w) - words + 1)))
     return F.coalesce(F.get(hashed, F.lit(0)), F.array().cast("array<bigint>"))
 
 
@@ -67,9 +67,9 @@ def _fingerprints(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fingerprint"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """``doc_id`` and the 64 bits as a signed long."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingles(F.col("text").cast("string")).alias("hashes"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingles(F.col("text").cast("string"), words).alias("hashes"))
     return rows.mapInArrow(_fingerprints, "doc_id long, fingerprint long")
 
 
@@ -191,9 +191,9 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     """``doc_id``, ``fingerprint`` (long) and ``component_id``, the smallest id that can be reached."""
-    prints = staged(fingerprints(docs).distinct(), "fingerprints")
+    prints = staged(fingerprints(docs, words).distinct(), "fingerprints")
     distinct = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     rooted = components(links(distinct.select("fingerprint")))
     of = distinct.join(rooted, distinct.fingerprint == rooted.node, "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
@@ -206,8 +206,8 @@ def hex_text(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = 3) -> DataFrame:
     """Of each component the document with the smallest id, with its own columns, and all documents without an id."""
     name = unused(docs, "stay_id")
-    stay = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias(name))
+    stay = near_duplicates(docs, words).where("doc_id = component_id").select(F.col("doc_id").alias(name))
     return docs.join(stay, F.col("doc_id").cast("long") == F.col(name), "left_semi").union(docs.where("doc_id IS NULL"))
