@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import packing, pii, quality, simhash, wumanber
+from tidewatch.llm import minwise, packing, pii, quality, simhash, wumanber
 from tidewatch.llm.common import staged, table, unused
-from tidewatch.llm.queries import WORD_VOCABULARY, vocabulary
+from tidewatch.llm.queries import PSEUDONYM_KEY, WORD_VOCABULARY, vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
+    """Close copies by fingerprints of 64 bits, then, among what stays, documents that share four fifths of their shingles."""
+    return minwise.one_of_each(staged(simhash.one_of_each(docs, minwise.WORDS), "close-copies"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """New texts, and ``n_chars`` (where there is one) after them."""
     result = unused(docs, "found")
-    rows = pii.pseudonymised(docs, result).drop(result)
+    rows = pii.pseudonymised(docs, result, PSEUDONYM_KEY).drop(result)
     return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
 
 
