@@ -8,15 +8,18 @@ from contract import sql_text as q
 from contract.adapters import (
     AS_OF, CHECKPOINTS_SQL, RAW_SQL, RUNS_SQL, URL_PREFIX, checkpoint_rows, raw_like, run_log, table,
 )
-from contract.landing import FX_SQL, export_rows, landing, loaded, streamed
+from contract.landing import FX_SQL, export_rows, landing, loaded, loaded_over_history, streamed
 from contract.registry import query
-from contract.report_queries import TABLE_SQL
+from contract.report_queries import _COUNTERS, TABLE_SQL, _pct
 from contract.row_queries import normalized_events, validated_events
 from tidewatch import fixed_values as fv
 from tidewatch.operators import constraints, dedupe, ledger, project, quality, validate
+from tidewatch.plans import analytics, country_codes
 from tidewatch.session import shared_folder
 from tidewatch.sources import exports
-from tidewatch.streaming.hourly import stream_hourly_counts
+from tidewatch.sources.keys import EventKeys
+from tidewatch.sources.tables import EventTables
+from tidewatch.streaming.hourly import hourly_table, maintain_hourly_counts, merge_hourly, stream_hourly_counts
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 FIELDS = ", ".join(f'"{n}"' for n in fv.FIELD_POSITIONS)
@@ -120,6 +123,21 @@ def _append_raw(spark, sf):
     return dedupe.new_events(live, history).select("event_id", "source", "dedupe_key")
 
 
+@query("dedupe_stored_history", f"""WITH {q.VALID_SQL}, live AS (SELECT * FROM valid WHERE NOT "drop"),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, dedupe_key ORDER BY export_time_utc, row_number) AS rn FROM live)
+SELECT event_id, source, dedupe_key FROM r WHERE rn = 1
+ AND (source, dedupe_key) NOT IN (SELECT (source, dedupe_key) FROM live WHERE export_time_utc < TIMESTAMP '{_SPLIT}')""")
+def _stored_history(spark, sf):
+    """What a load appends, with the history in the stored key table."""
+    folder = shared_folder(spark, "live-events")
+    validate.surviving(validated_events(spark, sf)).write.parquet(folder)
+    live = spark.read.parquet(folder)
+    keys = EventKeys(spark, shared_folder(spark, "event-keys"), ids=1_000)
+    earlier = live.filter(F.col("export_time_utc") < F.lit(_SPLIT).cast("timestamp"))
+    keys.record(dedupe.first_of_new(earlier, keys.colliding(earlier, [])), [])
+    return dedupe.first_of_new(live, keys.colliding(live, [])).select("event_id", "source", "dedupe_key")
+
+
 @query("anti_join_existing", f"""WITH {q.NORM_SQL}
 SELECT event_id, dedupe_key FROM norm WHERE dedupe_key NOT IN (SELECT dedupe_key FROM norm WHERE export_time_utc < TIMESTAMP '{_SPLIT}')""")
 def _anti(spark, sf):
@@ -168,6 +186,88 @@ def _load(spark, sf):
     return loaded(spark, sf).read("normalized_events").select(*_NORMALIZED)
 
 
+@query("load_over_history", f"WITH {_FILE_TABLE_SQL} {_NORMALIZED_SELECT}")
+def _load_history(spark, sf):
+    return loaded_over_history(spark, sf).read("normalized_events").select(*_NORMALIZED)
+
+
+@query("stored_event_keys", f"WITH {_FILE_TABLE_SQL} SELECT source, dedupe_key, strftime(export_time_utc, '%Y%m%d%H%M%S') AS export FROM nt")
+def _stored_keys(spark, sf):
+    return loaded_over_history(spark, sf).keys().table.read().select(
+        "source", "dedupe_key", F.substring_index("export_key", "-", -1).alias("export"))
+
+
+@query("stored_quality_audit", f"""WITH {_FILE_VALID_SQL}, audit AS (SELECT export_time_utc, total_events, {_pct('missing_actor')},
+ {_pct('missing_geo')}, {_pct('unknown_country')} FROM (SELECT export_time_utc, count(*) AS total_events, {_COUNTERS} FROM valid GROUP BY export_time_utc))
+SELECT strftime(export_time_utc, '%Y%m%d%H%M%S') AS export, {NOW} AS run_timestamp, * EXCLUDE (export_time_utc) FROM audit""")
+def _stored_audit(spark, sf):
+    audit = loaded(spark, sf).read("data_quality_audit").drop("export_date").withColumn("export", F.substring_index("export_key", "-", -1)).drop("export_key")
+    return audit.withColumns({c: F.round(c, 6) for c in ("missing_actor_pct", "missing_geo_pct", "unknown_country_pct")})
+
+
+@query("stored_quality_warnings", f"""WITH {_FILE_VALID_SQL}, audit AS (SELECT export_time_utc, total_events, {_pct('missing_actor')},
+ {_pct('missing_geo')}, {_pct('unknown_country')} FROM (SELECT export_time_utc, count(*) AS total_events, {_COUNTERS} FROM valid GROUP BY export_time_utc)),
+w AS (SELECT export_time_utc, 'high_missing_actor_percent' AS reason, missing_actor_pct AS value, CAST(35 AS DOUBLE) AS threshold FROM audit WHERE missing_actor_pct > 35
+UNION ALL SELECT export_time_utc, 'high_missing_geo_percent', missing_geo_pct, 45 FROM audit WHERE missing_geo_pct > 45
+UNION ALL SELECT export_time_utc, 'high_unknown_country_percent', unknown_country_pct, 30 FROM audit WHERE unknown_country_pct > 30
+UNION ALL SELECT export_time_utc, 'parse_errors', CAST(count(*) AS DOUBLE), 0 FROM fx WHERE short GROUP BY export_time_utc)
+SELECT strftime(export_time_utc, '%Y%m%d%H%M%S') AS export, {NOW} AS run_timestamp, reason, value, threshold FROM w""")
+def _stored_warnings(spark, sf):
+    return loaded(spark, sf).read("quality_warnings").select(
+        F.substring_index("export_key", "-", -1).alias("export"), "run_timestamp", "reason", F.round("value", 6).alias("value"), "threshold")
+
+
+@query("stored_histograms", f"""WITH {_FILE_VALID_SQL}, f AS (SELECT export_time_utc, 'validation_flag' AS kind,
+ unnest(string_split(quality_flags, ',')) AS value FROM valid WHERE quality_flags <> ''
+UNION ALL SELECT export_time_utc, 'category', primary_category FROM valid WHERE NOT "drop")
+SELECT strftime(export_time_utc, '%Y%m%d%H%M%S') AS export, kind, value, count(*) AS n FROM f GROUP BY ALL""")
+def _stored_histograms(spark, sf):
+    return loaded(spark, sf).read("load_histograms").select(F.substring_index("export_key", "-", -1).alias("export"), "kind", "value", "n")
+
+
+@query("latest_stored", f"""WITH {_FILE_TABLE_SQL} SELECT event_time_utc, dedupe_key, primary_category FROM nt
+ ORDER BY event_time_utc DESC NULLS LAST, export_time_utc DESC, row_number DESC LIMIT 20""")
+def _latest_stored(spark, sf):
+    """The newest events of the stored table, of which only the newest dates are read."""
+    newest = loaded(spark, sf).newest_events(20)
+    order = [F.desc_nulls_last("event_time_utc"), F.desc("export_time_utc"), F.desc("row_number")]
+    return newest.orderBy(*order).limit(20).select("event_time_utc", "dedupe_key", "primary_category")
+
+
+@query("stored_location_point", f"""WITH {_FILE_TABLE_SQL} SELECT dedupe_key, CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL
+ THEN 'POINT(' || CAST(longitude AS DECIMAL(9,6)) || ' ' || CAST(latitude AS DECIMAL(9,6)) || ')' END AS location_wkt FROM nt""")
+def _stored_location(spark, sf):
+    return loaded(spark, sf).read("normalized_events").select("dedupe_key", "location_wkt")
+
+
+@query("events_near_point", f"""WITH {_FILE_TABLE_SQL}, h AS (SELECT dedupe_key, pow(sin((radians(CAST(latitude AS DOUBLE)) - radians(10.0)) / 2), 2)
+ + cos(radians(CAST(latitude AS DOUBLE))) * cos(radians(10.0)) * pow(sin((radians(CAST(longitude AS DOUBLE)) - radians(-20.0)) / 2), 2) AS half FROM nt)
+SELECT dedupe_key, round(2 * 6371.0088 * asin(sqrt(least(half, 1.0))), 3) AS distance_km FROM h WHERE 2 * 6371.0088 * asin(sqrt(least(half, 1.0))) <= 1500""")
+def _near(spark, sf):
+    """Stored events within 1,500 km of a point."""
+    near = analytics.events_near(loaded(spark, sf).read("normalized_events"), 10.0, -20.0, 1_500.0)
+    return near.select("dedupe_key", F.round("distance_km", 3).alias("distance_km"))
+
+
+@query("repair_stored_countries",
+       f"WITH {_FILE_TABLE_SQL} SELECT dedupe_key, country_code, country_name FROM nt")
+def _repair_stored(spark, sf):
+    """Codes and names blanked in a third of the stored events, written back, then repaired from the raw events."""
+    root = shared_folder(spark, "repaired-tables")
+    source = loaded(spark, sf)
+    tables = EventTables(spark, root)
+    for name in ("normalized_events", "raw_events"):
+        partitions = ["event_date" if name == "normalized_events" else "export_date", "export_key"]
+        rows = source.read(name)
+        if name == "normalized_events":
+            broken = F.pmod(F.xxhash64("dedupe_key"), F.lit(3)) == 0
+            rows = rows.withColumns({"country_code": F.when(broken, F.lit("??")).otherwise(F.col("country_code")),
+                                     "country_name": F.when(broken, F.lit(" ")).otherwise(F.col("country_name"))})
+        rows.write.partitionBy(*partitions).parquet(tables.path(name))
+    country_codes.repair_stored_countries(tables)
+    return EventTables(spark, root).read("normalized_events").select("dedupe_key", "country_code", "country_name")
+
+
 @query("append_dropped", f"""WITH {_FILE_VALID_SQL}
 SELECT source, export_time_utc, dedupe_key, 'validation_drop' AS drop_reason, replace(quality_flags, ',', ', ') AS error_detail,
  quality_flags FROM valid WHERE "drop"
@@ -252,6 +352,51 @@ def _stream_hourly(spark, sf):
     return newest.select("hour_bucket", "category", "event_count")
 
 
+def _event_files(spark, sf, folder: str, numbers: range, of: int):
+    """The events as files of a growing folder: every ``of``-th in one, so that each holds early and late ones."""
+    events = table(spark, sf, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("event_time_utc"), F.col("event_type").alias("primary_category"))
+    for number in numbers:
+        events.filter(F.col("event_id") % of == number).drop("event_id").write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.drop("event_id").schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query("maintained_hourly_counts", """SELECT date_trunc('hour', ts) AS hour_bucket, event_type AS category, count(*) AS event_count
+FROM events GROUP BY ALL""")
+def _maintained_hourly(spark, sf):
+    """Several micro-batches, each with rows of hours that earlier ones have closed."""
+    folder, hours = shared_folder(spark, "event-files"), hourly_table(spark, shared_folder(spark, "hours"))
+    events = _event_files(spark, sf, folder, range(4), 4)
+    maintain_hourly_counts(events, hours, shared_folder(spark, "stream-checkpoint")).awaitTermination()
+    return hours.read().drop("late_count")
+
+
+@query("stream_restart", """SELECT date_trunc('hour', ts) AS hour_bucket, event_type AS category, count(*) AS event_count
+FROM events GROUP BY ALL""")
+def _stream_restart(spark, sf):
+    """A stream of hours that ends, goes on from its checkpoint when files have come, and repeats its last micro-batch."""
+    folder, hours, checkpoint = shared_folder(spark, "event-files"), hourly_table(spark, shared_folder(spark, "hours")), shared_folder(spark, "stream-checkpoint")
+    for numbers in (range(2), range(2, 4)):
+        maintain_hourly_counts(_event_files(spark, sf, folder, numbers, 4), hours, checkpoint).awaitTermination()
+    last = hours.version().notes["batches"]["events"]
+    merge_hourly(hours, spark.read.parquet(folder), "events", last)
+    return hours.read().drop("late_count")
+
+
+@query("late_row_counts", """WITH e AS (SELECT *, event_id % 4 AS batch FROM events), newest AS (SELECT batch, max(ts) AS newest FROM e GROUP BY batch),
+known AS (SELECT batch, max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM newest)
+SELECT date_trunc('hour', ts) AS hour_bucket, event_type AS category, count(*) AS event_count,
+ CAST(count_if(coalesce(date_trunc('hour', ts) + INTERVAL 1 HOUR + INTERVAL 1 DAY < known.newest, false)) AS BIGINT) AS late_count
+FROM e JOIN known USING (batch) GROUP BY ALL""")
+def _late_counts(spark, sf):
+    hours = hourly_table(spark, shared_folder(spark, "hours"))
+    events = table(spark, sf, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("event_time_utc"), F.col("event_type").alias("primary_category"))
+    for number in range(4):
+        merge_hourly(hours, events.filter(F.col("event_id") % 4 == number), "events", number)
+    return hours.read()
+
+
 # ---------------------------------------------------------------- checkpoints
 
 _ORDER = """CASE status WHEN 'completed' THEN 0 WHEN 'processing' THEN 1 WHEN 'failed' THEN 2 ELSE 3 END,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from contract import sql_text as q
@@ -11,8 +13,12 @@ from contract.row_queries import validated_events
 from tidewatch import fixed_values as fv
 from tidewatch.functions.lookup import with_country_name
 from tidewatch.functions.numeric import round_half_up, safe_divide
+from tidewatch.functions.times import utc
 from tidewatch.operators import dedupe, quality, validate
 from tidewatch.plans import analytics, country_codes, monitor
+from tidewatch.session import shared_folder
+from tidewatch.sources.tables import EventTables
+from tidewatch.streaming import hourly
 
 NE = normalized_sql()
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -98,6 +104,17 @@ def _trend(spark, sf):
     return trend.withColumn("ma_24h", F.round("ma_24h", 6))
 
 
+@query("hourly_trend_by_clock", f"""WITH {NE}, {_HOURLY},
+grid AS (SELECT category, unnest(generate_series(date_trunc('hour', {NOW} - INTERVAL 7 DAY), date_trunc('hour', {NOW} - INTERVAL 1 MICROSECOND),
+ INTERVAL 1 HOUR)) AS hour_bucket FROM (SELECT DISTINCT category FROM hourly)),
+dense AS (SELECT hour_bucket, category, CAST(sum(event_count) AS BIGINT) AS event_count FROM
+ (SELECT hour_bucket, category, event_count FROM hourly UNION ALL SELECT hour_bucket, category, 0 FROM grid) GROUP BY ALL)
+SELECT hour_bucket, category, event_count, round({_MA}, 6) AS ma_24h FROM dense""")
+def _trend_by_clock(spark, sf):
+    trend = analytics.hourly_trend_by_clock(normalized_like(spark, sf), AS_OF)
+    return trend.withColumn("ma_24h", F.round("ma_24h", 6))
+
+
 def _spike_sql(hours: int, digits: int, country: str = "n_name") -> str:
     return f"""WITH {normalized_sql(country)},
 recent AS (SELECT primary_category AS category, country_name, count(*) AS recent_count FROM ne
@@ -146,6 +163,28 @@ def _stats(spark, sf):
     return stats.withColumns({c: F.round(c, 6) for c in ("baseline_avg", "baseline_std")})
 
 
+@query("dense_baseline", f"""WITH {NE}, {_DAILY}, days AS (SELECT unnest(generate_series(CAST({NOW} - INTERVAL 15 DAY AS DATE),
+ CAST({NOW} - INTERVAL 48 HOUR - INTERVAL 1 MICROSECOND AS DATE), INTERVAL 1 DAY)) AS day_bucket),
+dense AS (SELECT g.category, g.country_name, coalesce(d.daily_count, 0) AS n FROM (SELECT DISTINCT category, country_name FROM daily) g
+ CROSS JOIN days LEFT JOIN daily d ON d.category = g.category AND d.country_name = g.country_name AND d.day_bucket = days.day_bucket)
+SELECT category, country_name, round(avg(n), 6) AS baseline_avg, round(stddev_pop(n), 6) AS baseline_std FROM dense GROUP BY ALL""")
+def _dense_baseline(spark, sf):
+    stats = analytics.dense_baseline(normalized_like(spark, sf), AS_OF, 48)
+    return stats.withColumns({c: F.round(c, 6) for c in ("baseline_avg", "baseline_std")})
+
+
+@query("spikes_from_hours", f"{_spike_sql(48, 2)} {_SPIKE_TOP}")
+def _spikes_from_hours(spark, sf):
+    """The spikes again, from a stored table of hours that four micro-batches have built."""
+    events = normalized_like(spark, sf)
+    hours = hourly.hourly_table(spark, shared_folder(spark, "hours"), ("category", "country_name"))
+    for number in range(4):
+        hourly.merge_hourly(hours, events.filter(F.col("event_id") % 4 == number), "events", number)
+    since = (utc(AS_OF) - timedelta(days=15)).strftime("%Y-%m-%d")
+    spikes = analytics.spikes_from_hours(hours.read(lambda d: d is not None and d >= since), AS_OF, 48)
+    return spikes.withColumn("baseline_avg", F.round("baseline_avg", 6))
+
+
 @query("join_recent_baseline", f"{_spike_sql(48, 4)} SELECT category, country_name, recent_count, z_score, lift_ratio FROM scored")
 def _recent_baseline(spark, sf):
     """The two-sided form of the spike query, which the one-pass form must equal."""
@@ -159,9 +198,22 @@ def _recent_baseline(spark, sf):
         round_half_up(safe_divide("recent_count", "baseline_avg"), 4).alias("lift_ratio"))
 
 
-@query("snapshot_spikes", f"""{_spike_sql(24, 4, 'r_name')} SELECT {NOW} AS computed_at, CAST(24 AS BIGINT) AS window_hours,
+_SNAPSHOT_SQL = f"""{_spike_sql(24, 4, 'r_name')} SELECT {NOW} AS computed_at, CAST(24 AS BIGINT) AS window_hours,
 category, country_name AS country, recent_count, CAST(CAST(baseline_avg AS DECIMAL(12,4)) AS DOUBLE) AS baseline_avg,
-CAST(CAST(baseline_std AS DECIMAL(12,4)) AS DOUBLE) AS baseline_std, z_score, lift_ratio FROM scored""")
+CAST(CAST(baseline_std AS DECIMAL(12,4)) AS DOUBLE) AS baseline_std, z_score, lift_ratio FROM scored"""
+
+
+@query("stored_spike_snapshot", _SNAPSHOT_SQL)
+def _stored_snapshot(spark, sf):
+    """Kept twice, read from the stored table."""
+    tables = EventTables(spark, shared_folder(spark, "snapshots"))
+    snapshot = analytics.spike_snapshot(normalized_like(spark, sf, "r_name"), AS_OF, 24)
+    for _ in range(2):
+        tables.keep_spikes(snapshot, AS_OF, 24)
+    return tables.spike_snapshots().read()
+
+
+@query("snapshot_spikes", _SNAPSHOT_SQL)
 def _snapshot(spark, sf):
     return analytics.spike_snapshot(normalized_like(spark, sf, "r_name"), AS_OF, 24)
 

@@ -154,13 +154,19 @@ on_raw("resolve_event_time",
        {"event_time": lambda: times.event_time("DATEADDED", "SQLDATE", "export_time_utc")},
        {"event_time": f"coalesce({q.second(chr(34) + 'DATEADDED' + chr(34))}, "
                       f"CAST({q.day(chr(34) + 'SQLDATE' + chr(34))} AS TIMESTAMP), export_time_utc)"})
-on_raw("assume_utc",
-       {"event_time": lambda: F.coalesce(
-           times.parse_date_added("DATEADDED"), F.col("export_time_utc")),
-        "fallback": lambda: (text.clean_text("DATEADDED").isNotNull() & times.parse_date_added("DATEADDED").isNull())},
-       {"event_time": f"coalesce({q.second(chr(34) + 'DATEADDED' + chr(34))}, export_time_utc)",
-        "fallback": f"{q.clean(chr(34) + 'DATEADDED' + chr(34))} IS NOT NULL "
-                    f"AND ({q.second(chr(34) + 'DATEADDED' + chr(34))}) IS NULL"})
+_GIVEN = "CASE event_id % 4 WHEN 0 THEN {plain} WHEN 1 THEN {plain} || '+02:00' WHEN 2 THEN 'no time' END"
+
+
+@query("assume_utc", f"""WITH {RAW_SQL} SELECT event_id, event_id % 4 = 2 AS fallback, CASE event_id % 4
+ WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts) - INTERVAL 2 HOUR ELSE export_time_utc END AS event_time
+FROM raw JOIN (SELECT event_id, ts FROM events) USING (event_id)""")
+def _assume_utc(spark, sf):
+    """Texts without a zone, with one, that are no time, and none at all."""
+    times_given = table(spark, sf, "events").select("event_id", F.expr(_GIVEN.format(plain="date_format(ts, 'yyyy-MM-dd HH:mm:ss')")).alias("event_time_utc"))
+    rows = raw_like(spark, sf).select("event_id", "export_time_utc").join(times_given, "event_id")
+    return validate.assume_utc(rows, "fallback").select("event_id", "fallback", F.col("event_time_utc").cast("timestamp_ntz").alias("event_time"))
+
+
 value_query("time_bucket", normalized_like,
             {"hour": lambda: times.time_bucket("event_time_utc", "hour"),
              "day": lambda: times.time_bucket("event_time_utc", "day")},

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -93,6 +95,34 @@ def location_wkt(lat: ColumnOrName, lon: ColumnOrName) -> Column:
     return F.when(lat.isNotNull() & lon.isNotNull(), text)
 
 
+EARTH_KILOMETRES = 6371.0088
+
+
+def _spread(x: Column) -> Column:
+    """The 16 bits of ``x`` with a free place after each."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+    return x
+
+
+def location_key(lat: ColumnOrName, lon: ColumnOrName) -> Column:
+    """Place of a point on a curve that keeps near points together (bits of longitude and latitude in turn); rows that are
+    sorted by it lie in files and row groups of small boxes. NULL unless both coordinates are present."""
+    def part(value: Column, low: int, span: int) -> Column:
+        share = (value.cast("double") - low) / span
+        return F.greatest(F.least(F.floor(share * 65_536), F.lit(65_535).cast("bigint")), F.lit(0).cast("bigint"))
+
+    return F.shiftleft(_spread(part(_col(lon), -180, 360)), 1).bitwiseOR(_spread(part(_col(lat), -90, 180)))
+
+
+def kilometres(lat: ColumnOrName, lon: ColumnOrName, from_lat: float, from_lon: float) -> Column:
+    """Great-circle distance to a point, on a sphere of the mean radius."""
+    a, b = (F.radians(_col(x).cast("double")) for x in (lat, lon))
+    c, d = math.radians(from_lat), math.radians(from_lon)
+    half = F.pow(F.sin((a - F.lit(c)) / 2), 2) + F.cos(a) * F.lit(math.cos(c)) * F.pow(F.sin((b - F.lit(d)) / 2), 2)
+    return 2 * EARTH_KILOMETRES * F.asin(F.sqrt(F.least(half, F.lit(1.0))))
+
+
 def location_point(lat: ColumnOrName, lon: ColumnOrName) -> Column:
     lat, lon = _col(lat), _col(lon)
     point = F.struct(lon.alias("longitude"), lat.alias("latitude"))

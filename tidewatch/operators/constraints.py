@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import fixed_values as fv
-from tidewatch.operators.dedupe import EVENT_KEY, first_per_key
+from tidewatch.operators.dedupe import first_of_new
 from tidewatch.operators.ledger import best_checkpoints
 
 
@@ -72,8 +72,8 @@ def cascade_delete(children: DataFrame, deleted: DataFrame, on: tuple[str, str]
 
 
 def keep_first_raw(raw: DataFrame, order: list[str]) -> DataFrame:
-    """Raw rows after collapsing duplicates to the first one stored."""
-    return first_per_key(raw, EVENT_KEY, [F.asc(name) for name in order])
+    """Raw rows after collapsing duplicates to the first one stored. Rows of unique keys are not shuffled."""
+    return first_of_new(raw, order=[F.asc(name) for name in order])
 
 
 def collapse_duplicates(

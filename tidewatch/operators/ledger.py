@@ -41,8 +41,22 @@ def best_checkpoints(rows: DataFrame) -> DataFrame:
 
 
 def current(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Newest version of each key."""
-    return first_per_key(log, keys or CHECKPOINT_KEY, [F.desc(VERSION)])
+    """Newest version of each key. Files whose names tell no time have none: each is a row by its address."""
+    if keys is None:
+        named = log.withColumn("_address", F.when(F.col("export_time_utc").isNull(), F.col("export_url")))
+        return first_per_key(named, [*CHECKPOINT_KEY, "_address"], [F.desc(VERSION)]).drop("_address")
+    return first_per_key(log, keys, [F.desc(VERSION)])
+
+
+def misnamed(ledger: DataFrame, listing: DataFrame, as_of: Moment) -> DataFrame:
+    """Failed first rows of listed files without an export time that the ledger does not know."""
+    known = ledger.filter("export_time_utc IS NULL").select("source", "export_url")
+    new = listing.filter("export_time_utc IS NULL").join(known, ["source", "export_url"], "left_anti").dropDuplicates(["source", "export_url"])
+    defaults = {
+        "status": F.lit("failed"), "discovered_at": moment_literal(as_of), "attempt_count": F.lit(1),
+        "last_error": F.concat(F.lit(fv.MISNAMED_TEXT), F.col("export_filename")),
+    }
+    return schemas.apply_defaults(new, schemas.EXPORT_CHECKPOINTS, defaults).withColumn(VERSION, F.lit(1).cast("bigint"))
 
 
 def new_checkpoints(
@@ -105,7 +119,7 @@ def released(rows: DataFrame) -> DataFrame:
 def unfinished(ledger: DataFrame, source: str = fv.SOURCE) -> DataFrame:
     """Failed and released rows of a source, those tried least first."""
     waiting = ledger.filter((F.col("source") == source) & F.col("status").isin("pending", "failed"))
-    return waiting.orderBy("attempt_count", "export_time_utc")
+    return waiting.filter("export_time_utc IS NOT NULL").orderBy("attempt_count", "export_time_utc", "export_url")
 
 
 def completed(ledger: DataFrame, counts: DataFrame, as_of: Moment) -> DataFrame:

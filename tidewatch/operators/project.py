@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch import fixed_values as fv
 from tidewatch import schemas
 from tidewatch.functions.flags import payload_json
-from tidewatch.functions.text import ColumnOrName
+from tidewatch.functions.numeric import location_key, location_wkt
 from tidewatch.functions.times import moment_literal
 
 
@@ -32,6 +32,8 @@ def normalized_rows(events: DataFrame, as_of: datetime | str) -> DataFrame:
         "action_geo_lat": "latitude",
         "action_geo_long": "longitude",
     })
+    if {"latitude", "longitude"} <= set(shaped.columns):
+        shaped = shaped.withColumns({"location_wkt": location_wkt("latitude", "longitude"), "location_key": location_key("latitude", "longitude")})
     defaults = {
         "country_name": F.lit(fv.UNKNOWN),
         "source": F.lit(fv.SOURCE),
@@ -47,10 +49,3 @@ def dropped_rows(rejected: DataFrame, as_of: datetime | str) -> DataFrame:
         "created_at": moment_literal(as_of),
     }
     return schemas.apply_defaults(rejected, schemas.DROPPED_EVENTS, defaults)
-
-
-def with_location(df: DataFrame, lat: ColumnOrName = "latitude", lon: ColumnOrName = "longitude") -> DataFrame:
-    """Add the point as a struct and as well-known text."""
-    from tidewatch.functions.numeric import location_point, location_wkt
-
-    return df.withColumns({"location_point": location_point(lat, lon), "location_wkt": location_wkt(lat, lon)})

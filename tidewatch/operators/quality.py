@@ -62,7 +62,20 @@ def audit_rows(counts: DataFrame, as_of: datetime | str, by: list[str] | None =
     )
 
 
-def quality_warnings(audit: DataFrame, parse_errors: Column | int = 0) -> DataFrame:
+def load_histograms(validated: DataFrame, as_of: datetime | str) -> DataFrame:
+    """Per export, how often each flag was set and each category given to a surviving row (``kind``, ``value``, ``n``)."""
+    def entry(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+
+    flags = F.transform("quality_flags", lambda flag: entry("validation_flag", flag))
+    category = F.when(~F.col("drop"), F.array(entry("category", F.col("primary_category"))))
+    entries = F.concat(F.coalesce(flags, F.array().cast("array<struct<kind:string,value:string>>")), F.coalesce(category, F.array().cast("array<struct<kind:string,value:string>>")))
+    rows = validated.select("source", "export_time_utc", F.inline(entries))
+    counted = rows.groupBy("source", "export_time_utc", "kind", "value").agg(F.count("*").alias("n"))
+    return counted.withColumn("run_timestamp", moment_literal(as_of))
+
+
+def quality_warnings(audit: DataFrame, parse_errors: Column | int = 0, keep: list[str] | None = None) -> DataFrame:
     """One row per limit exceeded (strictly), with the value and the limit; any parse error also warns."""
     limits = {
         "missing_actor": fv.MISSING_ACTOR_WARNING_PCT,
@@ -79,7 +92,7 @@ def quality_warnings(audit: DataFrame, parse_errors: Column | int = 0) -> DataFr
               for name, limit in limits.items()]
     errors = parse_errors if isinstance(parse_errors, Column) else F.lit(parse_errors)
     checks.append(warning(errors > 0, "parse_errors", errors, 0))
-    return audit.select(F.inline(F.array_compact(F.array(*checks))))
+    return audit.select(*(keep or []), F.inline(F.array_compact(F.array(*checks))))
 
 
 def load_metrics(outcomes: DataFrame, as_of: datetime | str, by: list[str] | None = None) -> DataFrame:

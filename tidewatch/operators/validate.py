@@ -39,6 +39,13 @@ def _event_time(df: DataFrame) -> tuple[Column, Column]:
     return F.coalesce(given.cast("timestamp"), fallback), F.lit(False)
 
 
+def assume_utc(df: DataFrame, flag: str = "time_fallback") -> DataFrame:
+    """``event_time_utc`` as a time: without a zone it is UTC, missing or unreadable it is the export's time; ``flag`` says
+    whether a value was given that is no time."""
+    time, bad = _event_time(df)
+    return df.withColumns({"event_time_utc": time, flag: bad})
+
+
 def _payload_code(df: DataFrame) -> Column:
     if "raw_payload" not in df.columns:
         return F.lit(None).cast("string")

@@ -5,6 +5,7 @@ The table needs ``event_time_utc`` and ``primary_category`` plus whatever the re
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 from tidewatch import fixed_values as fv
 from tidewatch.functions.flags import missing_actor_in_table, missing_geo_in_table, unknown_country_in_table
 from tidewatch.functions.lookup import event_label, translation_tier
-from tidewatch.functions.numeric import percent_text, round_half_up, safe_divide
+from tidewatch.functions.numeric import EARTH_KILOMETRES, kilometres, percent_text, round_half_up, safe_divide
 from tidewatch.functions.text import blank_to_default, category_display, country_display, or_unknown
 from tidewatch.functions.times import at_least_one, before, format_utc, moment_for, moment_literal, since, time_bucket, utc
-from tidewatch.schemas import SPIKE_STAT
+from tidewatch.schemas import LAT_LONG, SPIKE_STAT
 
 Moment = datetime | str
 
@@ -54,6 +55,26 @@ def hourly_trend(events: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
     return moving_average(hourly_counts(events, as_of, days)).orderBy("hour_bucket", "category")
 
 
+def dense_hours(hourly: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
+    """Hourly counts with a row for every hour of the window and category, zero where nothing happened.
+
+    Hours are listed per category that occurs, from the window's first whole hour to the last before ``as_of``; an hour
+    that the window cuts keeps the count it has.
+    """
+    start, end = utc(as_of) - timedelta(days=days), utc(as_of)
+    first, last = (F.date_trunc("hour", moment_for(hourly, "hour_bucket", m)) for m in (start, end - timedelta(microseconds=1)))
+    hours = F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("hour_bucket")
+    grid = hourly.select("category").distinct().select("category", hours)
+    zeros = grid.withColumn("event_count", F.lit(0).cast("bigint"))
+    return hourly.select("category", "hour_bucket", "event_count").unionByName(zeros).groupBy("hour_bucket", "category").agg(
+        F.sum("event_count").alias("event_count"))
+
+
+def hourly_trend_by_clock(events: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
+    """The hourly trend over clock hours: empty ones count as zero, and the mean is over the last 24 of them."""
+    return moving_average(dense_hours(hourly_counts(events, as_of, days), as_of, days)).orderBy("hour_bucket", "category")
+
+
 # ---------------------------------------------------------------- spikes
 
 def daily_counts(events: DataFrame, as_of: Moment, hours: int = 24, days: int = fv.SPIKE_BASELINE_DAYS) -> DataFrame:
@@ -78,12 +99,18 @@ def spike_scores(
     days: int = fv.SPIKE_BASELINE_DAYS,
     min_count: int = fv.SPIKE_MIN_COUNT,
     digits: int = 2,
+    weight: str | None = None,
 ) -> DataFrame:
     """Recent count of each category and country against its daily baseline, unordered and unlimited.
 
+    ``weight`` names a column that says how many events a row stands for; without it a row is one event.
+
     One scan and one pass: per day both the recent and the baseline events are counted, then the days are folded into
     the group. Groups without a baseline day, or with too few recent events, give no row; empty days do not count.
     """
+    def events_where(condition: Column) -> Column:
+        return F.count_if(condition) if weight is None else F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0).cast("bigint"))
+
     hours = at_least_one(hours)
     now = utc(as_of)
     in_recent = since(events, "event_time_utc", as_of, hours=hours)
@@ -96,7 +123,7 @@ def spike_scores(
             "country_name",
             time_bucket("event_time_utc", "day").alias("_day"),
         )
-        .agg(F.count_if(in_recent).alias("_recent"), F.nullif(F.count_if(in_baseline), F.lit(0)).alias("_base"))
+        .agg(events_where(in_recent).alias("_recent"), F.nullif(events_where(in_baseline), F.lit(0).cast("bigint")).alias("_base"))
     )
     grouped = (
         per_day.groupBy("category", "country_name")
@@ -113,6 +140,38 @@ def spike_scores(
     return grouped.withColumns({"z_score": round_half_up(excess, digits), "lift_ratio": round_half_up(lift, digits)})
 
 
+def dense_baseline(events: DataFrame, as_of: Moment, hours: int = 24, days: int = fv.SPIKE_BASELINE_DAYS) -> DataFrame:
+    """Baseline statistics over all days that the baseline window touches; days without an event count as zero.
+
+    The zeros are not made as rows: count, sum and sum of squares of the days that occur are all it takes.
+    """
+    daily = daily_counts(events, as_of, hours, days)
+    first, last = utc(as_of) - timedelta(days=days), utc(as_of) - timedelta(hours=at_least_one(hours), microseconds=1)
+    n = F.lit(max((last.date() - first.date()).days + 1, 1)).cast("double")
+    sums = daily.groupBy("category", "country_name").agg(
+        F.sum("daily_count").alias("_sum"), F.sum(F.col("daily_count") * F.col("daily_count")).alias("_squares"))
+    mean = F.col("_sum") / n
+    return sums.select("category", "country_name", mean.alias("baseline_avg"), F.sqrt(F.greatest(F.col("_squares") / n - mean * mean, F.lit(0.0))).alias("baseline_std"))
+
+
+def spikes_from_hours(
+    hourly: DataFrame, as_of: Moment, hours: int = 24, days: int = fv.SPIKE_BASELINE_DAYS, limit: int | None = fv.SPIKE_LIMIT, **options: int
+) -> DataFrame:
+    """Top spikes from stored hourly counts (``hour_bucket``, ``category``, ``country_name``, ``event_count``).
+
+    Reads a row for each hour and group instead of every event. The windows must begin and end on the hour, as they do if
+    ``as_of`` does; else ValueError.
+    """
+    now = utc(as_of)
+    if (now.minute, now.second, now.microsecond) != (0, 0, 0):
+        raise ValueError("stored hours answer only for moments on the hour")
+    scores = spike_scores(
+        hourly.select(F.col("hour_bucket").alias("event_time_utc"), F.col("category").alias("primary_category"), "country_name", "event_count"),
+        as_of, hours, days, weight="event_count", **options)
+    ranked = scores.drop("baseline_std").orderBy(*_spike_order())
+    return ranked if limit is None else ranked.limit(limit)
+
+
 def _spike_order() -> list[Column]:
     return [F.desc_nulls_last("z_score"), F.desc_nulls_last("lift_ratio"), F.asc("category"), F.asc("country_name")]
 
@@ -288,6 +347,22 @@ def latest_events(events: DataFrame, limit: int = 20, tie_break: list[str] | Non
     return events.orderBy(*order).limit(at_least_one(limit)).select(*LATEST_COLUMNS)
 
 
+def events_near(events: DataFrame, lat: float, lon: float, km: float) -> DataFrame:
+    """Events within ``km`` of a point, with ``distance_km``.
+
+    A box of latitudes and longitudes around the circle reaches the scan, where row groups outside are skipped by their
+    statistics; the exact distance follows. A circle over a pole or the date line has no bounds of longitude.
+    """
+    reach = math.degrees(km / EARTH_KILOMETRES) * (1 + 1e-9)
+    box = F.col("latitude").between(F.lit(max(lat - reach, -90.0)).cast(LAT_LONG), F.lit(min(lat + reach, 90.0)).cast(LAT_LONG))
+    if abs(lat) + reach < 90:
+        wide = math.degrees(math.asin(min(1.0, math.sin(math.radians(reach)) / math.cos(math.radians(lat))))) * (1 + 1e-9) + 1e-6
+        if -180 <= lon - wide and lon + wide <= 180:
+            box = box & F.col("longitude").between(F.lit(lon - wide).cast(LAT_LONG), F.lit(lon + wide).cast(LAT_LONG))
+    near = events.filter(box).withColumn("distance_km", kilometres("latitude", "longitude", lat, lon))
+    return near.filter(F.col("distance_km") <= km)
+
+
 def latest_display(rows: DataFrame) -> DataFrame:
     """Display columns of latest events."""
     return rows.select(

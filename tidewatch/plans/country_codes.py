@@ -9,6 +9,7 @@ from tidewatch import fixed_values as fv
 from tidewatch.functions.lookup import country_dimension
 from tidewatch.functions.text import ColumnOrName, canonical_code, col, is_blank, trimmed_upper
 from tidewatch.operators.dedupe import EVENT_KEY
+from tidewatch.sources.tables import EventTables
 
 
 def code_counts(normalized: DataFrame) -> DataFrame:
@@ -80,14 +81,18 @@ def canonicalize_codes(normalized: DataFrame) -> DataFrame:
 def fill_codes_from_raw(normalized: DataFrame, raw: DataFrame) -> DataFrame:
     """Repair step 2: take the raw row's code where it is valid and the own one is missing or invalid.
 
-    Only raw rows with a valid code take part in the join, and they are unique by key.
+    Only rows without a valid code go into the join, against raw rows with one, which are unique by key; all others pass
+    without a shuffle. The frame is read twice: give a stored one, or one that is cheap to derive.
     """
+    marked = normalized if "_changed" in normalized.columns else normalized.withColumn("_changed", F.lit(False))
+    needy = canonical_code("country_code").isNull()
     from_raw = raw.select(*EVENT_KEY, canonical_code("action_geo_country_code").alias("_raw_code"))
-    joined = normalized.join(from_raw.filter("_raw_code is not null"), EVENT_KEY, "left")
-    fill = canonical_code("country_code").isNull() & F.col("_raw_code").isNotNull()
-    changed = fill | (F.col("_changed") if "_changed" in normalized.columns else F.lit(False))
-    code = F.when(fill, F.col("_raw_code")).otherwise(F.col("country_code"))
-    return joined.withColumns({"_changed": changed, "country_code": code}).drop("_raw_code")
+    joined = marked.filter(needy).join(from_raw.filter("_raw_code is not null"), EVENT_KEY, "left")
+    filled = joined.withColumns({
+        "_changed": F.col("_changed") | F.col("_raw_code").isNotNull(),
+        "country_code": F.coalesce("_raw_code", "country_code"),
+    })
+    return marked.filter(~needy).unionByName(filled.drop("_raw_code"))
 
 
 def backfill_country_codes(normalized: DataFrame, raw: DataFrame) -> DataFrame:
@@ -103,3 +108,10 @@ def backfill_country_names(normalized: DataFrame) -> DataFrame:
     name = F.when(missing, F.coalesce("known_name", F.lit(fv.UNKNOWN))).otherwise(F.col("country_name"))
     changed = ~name.eqNullSafe(F.col("country_name"))
     return joined.withColumns({"_changed": changed, "country_name": name}).drop("_lookup_code", "known_name")
+
+
+def repair_stored_countries(tables: EventTables) -> bool:
+    """Both code repairs and then the names, written back to the query table; whether any row changed."""
+    codes = tables.repair("normalized_events", backfill_country_codes(tables.read("normalized_events"), tables.read("raw_events")))
+    names = tables.repair("normalized_events", backfill_country_names(tables.read("normalized_events")))
+    return codes or names

@@ -18,16 +18,15 @@ from pyspark.sql import functions as F
 
 from tidewatch import fixed_values as fv
 from tidewatch.operators import ledger as lg
-from tidewatch.operators.dedupe import new_events, same_id_range
+from tidewatch.operators.dedupe import first_of_new
 from tidewatch.operators.normalize import normalize_events
 from tidewatch.operators.project import dropped_rows, normalized_rows, raw_rows
-from tidewatch.operators.quality import audit_rows, quality_counters
+from tidewatch.operators.quality import audit_rows, load_histograms, quality_counters, quality_warnings
 from tidewatch.operators.validate import parse_error_drops, surviving, validate_and_clean, validation_drops
 from tidewatch.session import remove_shared_folder, shared_folder, use_utc
-from tidewatch.sources.exports import (
-    BINARY_FILE, discover_new, latest_export, list_exports, rows_of_zips, scan_export_tsv, with_export_metadata,
-)
-from tidewatch.sources.tables import EXPORT_KEY, EventTables, export_key
+from tidewatch.sources.exports import discover_new, latest_export, list_exports, scan_export_tsv, with_export_metadata
+from tidewatch.sources.tables import EventTables, export_key
+from tidewatch.sources.zips import read_zips
 
 Moment = datetime | str
 
@@ -54,14 +53,10 @@ def _summary(labelled: DataFrame) -> DataFrame:
     def rows(*labels: str) -> Column:
         return F.count_if(F.col("outcome").isin(*labels))
 
-    candidate_id = F.when(F.col("outcome") == "candidate", F.col("global_event_id"))
     return labelled.groupBy(*lg.CHECKPOINT_KEY).agg(
         rows("candidate", "dropped").alias("rows_seen"),
-        rows("candidate").alias("_candidates"),
         rows("dropped").alias("rows_dropped"),
         rows("parse_error").alias("parse_errors"),
-        F.min(candidate_id).alias("_lowest_id"),
-        F.max(candidate_id).alias("_highest_id"),
         *quality_counters(F.col("outcome") == "candidate"),
         F.min("file_error").alias("error_message"),
     )
@@ -139,26 +134,38 @@ def _load_claimed(
         df.write.parquet(staged[-1])
         return spark.read.parquet(staged[-1])
 
+    try:
+        return _publish(tables, stage, rows, exports, as_of, run_id, source)
+    finally:
+        for folder in staged:
+            remove_shared_folder(spark, folder)
+
+
+def _publish(
+    tables: EventTables, stage: Callable[[str, DataFrame], DataFrame], rows: DataFrame, exports: DataFrame, as_of: Moment,
+    run_id: str, source: str,
+) -> DataFrame:
+    spark = tables.spark
     labelled = stage("staged-rows", label_rows(rows, as_of, run_id, source))
     summary = stage("staged-counts", _summary(labelled))
     broken = summary.filter("error_message is not null").select(*lg.CHECKPOINT_KEY, "error_message")
     usable = labelled
     if not broken.isEmpty():
         usable = labelled.join(broken.select(*lg.CHECKPOINT_KEY), lg.CHECKPOINT_KEY, "left_anti")
-    # As constants, the keys of this load's own exports (a bounded number) exclude their partitions without a join.
+    # As constants, the keys of this load's own exports (a bounded number) are told from those of others without a join.
     own = [row[0] for row in exports.select(export_key()).distinct().collect()]
-    known = summary.agg(F.coalesce(F.sum("_candidates"), F.lit(0)).alias("rows"), F.min("_lowest_id"), F.max("_highest_id"))
-    batch_rows, lowest, highest = known.first()
-    history = same_id_range(tables.read("raw_events").filter(~F.col(EXPORT_KEY).isin(own)), lowest, highest)
+    keys = tables.keys()
     candidates = surviving(usable.filter("outcome = 'candidate'"))
-    accepted = stage("accepted-rows", new_events(candidates, history, batch_rows=batch_rows))
+    accepted = stage("accepted-rows", first_of_new(candidates, keys.colliding(candidates, own)))
     counts = stage("load-counts", _counts(exports, summary, accepted))
 
     rejected = parse_error_drops(usable.filter("outcome = 'parse_error'"), source).unionByName(
         validation_drops(usable.filter("outcome = 'dropped'"))
     )
     claimed = _of(tables, exports)
-    again = [row[0] for row in claimed.filter("attempt_count > 1").select(export_key()).distinct().collect()]
+    date = F.date_format("export_time_utc", "yyyy-MM-dd")
+    again = [tuple(row) for row in claimed.filter("attempt_count > 1").select(export_key(), date).distinct().collect()]
+    audit = audit_rows(counts.withColumnRenamed("rows_seen", "total_events"), as_of, [*lg.CHECKPOINT_KEY, "parse_errors"])
 
     def replace(name: str, rows: DataFrame) -> None:
         tables.withdraw(name, again)
@@ -169,8 +176,11 @@ def _load_claimed(
         lambda: replace("dropped_events", dropped_rows(rejected, as_of)),
         lambda: replace("raw_events", raw_rows(accepted, as_of)),
         lambda: replace("normalized_events", normalized_rows(accepted, as_of)),
-        lambda: replace("data_quality_audit", audit_rows(counts.withColumnRenamed("rows_seen", "total_events"), as_of)),
+        lambda: replace("data_quality_audit", audit),
+        lambda: replace("quality_warnings", quality_warnings(audit, F.col("parse_errors"), [*lg.CHECKPOINT_KEY, "run_timestamp"])),
+        lambda: replace("load_histograms", load_histograms(usable.filter(F.col("outcome").isin("candidate", "dropped")), as_of)),
     )
+    keys.record(accepted, [key for key, _ in again])  # after the events, before their exports are completed
     changes = lg.completed(claimed, counts, as_of).unionByName(lg.failed(claimed, broken))
     tables.append("export_checkpoints", changes)
     zero = F.lit(0).cast("bigint")
@@ -191,9 +201,7 @@ def _load_claimed(
         F.lit(True).alias("finished"),
     )
     tables.append("ingestion_runs", lg.run_patches(patch, as_of))
-    for folder in staged[:-1]:  # all but the counters, which are returned
-        remove_shared_folder(spark, folder)
-    return counts
+    return spark.createDataFrame(counts.collect(), counts.schema)  # a row an export, as many as there are names
 
 
 def _of(tables: EventTables, exports: DataFrame) -> DataFrame:
@@ -212,21 +220,39 @@ def pending_exports(tables: EventTables, listing: DataFrame) -> DataFrame:
     return discover_new(listing, lg.current(tables.read("export_checkpoints")))
 
 
-def release_own(tables: EventTables, exports: DataFrame) -> None:
-    """Release those of ``exports`` that are in processing, for a loader that knows itself to be the one that broke off."""
-    stuck = _of(tables, exports).filter("status = 'processing'")
+def release_processing(tables: EventTables, source: str = fv.SOURCE) -> None:
+    """Release all exports of a source that are in processing, for a loader that knows itself to be the only one."""
+    stuck = lg.current(tables.read("export_checkpoints")).filter((F.col("status") == "processing") & (F.col("source") == source))
     if not stuck.isEmpty():
         tables.append("export_checkpoints", lg.released(stuck))
 
 
-def _slices(exports: list[tuple[Moment, str]], size: int) -> Iterator[list[str]]:
-    """Names by export time, about ``size`` at once; files of one export time own the same partitions and stay together."""
-    held: list[str] = []
+def record_misnamed(tables: EventTables, listing: DataFrame, as_of: Moment, run_id: str, trigger_mode: str = "manual") -> int:
+    """A failed ledger row, and one failed run, for files whose names tell no export time and that are new; how many."""
+    new = lg.misnamed(lg.current(tables.read("export_checkpoints")), listing, as_of)
+    names = [row.last_error for row in new.select("last_error").collect()]
+    if names:
+        tables.append("export_checkpoints", new)
+        _record_run(tables, as_of, run_id, trigger_mode, "failed", len(names), min(names))
+    return len(names)
+
+
+def _record_run(tables: EventTables, as_of: Moment, run_id: str, trigger_mode: str, status: str, seen: int, error: str | None) -> None:
+    opened = lg.open_runs(tables.spark.createDataFrame([(run_id,)], "id string"), as_of, trigger_mode)
+    fields = "id string, status string, exports_seen int, error_summary string, finished boolean"
+    patch = tables.spark.createDataFrame([(run_id, status, seen, error, True)], fields)
+    tables.append("ingestion_runs", opened.unionByName(lg.run_patches(patch, as_of)))
+
+
+def _slices(exports: list[tuple], size: int) -> Iterator[list[tuple]]:
+    """Exports (time first) by time, about ``size`` at once; files of one export time own the same partitions and stay
+    together."""
+    held: list[tuple] = []
     for _, same in groupby(exports, key=lambda x: x[0]):
         if len(held) >= size:
             yield held
             held = []
-        held += [url for _, url in same]
+        held += same
     if held:
         yield held
 
@@ -240,28 +266,38 @@ def load_landing(
     exports_per_load: int = 2_000,
     latest_only: bool = False,
     plain: bool = False,
+    source: str = fv.SOURCE,
+    trigger_mode: str = "manual",
 ) -> int:
     """Load every export in the landing folder that the ledger does not know as done; returns how many there were.
 
     The listing reads names only. The names of new files are the one thing that passes the driver, as they do in Spark's
     own file index; a long backlog is worked off in loads of about ``exports_per_load`` files. The first has the given
-    ``run_id``, further ones the same with a number.
+    ``run_id``, further ones the same with a number. Files tried before come after the others, least tried first. A file
+    whose name tells no time gets a failed ledger row and a failed run of its own, once. Where nothing is new, a run is
+    recorded all the same: the feed was looked at.
     """
     use_utc(spark)
-    recover_stale(tables, as_of)
+    recover_stale(tables, as_of, source)
     suffix = ".zip" if plain else ""
     pattern = "*.export.CSV" if plain else "*.export.CSV.zip"
-    listing = list_exports(spark, landing, pattern=pattern, archive_suffix=suffix)
+    listing = list_exports(spark, landing, source, pattern, suffix)
     if latest_only:
         listing = latest_export(listing)
-    pending = pending_exports(tables, listing).orderBy("export_time_utc", "export_url").select("export_time_utc", "export_url")
-    names = [tuple(row) for row in pending.collect()]
+    run = run_id or str(uuid.uuid4())
+    strange = record_misnamed(tables, listing, as_of, f"{run}-misnamed", trigger_mode)
+    tried = lg.current(tables.read("export_checkpoints")).select(*lg.CHECKPOINT_KEY, F.col("attempt_count").alias("tries"))
+    pending = pending_exports(tables, listing).join(tried, lg.CHECKPOINT_KEY, "left")
+    order = [F.coalesce("tries", F.lit(0)), "export_time_utc", "export_url"]
+    names = [tuple(row) for row in pending.orderBy(*order).select("export_time_utc", "export_url", "length").collect()]
+    if not names and not strange:
+        _record_run(tables, as_of, run, trigger_mode, "completed", listing.count(), None)
     for number, part in enumerate(_slices(names, exports_per_load), start=1):
-        paths = [url.removesuffix(suffix) for url in part]
+        paths = [(url.removesuffix(suffix), length) for _, url, length in part]
         if plain:
-            rows = scan_export_tsv(spark, paths, "*").withColumn("path", F.concat("path", F.lit(suffix)))
+            rows = scan_export_tsv(spark, [path for path, _ in paths], "*").withColumn("path", F.concat("path", F.lit(suffix)))
         else:
-            rows = rows_of_zips(spark.read.format("binaryFile").schema(BINARY_FILE).load(paths))
-        one_load = run_id and (run_id if number == 1 else f"{run_id}-{number}")
-        load_rows(tables, rows, listing.filter(F.col("export_url").isin(part)), as_of, one_load)
+            rows = read_zips(spark, paths)
+        exports = listing.drop("length").filter(F.col("export_url").isin([url for _, url, _ in part]))
+        load_rows(tables, rows, exports, as_of, run if number == 1 else f"{run}-{number}", trigger_mode, source)
     return len(names)

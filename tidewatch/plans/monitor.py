@@ -13,6 +13,10 @@ from tidewatch.operators.classify import with_category
 from tidewatch.operators.dedupe import rank_per_key
 
 
+#: The report's first section.
+BREAKING = "breaking"
+
+
 def classify_parsed(parsed: DataFrame) -> DataFrame:
     """Parsed rows with their category columns."""
     return with_category(parsed, "EventCode", "Actor1Name", "Actor2Name", "ActionGeo_FullName", "SOURCEURL")
@@ -71,15 +75,15 @@ def stripped(parsed: DataFrame) -> DataFrame:
 
 
 def monitor_report(parsed: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Both parts of the report as lines: section, rank and display line."""
+    """Both parts of the report as lines: section, rank and display line.
+
+    One pass: an event is classified once and stands in the section of its category and, if it is one, among the breaking
+    ones; of each section at most as many rows as the report shows reach the shuffle from a task.
+    """
     file_order = order or ["export_time_utc", "row_number"]
-    classified = classify_parsed(parsed)
-    top = top_breaking(classified, order=file_order)
-    top = rank_per_key(
-        top.withColumn("section", F.lit("breaking")), ["section"], [parse_float_or_zero("AvgTone"), *file_order], "rank"
-    )
-    first = first_per_category(classified, order=file_order).withColumns(
-        {"section": F.col("primary_category"), "rank": F.col("category_rank")}
-    )
-    columns = ["section", "rank", event_line().alias("line")]
-    return top.select(*columns).unionByName(first.select(*columns))
+    sections = F.array_compact(F.array(F.when(is_breaking(), F.lit(BREAKING)), F.col("primary_category")))
+    rows = classify_parsed(parsed).withColumn("section", F.explode(sections))
+    by_tone = F.when(F.col("section") == BREAKING, parse_float_or_zero("AvgTone"))
+    ranked = rank_per_key(rows, ["section"], [by_tone, *file_order], "rank").filter(F.col("rank") <= max(fv.BREAKING_LIMIT, fv.EVENTS_PER_CATEGORY))
+    shown = F.when(F.col("section") == BREAKING, F.lit(fv.BREAKING_LIMIT)).otherwise(F.lit(fv.EVENTS_PER_CATEGORY))
+    return ranked.filter(F.col("rank") <= shown).select("section", "rank", event_line().alias("line"))

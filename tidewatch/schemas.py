@@ -42,6 +42,7 @@ NORMALIZED_EVENTS = _struct(
     dedupe_key=S, event_time_utc=TS, actor1_name=S, actor2_name=S, event_code=S, country_code=S, country_name=S,
     latitude=LAT_LONG, longitude=LAT_LONG, goldstein_score=TONE, primary_category=S, secondary_category=S,
     category_confidence=CONFIDENCE, category_reason=S, source=S, export_time_utc=TS, row_number=L, inserted_at=TS,
+    location_wkt=S, location_key=L,
 )
 DROPPED_EVENTS = _struct(
     ingestion_run_id=S, source=S, export_time_utc=TS, export_url=S, dedupe_key=S, drop_reason=S, error_detail=S,
@@ -50,6 +51,8 @@ DROPPED_EVENTS = _struct(
 QUALITY_AUDIT = _struct(
     run_timestamp=TS, total_events=L, missing_actor_pct=D, missing_geo_pct=D, unknown_country_pct=D,
 )
+QUALITY_WARNINGS = _struct(run_timestamp=TS, reason=S, value=D, threshold=D)
+LOAD_HISTOGRAMS = _struct(run_timestamp=TS, kind=S, value=S, n=L)
 SPIKE_SNAPSHOT = _struct(
     computed_at=TS, window_hours=I, category=S, country=S, recent_count=L, baseline_avg=SPIKE_STAT,
     baseline_std=SPIKE_STAT, z_score=SPIKE_STAT, lift_ratio=SPIKE_STAT,

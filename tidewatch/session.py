@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from tidewatch.sources.files import delete, qualified
+
 #: UTC day and hour buckets, and run-time re-planning. Sizes (memory, executors, shuffle partitions) stay with the caller.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,7 +37,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder name, with scheme and authority, under the cluster's shared ``spark.checkpoint.dir``.
+
+    Tasks that open files themselves so reach the file system that Spark's own readers and writers take it for.
 
     Where that setting is absent, a single-machine session (master ``local``) gets a temporary folder; on a cluster, whose
     executors would each write to their own disk, it is an error.
@@ -47,10 +51,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{qualified(spark, base).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def remove_shared_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder made by :func:`shared_folder` once nothing reads it any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, folder)

@@ -1,85 +1,23 @@
-"""Export files: zipped or plain tab-separated rows, their names, manifests and listings."""
+"""Export files: zipped or plain tab-separated rows, their names, manifests and listings.
 
-from __future__ import annotations
+Both readers take quotes as the format does; a line break inside quotes continues a row in a zipped file and ends it in a
+plain one (where Spark splits lines), and bytes that are not UTF-8 make a zipped file unreadable and a plain line's
+characters replaced.
+"""
 
-import csv
-import io
-import sys
-import zipfile
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch import fixed_values as fv
 from tidewatch.functions.text import ColumnOrName, col, strip
-
-BINARY_FILE = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("content", T.BinaryType()),
-])
-
-#: Rows of a file: the 13 kept fields, or for a row that is too short all its columns; or why the file is unreadable.
-FILE_ROWS = T.StructType(
-    [T.StructField("path", T.StringType()), T.StructField("row_number", T.LongType())]
-    + [T.StructField(name, T.StringType()) for name in fv.FIELD_POSITIONS]
-    + [T.StructField("cols", T.ArrayType(T.StringType())), T.StructField("file_error", T.StringType())]
-)
-_ROWS_PER_BLOCK = 5_000
-
-
-def _zip_rows(content: bytes) -> Iterator[list[str]]:
-    """Rows of the first ``.CSV`` member, read as a stream."""
-    csv.field_size_limit(sys.maxsize)
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        members = [name for name in archive.namelist() if name.endswith(".CSV")]
-        if not members:
-            raise ValueError("no .CSV member in the archive")
-        with archive.open(members[0]) as member:
-            yield from csv.reader(io.TextIOWrapper(member, encoding="utf-8", newline=""), delimiter="\t")
-
-
-def _file_rows(path: str, content: bytes) -> Iterator[pd.DataFrame]:
-    positions = list(fv.FIELD_POSITIONS.values())
-    names = FILE_ROWS.names
-    block: list[tuple] = []
-    row_number = 0
-    try:
-        for row_number, row in enumerate(_zip_rows(content), start=1):
-            if len(row) >= fv.EXPORT_COLUMNS:
-                block.append((path, row_number, *[row[i].strip() for i in positions], None, None))
-            else:
-                block.append((path, row_number, *[None] * len(positions), row, None))
-            if len(block) == _ROWS_PER_BLOCK:
-                yield pd.DataFrame(block, columns=names)
-                block = []
-    except (ValueError, EOFError, OSError, RuntimeError, NotImplementedError, csv.Error, zipfile.BadZipFile) as error:
-        block.append((path, row_number + 1, *[None] * len(positions), None, str(error) or type(error).__name__))
-    if block:
-        yield pd.DataFrame(block, columns=names)
-
-
-def _parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for files in batches:
-        for path, content in zip(files["path"], files["content"], strict=True):
-            yield from _file_rows(path, content)
-
-
-def rows_of_zips(files: DataFrame) -> DataFrame:
-    """Rows of zipped exports from a frame with ``path`` and ``content``; one pass, files in parallel.
-
-    An unreadable file ends in one row with ``file_error`` and does not stop the others.
-    """
-    return files.select("path", "content").mapInPandas(_parse_files, FILE_ROWS)
-
+from tidewatch.sources.zips import scan_zips
 
 def scan_export_zip(spark: SparkSession, paths: str | list[str], pattern: str = "*.export.CSV.zip") -> DataFrame:
-    return rows_of_zips(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths))
+    """Rows of zipped exports, files in parallel. An unreadable file gives one row with ``file_error``."""
+    return scan_zips(spark, paths, pattern)
 
 
 _QUOTED_FIELD = r'\t("(?:[^"]|"")*"[^\t]*|[^\t]*)'
@@ -161,7 +99,7 @@ def with_export_metadata(df: DataFrame, url: str = "export_url", strict: bool =
     """Add ``export_filename`` and ``export_time_utc``; ``strict`` fails on a name without a time."""
     time = export_time(url)
     if strict:
-        message = F.concat(F.lit("no export time in file name: "), export_filename(url))
+        message = F.concat(F.lit(fv.MISNAMED_TEXT), export_filename(url))
         time = F.when(time.isNull(), F.raise_error(message).cast("timestamp")).otherwise(time)
     return df.withColumns({"export_filename": export_filename(url), "export_time_utc": time})
 
@@ -190,13 +128,13 @@ def list_exports(
     spark: SparkSession, folder: str, source: str = fv.SOURCE, pattern: str = "*.export.CSV.zip",
     archive_suffix: str = "",
 ) -> DataFrame:
-    """Landed exports with their times. File contents are not read.
+    """Landed exports with their times (NULL where a name tells none) and sizes. File contents are not read.
 
     ``archive_suffix`` is what unpacking took off the names, so that zipped and plain landings name an export alike.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    listed = with_export_metadata(files.select(F.concat("path", F.lit(archive_suffix)).alias("export_url")))
-    return listed.select(F.lit(source).alias("source"), "export_time_utc", "export_url", "export_filename")
+    listed = with_export_metadata(files.select(F.concat("path", F.lit(archive_suffix)).alias("export_url"), "length"))
+    return listed.select(F.lit(source).alias("source"), "export_time_utc", "export_url", "export_filename", "length")
 
 
 def latest_export(listing: DataFrame) -> DataFrame:

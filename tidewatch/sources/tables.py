@@ -1,11 +1,16 @@
 """The stored tables: Parquet folders under one root.
 
 Event tables are partitioned so that (1) readers prune by date, and (2) an export owns its partitions: publishing an
-export again replaces exactly its own rows. Ledgers and snapshots are appended to.
+export again replaces exactly its own rows. Ledgers are logs with a manifest: each append is one more folder, and many are
+made one, so that a ledger has a bounded number of files however many loads it has seen. Repairs are finished when the tables
+are opened.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +18,8 @@ from pyspark.sql import types as T
 
 from tidewatch import schemas
 from tidewatch.operators.ledger import VERSION
+from tidewatch.sources import files, repairs
+from tidewatch.sources.versioned import Version, VersionedTable
 
 EXPORT_KEY = "export_key"
 _VERSION = T.StructField(VERSION, T.LongType())
@@ -21,10 +28,14 @@ _TABLES: dict[str, tuple[T.StructType, list[str]]] = {
     "normalized_events": (schemas.NORMALIZED_EVENTS, ["event_date", EXPORT_KEY]),
     "dropped_events": (schemas.DROPPED_EVENTS, ["export_date", EXPORT_KEY]),
     "data_quality_audit": (schemas.QUALITY_AUDIT, ["export_date", EXPORT_KEY]),
+    "quality_warnings": (schemas.QUALITY_WARNINGS, ["export_date", EXPORT_KEY]),
+    "load_histograms": (schemas.LOAD_HISTOGRAMS, ["export_date", EXPORT_KEY]),
     "ingestion_runs": (T.StructType([*schemas.INGESTION_RUNS.fields, _VERSION]), []),
     "export_checkpoints": (T.StructType([*schemas.EXPORT_CHECKPOINTS.fields, _VERSION]), []),
-    "spike_snapshot": (schemas.SPIKE_SNAPSHOT, []),
 }
+#: Logs: one partition, rewritten as one folder once it has more than so many.
+LEDGERS = ("ingestion_runs", "export_checkpoints")
+MOST_LEDGER_FOLDERS = 16
 _PARTITION_TYPES = {"export_date": T.DateType(), "event_date": T.DateType(), EXPORT_KEY: T.StringType()}
 
 
@@ -39,6 +50,7 @@ class EventTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        repairs.finish(spark, self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -49,6 +61,8 @@ class EventTables:
 
     def read(self, name: str) -> DataFrame:
         """The table with its partition columns; an empty frame before the first write."""
+        if name in LEDGERS and (log := self._ledger(name)).version().number:
+            return log.read()
         try:
             return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
         except AnalysisException as error:
@@ -56,28 +70,86 @@ class EventTables:
                 raise
             return self.spark.createDataFrame([], self.schema(name))
 
+    def keys(self):
+        """The stored event keys; made from the raw events where these are older than their key table."""
+        from tidewatch.sources.keys import EventKeys
+
+        keys = EventKeys(self.spark, self.path("event_keys"))
+        if not keys.started():
+            raw = self.read("raw_events")
+            if not raw.isEmpty():
+                keys.rebuild(raw)
+        return keys
+
+    def spike_snapshots(self) -> VersionedTable:
+        """Spikes as they were at each moment they were computed for, a partition a moment and window."""
+        partition = F.concat_ws(" ", F.date_format("computed_at", "yyyy-MM-dd HH:mm:ss"), F.col("window_hours").cast("string"))
+        return VersionedTable(self.spark, self.path("spike_snapshot"), schemas.SPIKE_SNAPSHOT, partition)
+
+    def keep_spikes(self, snapshot: DataFrame, computed_at: str, window_hours: int) -> Version:
+        """Store a snapshot in place of an earlier one of that moment and window, so that a repeat adds nothing."""
+        return self.spike_snapshots().replace(snapshot, [f"{computed_at} {window_hours}"])
+
     def events(self, since_date: str | None = None) -> DataFrame:
-        """The query table, from a date on if given: a bound on whole partitions, never listed beyond."""
+        """The query table, from a date on if given: a bound on whole partitions, which are listed but not read beyond."""
         events = self.read("normalized_events")
         return events if since_date is None else events.filter(F.col("event_date") >= F.lit(since_date).cast("date"))
 
-    def append(self, name: str, df: DataFrame) -> None:
-        """Add log or snapshot rows, a few per export or group, as one file."""
-        fields, _ = _TABLES[name]
-        df.select(*fields.names).repartition(1).write.mode("append").parquet(self.path(name))
+    def _ledger(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(name), self.schema(name), F.lit("log"))
 
-    def withdraw(self, name: str, keys: list[str]) -> None:
-        """Delete the partitions of exports that are loaded again, so that none stays that gets no rows this time."""
-        if not keys:
-            return
-        stored = self.read(name)
-        if not stored.inputFiles():
+    def append(self, name: str, df: DataFrame) -> None:
+        """Add rows to a ledger, a few per export or run, as one file. Rows of a ledger without a manifest, as older
+        versions of this library wrote it, come along with the first."""
+        log, rows = self._ledger(name), df.select(*self.schema(name).names)
+        if not log.version().number:
+            rows = rows.unionByName(self.read(name))
+        log.append(rows.coalesce(1))
+        if log.compact(MOST_LEDGER_FOLDERS):
+            log.sweep()
+
+    def repair(self, name: str, repaired: DataFrame) -> bool:
+        """Write back a table's repaired rows (all columns, and ``_changed`` where a row differs); whether any did.
+
+        Only partitions with a changed row are written, and they are switched together.
+        """
+        columns = self.schema(name).names
+        folder = repairs.prepare(self.spark, self.root, name, repaired.select(*columns, "_changed"), _TABLES[name][1])
+        repairs.finish(self.spark, self.root)
+        return folder is not None
+
+    def withdraw(self, name: str, exports: list[tuple[str, str]]) -> None:
+        """Delete the partitions of exports (key, date) that are loaded again, so that none stays that gets no rows this
+        time. Tables by export date name them outright; in the others the folders of dates are looked through."""
+        if not exports:
             return
-        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for row in stored.filter(F.col(EXPORT_KEY).isin(keys)).select(folder.alias("folder")).distinct().collect():
-            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.folder))
-            path.getFileSystem(conf).delete(path, True)
+        first = _TABLES[name][1][0]
+        by_date = first == "export_date"
+        dates = [] if by_date else [n for n in files.children(self.spark, self.path(name)) if n.startswith(f"{first}=")]
+        for key, date in exports:
+            for folder in [f"export_date={date}"] if by_date else dates:
+                files.delete(self.spark, f"{self.path(name)}/{folder}/{EXPORT_KEY}={key}")
+
+    def newest_dates(self, name: str = "normalized_events") -> list[str | None]:
+        """Dates of the partitions, newest first, the unknown date last."""
+        first = _TABLES[name][1][0]
+        dates = [n.split("=", 1)[1] for n in files.children(self.spark, self.path(name)) if n.startswith(f"{first}=")]
+        known = sorted((d for d in dates if not d.startswith("__")), reverse=True)
+        return [*known, *([None] if len(known) < len(dates) else [])]
+
+    def newest_events(self, rows: int) -> DataFrame:
+        """The newest date partitions of the query table that together hold ``rows`` rows: all that a top-k by time needs.
+
+        Dates are read one after another, for their counts alone, until there are enough; rows of unknown time come last.
+        """
+        events, wanted, held = self.read("normalized_events"), [], 0
+        for date in self.newest_dates():
+            part = F.col("event_date").isNull() if date is None else F.col("event_date") == F.lit(date).cast("date")
+            wanted.append(part)
+            held += events.filter(part).limit(rows - held).count()
+            if held >= rows:
+                break
+        return events.filter(reduce(or_, wanted)) if wanted else events
 
     def publish(self, name: str, df: DataFrame) -> None:
         """Write whole exports: each replaces the partitions it owns and no others.
@@ -91,9 +163,10 @@ class EventTables:
             "event_date": F.to_date("event_time_utc"),
             EXPORT_KEY: export_key(),
         }
-        keyed = df.withColumns({p: values[p] for p in partitions}).select(*fields.names, *partitions)
+        keyed = df.withColumns({p: values[p] for p in partitions}).select(*fields.names, *partitions).hint("rebalance", *partitions)
+        if "location_key" in fields.names:  # near places side by side, so that row groups have small boxes
+            keyed = keyed.sortWithinPartitions(*partitions, "location_key")
         (
-            keyed.hint("rebalance", *partitions)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions).parquet(self.path(name))
         )

@@ -1,4 +1,4 @@
-"""The load as a stream: new files in a landing folder, a bounded number per micro-batch."""
+"""The load as a stream: a landing folder polled, files loaded a bounded number at a time."""
 
 from __future__ import annotations
 
@@ -6,16 +6,13 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import fixed_values as fv
-from tidewatch.operators import ledger as lg
-from tidewatch.operators.dedupe import EVENT_KEY
-from tidewatch.plans.load import load_rows, recover_stale, release_own
+from tidewatch.plans.load import load_landing, release_processing
 from tidewatch.session import use_utc
-from tidewatch.sources.exports import BINARY_FILE, discover_new, list_exports, rows_of_zips, with_export_metadata
 from tidewatch.sources.tables import EventTables
+from tidewatch.streaming.poll import polls
 
 
 def _utc_now() -> datetime:
@@ -34,50 +31,19 @@ def stream_load(
 ) -> StreamingQuery:
     """Load files as they land. Without ``every`` the query works off what is there and ends.
 
-    Files count once twice over: the stream's checkpoint remembers offered files, and the ledger remembers completed
-    exports, so a lost checkpoint or a repeated micro-batch loads nothing twice. Events are checked against the whole
-    raw table, without a time bound and without stream state. There is no watermark: late events are always accepted,
-    and events from the future are quarantined. A micro-batch that broke off is repeated by Spark and takes up its own
-    exports again; failed and stale ones of earlier micro-batches come along, at most ``files_per_batch`` each time.
+    Every poll lists the landing folder and takes what the ledger does not know as done, about ``files_per_batch`` files at a
+    time: what is new, then what failed or broke off, least tried first, each once a poll. So a quiet feed is retried and
+    recorded too, and a file counts once however often the stream is restarted, with or without its checkpoint. The
+    stream is the one loader of its ``source``: what it finds in processing broke off and is taken up at once. Events are
+    checked against all stored keys, without a time bound and without stream state. There is no watermark: late events
+    are always accepted, and events from the future are quarantined.
     """
     use_utc(spark)
-    files = (
-        spark.readStream.format("binaryFile").schema(BINARY_FILE)
-        .option("pathGlobFilter", "*.export.CSV.zip")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(landing)
-    )
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        now = as_of()
-        recover_stale(tables, now, source)
-        listed = with_export_metadata(batch.select(F.col("path").alias("export_url")))
-        exports = listed.select(F.lit(source).alias("source"), "export_time_utc", "export_url", "export_filename")
-        release_own(tables, exports)
-        known = lg.current(tables.read("export_checkpoints"))
-        # At most files_per_batch names each. As constants they stay the same when the load changes the ledger.
-        urls = [row.export_url for row in discover_new(exports, known).select("export_url").collect()]
-        loads = batch.filter(F.col("path").isin(urls))
-        waiting = lg.unfinished(known.join(exports, lg.CHECKPOINT_KEY, "left_anti"), source).limit(files_per_batch)
-        wanted = [row.export_url for row in waiting.select("export_url").collect()]
-        if wanted:
-            there = list_exports(spark, landing, source=source).filter(F.col("export_url").isin(wanted))
-            again = [row.export_url for row in there.select("export_url").collect()]
-            exports = exports.unionByName(there)
-            if again:
-                loads = loads.unionByName(spark.read.format("binaryFile").schema(BINARY_FILE).load(again))
-                urls += again
-        if urls:
-            load_rows(tables, rows_of_zips(loads), exports.filter(F.col("export_url").isin(urls)), now, None, "stream", source)
+        release_processing(tables, source)
+        load_landing(spark, tables, landing, as_of(), exports_per_load=files_per_batch, source=source, trigger_mode="stream")
 
-    writer = files.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+    writer = polls(spark).writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
-
-
-def dedupe_within(events: DataFrame, horizon: str, time: str = "event_time_utc", keys: list[str] | None = None) -> DataFrame:
-    """Duplicates removed within a bounded time span only, where state must stay bounded.
-
-    The loader above does not use this: its check against the raw table has no horizon.
-    """
-    return events.withWatermark(time, horizon).dropDuplicatesWithinWatermark(keys or EVENT_KEY)
