@@ -178,7 +178,8 @@ def normalise(written: DataFrame, source: str, target: str) -> DataFrame:
     changed = revisits(written).groupBy("file").agg(F.collect_list(F.struct("place", "refers_to")).alias("revisits"))  # of one archive
     files = written.groupBy("file").agg(F.count("*").alias("records")).join(changed, "file", "left").select("file", "revisits")
     tasks = groups_for(total, 4 * ARCHIVE_BYTES, shuffle_partitions(spark))
-    return staged(files.repartition(tasks, F.col("file")).mapInArrow(rewrite, INDEX), "warc-index")
+    spread = files.repartition(tasks, F.xxhash64("file"))  # by another key than the join's, or it is left out as needless
+    return staged(spread.mapInArrow(rewrite, INDEX), "warc-index")
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
