@@ -29,8 +29,8 @@ from tidewatch.llm.simhash import components, shingles
 WORDS = 5
 BANDS, BAND_SLOTS = 30, 8
 SLOTS = BANDS * BAND_SLOTS
-#: Equal slots of a link: similarity 0.8 less 1.4 standard deviations of the share of equal slots.
-LEAST_EQUAL = round((0.8 - 1.4 * (0.8 * 0.2 / SLOTS) ** 0.5) * SLOTS)
+#: Equal slots of a link: similarity 0.8 less 0.7 standard deviations of the share of equal slots.
+LEAST_EQUAL = round((0.8 - 0.7 * (0.8 * 0.2 / SLOTS) ** 0.5) * SLOTS)
 #: Fingerprints of a part of a band's group; hashes that are multiplied at once.
 PART, CHUNK = 4096, 2048
 _FACTORS = np.random.default_rng(20_240_101).integers(1, 2**63, SLOTS, np.uint64) * np.uint64(2) + np.uint64(1)
