@@ -37,7 +37,7 @@ PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 BITS = 1 << 26
 CHUNK_BITS = 1 << 14
 #: Bytes of text in a block; pairs that a task combines before sending.
-BLOCK_BYTES, COMBINED_PAIRS = 8_000_000, 8_000_000
+BLOCK_BYTES, COMBINED_PAIRS = 4_000_000, 4_000_000
 #: Suffixes of a group, about, and of a prefix before it is extended.
 GROUP_SUFFIXES = 1_000_000
 PREFIX_SUFFIXES = GROUP_SUFFIXES // 4
