@@ -241,11 +241,11 @@ def _stored_location(spark, sf):
 
 
 @query("events_near_point", f"""WITH {_FILE_TABLE_SQL}, h AS (SELECT dedupe_key, pow(sin((radians(CAST(latitude AS DOUBLE)) - radians(10.0)) / 2), 2)
- + cos(radians(CAST(latitude AS DOUBLE))) * cos(radians(10.0)) * pow(sin((radians(CAST(longitude AS DOUBLE)) - radians(-20.0)) / 2), 2) AS half FROM nt)
+ + cos(radians(CAST(latitude AS DOUBLE))) * cos(radians(10.0)) * pow(sin((radians(CAST(longitude AS DOUBLE)) - radians(30.0)) / 2), 2) AS half FROM nt)
 SELECT dedupe_key, round(2 * 6371.0088 * asin(sqrt(least(half, 1.0))), 3) AS distance_km FROM h WHERE 2 * 6371.0088 * asin(sqrt(least(half, 1.0))) <= 1500""")
 def _near(spark, sf):
     """Stored events within 1,500 km of a point."""
-    near = analytics.events_near(loaded(spark, sf).read("normalized_events"), 10.0, -20.0, 1_500.0)
+    near = analytics.events_near(loaded(spark, sf).read("normalized_events"), 10.0, 30.0, 1_500.0)
     return near.select("dedupe_key", F.round("distance_km", 3).alias("distance_km"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contract import sql_text as q
-from contract.adapters import AS_OF, RAW_SQL, normalized_like, normalized_sql, raw_like
+from contract.adapters import AS_OF, RAW_SQL, normalized_like, normalized_sql, raw_like, table
 from contract.registry import query, value_query
 from tidewatch import fixed_values as fv
 from tidewatch.functions import flags, lookup, numeric, text, times
