@@ -14,7 +14,7 @@ from contract.report_queries import _COUNTERS, TABLE_SQL, _pct
 from contract.row_queries import normalized_events, validated_events
 from tidewatch import fixed_values as fv
 from tidewatch.operators import constraints, dedupe, ledger, project, quality, validate
-from tidewatch.plans import analytics, country_codes
+from tidewatch.plans import analytics, country_codes, stored_repairs
 from tidewatch.session import shared_folder
 from tidewatch.sources import exports
 from tidewatch.sources.keys import EventKeys
@@ -268,6 +268,24 @@ def _repair_stored(spark, sf):
     return EventTables(spark, root).read("normalized_events").select("dedupe_key", "country_code", "country_name")
 
 
+@query("collapse_stored_duplicates", f"""WITH {_FILE_TABLE_SQL} SELECT 'normalized_events' AS table_name, dedupe_key FROM nt
+UNION ALL SELECT 'raw_events', dedupe_key FROM nt UNION ALL SELECT 'event_keys', dedupe_key FROM nt""")
+def _collapse_stored(spark, sf):
+    """A third of the stored events, stored again under a later export, then collapsed in place."""
+    tables, source = EventTables(spark, shared_folder(spark, "doubled-tables")), loaded(spark, sf)
+    for name, date in (("normalized_events", "event_date"), ("raw_events", "export_date")):
+        rows = source.read(name)
+        again = rows.filter(F.pmod(F.xxhash64("dedupe_key"), F.lit(3)) == 0).withColumns({
+            "export_time_utc": F.col("export_time_utc") + F.expr("INTERVAL 400 DAY"), "export_key": F.concat("export_key", F.lit("-again"))})
+        if date == "export_date":
+            again = again.withColumn(date, F.to_date("export_time_utc"))
+        rows.unionByName(again).write.partitionBy(date, "export_key").parquet(tables.path(name))
+    stored_repairs.collapse_stored_duplicates(tables)
+    parts = [df.select(F.lit(name).alias("table_name"), "dedupe_key") for name, df in (
+        ("normalized_events", tables.read("normalized_events")), ("raw_events", tables.read("raw_events")), ("event_keys", tables.keys().table.read()))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("append_dropped", f"""WITH {_FILE_VALID_SQL}
 SELECT source, export_time_utc, dedupe_key, 'validation_drop' AS drop_reason, replace(quality_flags, ',', ', ') AS error_detail,
  quality_flags FROM valid WHERE "drop"

@@ -238,3 +238,17 @@ def test_near_points_are_near_on_the_curve(spark):
     assert all(0 <= r.k < 2**32 for r in keyed) and len({r.k for r in keyed}) == len(keyed)
     quadrant = [(r.lat >= 0, r.lon >= 0) for r in keyed]
     assert sum(a != b for a, b in zip(quadrant, quadrant[1:], strict=False)) == 3
+
+
+def test_deleted_runs_take_their_rows_along(spark, tables, tmp_path):
+    from tidewatch.plans import stored_repairs
+
+    write_export(tmp_path / "z", A, [line(GLOBALEVENTID="1", DATEADDED=A), "bad"])
+    load_landing(spark, tables, str(tmp_path / "z"), AS_OF, run_id="first")
+    write_export(tmp_path / "z", B, [line(GLOBALEVENTID="2", DATEADDED=B), "bad"])
+    load_landing(spark, tables, str(tmp_path / "z"), AS_OF, run_id="second")
+    assert stored_repairs.delete_stored_runs(tables, ["first"])
+    assert keys(tables) == keys(tables, "raw_events") == ["2"] and tables.read("dropped_events").count() == 1
+    assert {r.id for r in tables.read("ingestion_runs").collect()} == {"second"}
+    assert [r.dedupe_key[-1] for r in tables.keys().table.read().collect()] == ["2"]
+    assert not stored_repairs.delete_stored_runs(tables, ["first"]) and not stored_repairs.collapse_stored_duplicates(tables)

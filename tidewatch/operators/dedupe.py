@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -65,20 +67,24 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def first_of_new(
-    batch: DataFrame, taken: DataFrame | None = None, keys: list[str] | None = None, order: list[Column | str] | None = None
+    batch: DataFrame, taken: DataFrame | None = None, keys: list[str] | None = None, order: list[Column | str] | None = None,
+    stage: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows to append: of each key the first, unless it is among ``taken`` (distinct keys that are stored).
 
     Nearly all keys of a batch are new and unique, so whole rows are not shuffled to find that out: keys alone are
     counted, and only rows of repeated keys go through the window that picks the first. The keys that matter (repeated or
     taken) are counted and broadcast up to :data:`BROADCAST_KEY_LIMIT`, joined by a shuffle beyond. ``batch`` is read
-    three times, twice for its keys: give a stored frame.
+    three times, twice for its keys: give a stored frame. ``stage`` may write a named frame and read it back, so that
+    those keys are found once.
     """
     keys = keys or EVENT_KEY
     marked = repeated_keys(batch, keys).withColumn("_repeated", F.lit(True)).withColumn("_taken", F.lit(False))
     if taken is not None:
         stored = taken.select(*keys).withColumn("_repeated", F.lit(False)).withColumn("_taken", F.lit(True))
         marked = marked.unionByName(stored).groupBy(*keys).agg(F.bool_or("_repeated").alias("_repeated"), F.bool_or("_taken").alias("_taken"))
+    if stage is not None:
+        marked = stage("keys-in-question", marked)
     side = F.broadcast(marked) if marked.count() <= BROADCAST_KEY_LIMIT else marked
     rows = batch.join(side, keys, "left").filter(~F.coalesce("_taken", F.lit(False))).drop("_taken")
     single = rows.filter(~F.coalesce("_repeated", F.lit(False))).drop("_repeated")

@@ -156,7 +156,7 @@ def _publish(
     own = [row[0] for row in exports.select(export_key()).distinct().collect()]
     keys = tables.keys()
     candidates = surviving(usable.filter("outcome = 'candidate'"))
-    accepted = stage("accepted-rows", first_of_new(candidates, keys.colliding(candidates, own)))
+    accepted = stage("accepted-rows", first_of_new(candidates, keys.colliding(candidates, own), stage=stage))
     counts = stage("load-counts", _counts(exports, summary, accepted))
 
     rejected = parse_error_drops(usable.filter("outcome = 'parse_error'"), source).unionByName(

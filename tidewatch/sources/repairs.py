@@ -19,21 +19,29 @@ JOURNAL = "journal.json"
 
 
 def prepare(spark: SparkSession, root: str, table: str, repaired: DataFrame, partitions: list[str]) -> str | None:
-    """Write the changed partitions of ``repaired`` (a table's rows, ``_changed`` where a row differs) and the journal; the
-    repair's folder, or None where nothing changes."""
+    """Write the changed partitions of ``repaired`` (a table's rows, ``_changed`` where a row differs, ``_deleted`` where one
+    goes) and the journal; the repair's folder, or None where nothing changes. The names of touched partitions pass the
+    driver."""
     folder = f"{root}/_repairs/{uuid.uuid4().hex}"
-    touched = repaired.filter("_changed").select(*[F.col(p).cast("string").alias(f"_{p}") for p in partitions]).distinct()
+    touched = repaired.filter("_changed OR _deleted").select(*[F.col(p).cast("string").alias(f"_{p}") for p in partitions]).distinct()
     same = [F.col(p).cast("string").eqNullSafe(F.col(f"_{p}")) for p in partitions]
-    rows = repaired.join(touched, same, "left_semi").drop("_changed")
+    rows = repaired.join(touched, same, "left_semi").filter("NOT _deleted").drop("_changed", "_deleted")
     rows.hint("rebalance", *partitions).write.partitionBy(*partitions).parquet(f"{folder}/new")
     names = _partition_folders(spark, f"{folder}/new", len(partitions))
-    if not names:
+    emptied = sorted({_folder_name(spark, partitions, row) for row in touched.collect()}.difference(names))
+    if not names and not emptied:
         files.delete(spark, folder)
         return None
-    files.write_once(spark, f"{folder}/{JOURNAL}", json.dumps({"table": table, "partitions": names}))
+    files.write_once(spark, f"{folder}/{JOURNAL}", json.dumps({"table": table, "partitions": names, "emptied": emptied}))
     return folder
 
 
+def _folder_name(spark: SparkSession, partitions: list[str], values) -> str:
+    """A partition's folder, named as Spark's writer names it."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else escape(v)}" for p, v in zip(partitions, values, strict=True))
+
+
 def _partition_folders(spark: SparkSession, folder: str, depth: int) -> list[str]:
     names = [n for n in files.children(spark, folder) if "=" in n]
     if depth == 1:
@@ -51,6 +59,8 @@ def finish(spark: SparkSession, root: str) -> int:
             for name in journal["partitions"]:
                 if files.children(spark, f"{folder}/new/{name}"):
                     files.replace_folder(spark, f"{folder}/new/{name}", f"{root}/{journal['table']}/{name}")
+            for name in journal["emptied"]:
+                files.delete(spark, f"{root}/{journal['table']}/{name}")
             done += 1
         files.delete(spark, folder)
     return done

@@ -8,6 +8,7 @@ are opened.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -108,13 +109,20 @@ class EventTables:
         if log.compact(MOST_LEDGER_FOLDERS):
             log.sweep()
 
+    def rewrite_ledger(self, name: str, change: Callable[[DataFrame], DataFrame]) -> None:
+        """A ledger's rows after ``change``, by one switch."""
+        log = self._ledger(name)
+        log.replace(change(self.read(name)).coalesce(1), ["log"])
+
     def repair(self, name: str, repaired: DataFrame) -> bool:
-        """Write back a table's repaired rows (all columns, and ``_changed`` where a row differs); whether any did.
+        """Write back a table's repaired rows (all columns; ``_changed`` where a row differs, ``_deleted``, if there is such
+        a column, where one goes); whether any did.
 
-        Only partitions with a changed row are written, and they are switched together.
+        Only partitions with such a row are written, and they are switched together.
         """
-        columns = self.schema(name).names
-        folder = repairs.prepare(self.spark, self.root, name, repaired.select(*columns, "_changed"), _TABLES[name][1])
+        gone = F.col("_deleted") if "_deleted" in repaired.columns else F.lit(False)
+        marked = repaired.select(*self.schema(name).names, "_changed", gone.alias("_deleted"))
+        folder = repairs.prepare(self.spark, self.root, name, marked, _TABLES[name][1])
         repairs.finish(self.spark, self.root)
         return folder is not None
 
