@@ -144,13 +144,23 @@ def links(nodes: DataFrame) -> DataFrame:
     return first.unionByName(led(again)).where("a <> b").select("a", "b").distinct()
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id, with its own columns."""
+def one_of_each(docs: DataFrame, words: int = WORDS, also: DataFrame | None = None) -> DataFrame:
+    """Of each group of similar documents the one with the smallest id, with its own columns; with ``also`` (``doc_id``, those
+    that another search keeps) only if that keeps it too, or if it has no id.
+
+    The smallest id of all that the two searches connect is kept by both, so each such group keeps one. Documents are moved
+    once, to meet what stays.
+    """
     prints = staged(fingerprints(docs, words), "min-wise")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
     nodes = staged(prints.groupBy("print").agg(smallest.alias("least")).withColumn("node", F.xxhash64("print")).select("node", "print", "least"), "min-wise-nodes")
     rooted = components(links(nodes.select("node", "print")))
     of = nodes.select("node", "least").join(rooted, "node", "left").select(F.coalesce("root", "node").alias("root"), "least")
+    stay = of.groupBy("root").agg(F.min("least").alias("least")).select("least.row")
+    if also is not None:
+        known = prints.select("row", "doc_id")
+        allowed = known.join(also.select("doc_id"), "doc_id", "left_semi").select("row").union(known.where("doc_id IS NULL").select("row"))
+        stay = stay.join(allowed, "row", "left_semi")
     row = unused(docs, "row")
-    stay = of.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias(row))
+    stay = stay.select(F.col("row").alias(row))
     return docs.withColumn(row, _row_key()).join(stay, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
