@@ -20,8 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Close copies by fingerprints of 64 bits, then, among what stays, documents that share four fifths of their shingles."""
-    return minwise.one_of_each(staged(simhash.one_of_each(docs, minwise.WORDS), "close-copies"))
+    """What both searches keep: close copies by fingerprints of 64 bits, and documents that share four fifths of their shingles."""
+    close = simhash.near_duplicates(docs, minwise.WORDS).where("doc_id = component_id").select("doc_id")
+    return minwise.one_of_each(docs, also=close)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
