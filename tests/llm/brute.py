@@ -26,9 +26,9 @@ def base_counts(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit)
 
 
-def fingerprint(text):
+def fingerprint(text, words=3):
     w = WORD.findall((text or "").translate(LOWER))
-    grams = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []
+    grams = [" ".join(w[i : i + words]) for i in range(len(w) - words + 1)] if len(w) >= words else [" ".join(w)] if w else []
     ones = [0] * 64
     for g in grams:
         h = xxhash.xxh64_intdigest(g.encode(), seed=42)
@@ -37,7 +37,28 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * ones[b] > len(grams))
 
 
-def reach(prints):
+def jaccard(a, b):
+    """Share of five-word shingles that two texts have in common."""
+    def grams(text):
+        w = WORD.findall((text or "").translate(LOWER))
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    x, y = grams(a), grams(b)
+    return len(x & y) / len(x | y)
+
+
+def slots(text):
+    """The min-wise fingerprint of a text's five-word shingles."""
+    import numpy as np
+
+    from tidewatch.llm import minwise
+
+    w = WORD.findall((text or "").translate(LOWER))
+    grams = [" ".join(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [" ".join(w)] if w else []
+    return np.frombuffer(minwise.fingerprint(np.array([xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams], np.uint64)), np.uint8)
+
+
+def reach(prints, like=lambda a, b: (a ^ b).bit_count() <= 3):
     """Smallest reachable id of {id: fingerprint}."""
     ids = sorted(prints)
     up = {i: i for i in ids}
@@ -49,7 +70,7 @@ def reach(prints):
 
     for k, i in enumerate(ids):
         for j in ids[k + 1 :]:
-            if (prints[i] ^ prints[j]).bit_count() <= 3:
+            if like(prints[i], prints[j]):
                 a, b = sorted((root(i), root(j)))
                 up[b] = a
     return {i: root(i) for i in ids}

@@ -78,12 +78,16 @@ def test_repeats_removed(spark, docs):
 
 
 def test_pipeline_against_its_stages_by_hand(spark, docs):
+    """The wider near-duplicate search is held against all pairs of its own fingerprints, which estimate a similarity."""
     import corpus_pipeline
+    from tidewatch.llm import minwise
 
     kept = {r["doc_id"] for r in QUERIES["op1_quality_rules"](spark, SF_DIR).collect() if r["kept"]}
     left = {d: t for d, t in docs if d in kept}
-    roots = brute.reach({d: brute.fingerprint(t) for d, t in left.items()})
-    left = {d: t for d, t in left.items() if roots[d] == d}
+    close = brute.reach({d: brute.fingerprint(t, 5) for d, t in left.items()})
+    slots = {d: brute.slots(t) for d, t in left.items()}
+    alike = brute.reach(slots, lambda a, b: int((a == b).sum()) >= minwise.LEAST_EQUAL)
+    left = {d: t for d, t in left.items() if close[d] == d == alike[d]}
     items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
     clean = {r[0] for r in brute.contamination(left.items(), items) if not r[5]}
     new = {r["doc_id"]: r["text"] for r in QUERIES["op6_pii"](spark, SF_DIR).collect()}

@@ -295,15 +295,6 @@ def test_archives_hold_a_member_a_record_and_true_offsets(spark):
             assert member.eof and not member.unused_data and text.count(b"WARC/1.1\r\n") == 1 and text.startswith(b"WARC/1.1\r\n")
 
 
-def jaccard(a, b):
-    def grams(text):
-        w = brute.WORD.findall((text or "").translate(brute.LOWER))
-        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
-
-    x, y = grams(a), grams(b)
-    return len(x & y) / len(x | y)
-
-
 @pytest.mark.parametrize("part", [4096, 7])
 def test_wider_search_finds_documents_of_like_shingles(spark, monkeypatch, part):
     """Copies with some words changed; few that share less are joined. Also where a band's group has several parts."""
@@ -324,7 +315,7 @@ def test_wider_search_finds_documents_of_like_shingles(spark, monkeypatch, part)
             texts.append(" ".join(copy))
         texts.append(" ".join(w if i < 150 else f"o{i}" for i, w in enumerate(words)))
     for i, a in enumerate(texts):
-        want += [(i, j) for j in range(i + 1, len(texts)) if jaccard(a, texts[j]) >= 0.8]
+        want += [(i, j) for j in range(i + 1, len(texts)) if brute.jaccard(a, texts[j]) >= 0.8]
     assert len(want) > 50
     frame = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, row string, band int")
     kept = {r["doc_id"] for r in minwise.one_of_each(frame).collect()}
