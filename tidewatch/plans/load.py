@@ -213,7 +213,9 @@ def _of(tables: EventTables, exports: DataFrame) -> DataFrame:
 
 def recover_stale(tables: EventTables, as_of: Moment, source: str = fv.SOURCE) -> None:
     """Release exports that a broken-off load left in processing."""
-    tables.append("export_checkpoints", lg.stale_reset(lg.current(tables.read("export_checkpoints")), as_of, source))
+    stale = lg.stale_reset(lg.current(tables.read("export_checkpoints")), as_of, source)
+    if not stale.isEmpty():
+        tables.append("export_checkpoints", stale)
 
 
 def pending_exports(tables: EventTables, listing: DataFrame) -> DataFrame:
