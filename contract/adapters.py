@@ -91,10 +91,17 @@ _SPARK_DIALECT = {"text": "STRING", "day": "date_format(ts, 'yyyyMMdd')", "secon
 _DUCKDB_DIALECT = {"text": "VARCHAR", "day": "strftime(ts, '%Y%m%d')", "second": "strftime(ts, '%Y%m%d%H%M%S')"}
 
 
+#: Rows of one task: a scan's splits say little, since one row group may hold a whole table.
+TASK_ROWS = 50_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the scan has fewer splits than cores; a large input has more and is left alone."""
+    """Rows over all cores, and over more tasks as there are more rows, so that no task grows with the input. The count comes
+    from the files' footers. The columns come out of a one-element ``inline``, so that a later filter, with all that it
+    computes, is not moved below the exchange into the one task that reads a row group."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "event_id")
+    spread_out = df.repartition(max(cores, -(-df.count() // TASK_ROWS)), "event_id")
+    return spread_out.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def raw_like(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +135,7 @@ _STATUS = "CASE event_id % 5 WHEN 0 THEN 'pending' WHEN 1 THEN 'failed' WHEN 2 T
 
 def checkpoint_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ledger with many rows per hour-sized export, as left by writers without key checks."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     hour = F.date_trunc("hour", "ts")
     return e.select(
         F.col("event_id").alias("id"),
