@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contract import adapters
+from tidewatch.operators import ledger
+
+AS_OF = "2026-03-27 00:00:00"
 
 
 def test_a_task_takes_no_more_rows_of_a_larger_table(spark, tmp_path, monkeypatch):
@@ -17,3 +20,14 @@ def test_a_task_takes_no_more_rows_of_a_larger_table(spark, tmp_path, monkeypatc
         assert held < 200 and table.count() == rows
     plan = table.filter(F.sha2(F.col("event_id").cast("string"), 256) > "8")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("sha2") < plan.index("Repartition")  # a costly filter stays above the exchange
+
+
+def test_exports_meet_the_ledger_as_keys(spark):
+    rows = spark.range(1_000).selectExpr("'s' source", "timestamp'2026-03-01' + make_dt_interval(0, int(id % 10)) export_time_utc", "concat('u', id) export_url", "concat('f', id) export_filename")
+    stored = rows.filter("hour(export_time_utc) < 4")
+    fresh = ledger.new_checkpoints(stored, rows, AS_OF)
+    assert sorted(r.export_time_utc.hour for r in fresh.collect()) == [4, 5, 6, 7, 8, 9]
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" in plan
+    unnamed = rows.limit(3).withColumn("export_time_utc", F.lit(None).cast("timestamp"))
+    assert ledger.new_checkpoints(unnamed, unnamed, AS_OF).count() == 1  # a null equals no stored key

@@ -62,8 +62,17 @@ def misnamed(ledger: DataFrame, listing: DataFrame, as_of: Moment) -> DataFrame:
 def new_checkpoints(
     ledger: DataFrame, exports: DataFrame, as_of: Moment, status: str = "pending"
 ) -> DataFrame:
-    """First ledger rows of exports that have none (``source``, ``export_time_utc``, ``export_url``, ``export_filename``)."""
-    fresh = exports.join(ledger.select(*CHECKPOINT_KEY), CHECKPOINT_KEY, "left_anti").dropDuplicates(CHECKPOINT_KEY)
+    """First ledger rows of exports that have none (``source``, ``export_time_utc``, ``export_url``, ``export_filename``).
+
+    One aggregation decides, each task first by itself: what is shuffled is a row a key and task, however often a key is
+    offered or stored. Rows without a key equal none in the ledger.
+    """
+    offered = F.struct(*exports.columns)
+    keyed = ledger.select(*CHECKPOINT_KEY).dropna()
+    known = keyed.select(*CHECKPOINT_KEY, F.lit(None).cast(exports.schema).alias("_offered"), F.lit(True).alias("_known"))
+    both = exports.select(*CHECKPOINT_KEY, offered.alias("_offered"), F.lit(False).alias("_known")).unionByName(known)
+    found = both.groupBy(*CHECKPOINT_KEY).agg(F.first("_offered", ignorenulls=True).alias("_offered"), F.bool_or("_known").alias("_known"))
+    fresh = found.filter(~F.col("_known")).select("_offered.*")
     defaults = {
         "source": F.lit(fv.SOURCE),
         "status": F.lit(status),
