@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contract import adapters
+from tests.helpers import line, write_export
 from tidewatch.operators import ledger
+from tidewatch.plans.load import load_landing
+from tidewatch.sources import exports
+from tidewatch.sources.tables import DAILY, EventTables
 
+A, B, C, D = "20260326001500", "20260326003000", "20260326004500", "20260327000000"
 AS_OF = "2026-03-27 00:00:00"
 
 
@@ -31,3 +36,58 @@ def test_exports_meet_the_ledger_as_keys(spark):
     assert "Join" not in plan and "Aggregate" in plan
     unnamed = rows.limit(3).withColumn("export_time_utc", F.lit(None).cast("timestamp"))
     assert ledger.new_checkpoints(unnamed, unnamed, AS_OF).count() == 1  # a null equals no stored key
+
+
+def test_few_rows_an_export_share_the_files_of_a_day(spark, tmp_path):
+    tables = EventTables(spark, str(tmp_path / "t"))
+    for i, stamp in enumerate((A, B, C, D)):
+        write_export(tmp_path / "z", stamp, [line(GLOBALEVENTID=str(i), Actor1Name="", Actor2Name=""), "bad"])
+    load_landing(spark, tables, str(tmp_path / "z"), AS_OF)
+    for name in DAILY:
+        stored = tables.read(name)
+        assert len(stored.inputFiles()) == 2 and stored.select("export_key").distinct().count() == 4, name
+
+
+def test_an_export_published_again_replaces_its_rows_among_others_of_its_day(spark, tmp_path):
+    tables = EventTables(spark, str(tmp_path / "t"))
+    def some(n, *stamps):
+        made = spark.createDataFrame([(stamp,) for stamp in stamps for _ in range(n)], "stamp string")
+        time = F.to_timestamp("stamp", "yyyyMMddHHmmss")
+        return made.select(F.lit("s").alias("source"), time.alias("export_time_utc"), F.lit("r").alias("reason"), F.lit(float(n)).alias("value"),
+                           F.lit(0.0).alias("threshold"), F.lit(None).cast("timestamp").alias("run_timestamp"))
+
+    def stored():
+        return sorted((r.export_key[2:], r.value) for r in tables.read("quality_warnings").collect())
+
+    tables.publish("quality_warnings", some(1, A, B, D))
+    tables.publish("quality_warnings", some(2, B))
+    assert stored() == [(A, 1.0), (B, 2.0), (B, 2.0), (D, 1.0)]
+    tables.withdraw("quality_warnings", [(f"s-{B}", "2026-03-26"), (f"s-{C}", "2026-03-28")])
+    assert stored() == [(A, 1.0), (D, 1.0)]
+
+
+def test_tables_with_a_partition_an_export_come_along(spark, tmp_path):
+    tables = EventTables(spark, str(tmp_path / "t"))
+    schema = tables.schema("quality_warnings")
+    old = spark.createDataFrame([(None, "old", 1.0, 0.0, None, f"s-{stamp}") for stamp in (A, B)], schema).withColumn("export_date", F.lit("2026-03-26").cast("date"))
+    old.write.partitionBy("export_date", "export_key").parquet(tables.path("quality_warnings"))
+    assert tables.read("quality_warnings").count() == 2
+    new = old.filter(F.col("export_key").endswith(B)).withColumns({"reason": F.lit("new"), "source": F.lit("s"), "export_time_utc": F.to_timestamp(F.lit(B), "yyyyMMddHHmmss")})
+    tables.publish("quality_warnings", new.drop("export_date", "export_key"))
+    assert sorted((r.export_key[2:], r.reason) for r in tables.read("quality_warnings").collect()) == [(A, "old"), (B, "new")]
+
+
+def test_a_load_lists_the_landing_folder_once(spark, tmp_path, monkeypatch):
+    write_export(tmp_path / "z", A, [line(GLOBALEVENTID="1")])
+    write_export(tmp_path / "z", B, [line(GLOBALEVENTID="2")])
+    seen = []
+    from tidewatch.plans import load
+
+    load_rows = load.load_rows
+    monkeypatch.setattr(load, "load_rows", lambda tables, rows, named, *rest: (seen.append(named), load_rows(tables, rows, named, *rest)))
+    tables = EventTables(spark, str(tmp_path / "t"))
+    assert load_landing(spark, tables, str(tmp_path / "z"), AS_OF, exports_per_load=1) == 2
+    for named in seen:
+        assert "binaryFile" not in named._jdf.queryExecution().executedPlan().toString()
+    listed = exports.list_exports(spark, str(tmp_path / "z")).drop("length").collect()
+    assert sorted(row for named in seen for row in named.collect()) == sorted(listed)

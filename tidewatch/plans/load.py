@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from itertools import groupby
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -259,6 +260,14 @@ def _slices(exports: list[tuple], size: int) -> Iterator[list[tuple]]:
         yield held
 
 
+def _named_exports(spark: SparkSession, part: list[tuple], source: str) -> DataFrame:
+    """The exports of one load from their names, which the driver has: no step of it scans the landing folder again."""
+    micros, urls, filenames, _ = zip(*part, strict=True)
+    named = spark.createDataFrame(pa.table({"micros": micros, "export_url": urls, "export_filename": filenames})).coalesce(1)
+    time = F.timestamp_micros("micros").alias("export_time_utc")
+    return named.select(F.lit(source).alias("source"), time, "export_url", "export_filename")
+
+
 def load_landing(
     spark: SparkSession,
     tables: EventTables,
@@ -291,15 +300,16 @@ def load_landing(
     tried = lg.current(tables.read("export_checkpoints")).select(*lg.CHECKPOINT_KEY, F.col("attempt_count").alias("tries"))
     pending = pending_exports(tables, listing).join(tried, lg.CHECKPOINT_KEY, "left")
     order = [F.coalesce("tries", F.lit(0)), "export_time_utc", "export_url"]
-    names = [tuple(row) for row in pending.orderBy(*order).select("export_time_utc", "export_url", "length").collect()]
+    micros = F.unix_micros("export_time_utc")
+    names = [tuple(row) for row in pending.orderBy(*order).select(micros, "export_url", "export_filename", "length").collect()]
     if not names and not strange:
         _record_run(tables, as_of, run, trigger_mode, "completed", listing.count(), None)
     for number, part in enumerate(_slices(names, exports_per_load), start=1):
-        paths = [(url.removesuffix(suffix), length) for _, url, length in part]
+        paths = [(url.removesuffix(suffix), length) for _, url, _, length in part]
         if plain:
             rows = scan_export_tsv(spark, [path for path, _ in paths], "*").withColumn("path", F.concat("path", F.lit(suffix)))
         else:
             rows = read_zips(spark, paths)
-        exports = listing.drop("length").filter(F.col("export_url").isin([url for _, url, _ in part]))
+        exports = _named_exports(spark, part, source)
         load_rows(tables, rows, exports, as_of, run if number == 1 else f"{run}-{number}", trigger_mode, source)
     return len(names)

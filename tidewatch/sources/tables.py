@@ -1,7 +1,8 @@
 """The stored tables: Parquet folders under one root.
 
 Event tables are partitioned so that (1) readers prune by date, and (2) an export owns its partitions: publishing an
-export again replaces exactly its own rows. Ledgers are logs with a manifest: each append is one more folder, and many are
+export again replaces exactly its own rows. So it is in the tables with a few rows an export (quarantine, audit, warnings,
+histograms), whose files hold a day's exports, since a file for each would cost more than all its rows. Ledgers are logs with a manifest: each append is one more folder, and many are
 made one, so that a ledger has a bounded number of files however many loads it has seen. Repairs are finished when the tables
 are opened.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from tidewatch import schemas
 from tidewatch.operators.ledger import VERSION
 from tidewatch.sources import files, repairs
-from tidewatch.sources.versioned import Version, VersionedTable
+from tidewatch.sources.versioned import Version, VersionedTable, partitions_of
 
 EXPORT_KEY = "export_key"
 _VERSION = T.StructField(VERSION, T.LongType())
@@ -37,6 +38,9 @@ _TABLES: dict[str, tuple[T.StructType, list[str]]] = {
 #: Logs: one partition, rewritten as one folder once it has more than so many.
 LEDGERS = ("ingestion_runs", "export_checkpoints")
 MOST_LEDGER_FOLDERS = 16
+#: A few rows an export: many exports share the files of a day, which a manifest names.
+DAILY = ("dropped_events", "data_quality_audit", "quality_warnings", "load_histograms")
+MOST_DAILY_FOLDERS = 16
 _PARTITION_TYPES = {"export_date": T.DateType(), "event_date": T.DateType(), EXPORT_KEY: T.StringType()}
 
 
@@ -62,8 +66,12 @@ class EventTables:
 
     def read(self, name: str) -> DataFrame:
         """The table with its partition columns; an empty frame before the first write."""
-        if name in LEDGERS and (log := self._ledger(name)).version().number:
-            return log.read()
+        if name in (*LEDGERS, *DAILY):
+            stored = self._ledger(name) if name in LEDGERS else self._daily(name)
+            if (version := stored.version()).number:
+                return stored.read(at=version)
+        if name in DAILY:
+            return self._per_export(name)
         try:
             return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
         except AnalysisException as error:
@@ -71,6 +79,13 @@ class EventTables:
                 raise
             return self.spark.createDataFrame([], self.schema(name))
 
+    def _per_export(self, name: str) -> DataFrame:
+        """A daily table without a manifest: partitions by date and export, as older versions of this library wrote it."""
+        days = [f"{self.path(name)}/{n}" for n in files.children(self.spark, self.path(name)) if n.startswith("export_date=")]
+        if not days:
+            return self.spark.createDataFrame([], self.schema(name))
+        return self.spark.read.schema(self.schema(name)).option("basePath", self.path(name)).parquet(*days)
+
     def keys(self):
         """The stored event keys; made from the raw events where these are older than their key table."""
         from tidewatch.sources.keys import EventKeys
@@ -99,6 +114,9 @@ class EventTables:
     def _ledger(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, self.path(name), self.schema(name), F.lit("log"))
 
+    def _daily(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(name), self.schema(name), F.col("export_date").cast("string"))
+
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows to a ledger, a few per export or run, as one file. Rows of a ledger without a manifest, as older
         versions of this library wrote it, come along with the first."""
@@ -122,6 +140,12 @@ class EventTables:
         """
         gone = F.col("_deleted") if "_deleted" in repaired.columns else F.lit(False)
         marked = repaired.select(*self.schema(name).names, "_changed", gone.alias("_deleted"))
+        if name in DAILY and (before := (daily := self._daily(name)).version()).number:
+            touched = partitions_of(marked.filter("_changed OR _deleted"), daily.partition)
+            if touched:
+                same_day = reduce(or_, [daily.partition.eqNullSafe(F.lit(day)) for day in touched])
+                daily.replace(marked.filter(same_day & F.expr("NOT _deleted")), touched, before=before)
+            return bool(touched)
         folder = repairs.prepare(self.spark, self.root, name, marked, _TABLES[name][1])
         repairs.finish(self.spark, self.root)
         return folder is not None
@@ -131,6 +155,13 @@ class EventTables:
         time. Tables by export date name them outright; in the others the folders of dates are looked through."""
         if not exports:
             return
+        if name in DAILY and (before := (daily := self._daily(name)).version()).number:
+            days = {date for _, date in exports} & before.partitions.keys()
+            stored = daily.read(days, before)
+            own = F.col(EXPORT_KEY).isin([key for key, _ in exports])
+            if days and not stored.filter(own).isEmpty():
+                daily.replace(stored.filter(~own), days, before=before)
+            return
         first = _TABLES[name][1][0]
         by_date = first == "export_date"
         dates = [] if by_date else [n for n in files.children(self.spark, self.path(name)) if n.startswith(f"{first}=")]
@@ -171,10 +202,30 @@ class EventTables:
             "event_date": F.to_date("event_time_utc"),
             EXPORT_KEY: export_key(),
         }
-        keyed = df.withColumns({p: values[p] for p in partitions}).select(*fields.names, *partitions).hint("rebalance", *partitions)
+        keyed = df.withColumns({p: values[p] for p in partitions}).select(*fields.names, *partitions)
+        if name in DAILY:
+            self._publish_daily(name, keyed)
+            return
+        keyed = keyed.hint("rebalance", *partitions)
         if "location_key" in fields.names:  # near places side by side, so that row groups have small boxes
             keyed = keyed.sortWithinPartitions(*partitions, "location_key")
         (
             keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions).parquet(self.path(name))
         )
+
+    def _publish_daily(self, name: str, rows: DataFrame) -> None:
+        """Add the rows of whole exports to the files of their days, in place of what those exports had. Rows of a table
+        without a manifest, as older versions of this library wrote it, come along with the first."""
+        daily = self._daily(name)
+        before = daily.version()
+        if not before.number:
+            older = self._per_export(name)
+            if older.inputFiles():
+                rows = rows.unionByName(older.join(rows.select(EXPORT_KEY).distinct(), EXPORT_KEY, "left_anti"))
+            daily.append(rows, before=before)
+            return
+        after = daily.append(rows, before=before, replaces=EXPORT_KEY)
+        if any(len(folders) > MOST_DAILY_FOLDERS for folders in after.partitions.values()):
+            daily.compact(MOST_DAILY_FOLDERS)
+            daily.sweep()

@@ -84,11 +84,25 @@ class VersionedTable:
         files.write_once(self.spark, f"{self.root}/manifests/{after.number:020d}.json", body)
         return after
 
-    def append(self, rows: DataFrame, notes: dict | None = None, before: Version | None = None) -> Version:
-        """Add rows: touched partitions get one more folder."""
+    def append(
+        self, rows: DataFrame, notes: dict | None = None, before: Version | None = None, replaces: str | None = None
+    ) -> Version:
+        """Add rows: touched partitions get one more folder. With ``replaces``, a column, stored rows of those partitions
+        that have one of its new values go with the same switch."""
         before = before or self.version()
         partitions = {text: list(folders) for text, folders in before.partitions.items()}
-        for text, folder in self._write(rows).items():
+        written = self._write(rows)
+        known = [text for text in written if replaces and text in partitions]
+        if known:
+            texts = [None if text == _NONE else text for text in known]
+            new = self.read(texts, Version(partitions={text: [folder] for text, folder in written.items()}))
+            stored = self.read(texts, before)
+            old = stored.join(new.select(replaces).distinct(), replaces, "left_semi")
+            if not old.isEmpty():
+                kept = stored.join(new.select(replaces).distinct(), replaces, "left_anti")
+                rewritten = self._write(kept)
+                partitions |= {text: [rewritten[text]] if text in rewritten else [] for text in known}
+        for text, folder in written.items():
             partitions.setdefault(text, []).append(folder)
         return self._switch(before, partitions, notes)
 
