@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from contract import adapters
 from tests.helpers import line, write_export
-from tidewatch.operators import ledger
+from tidewatch.operators import dedupe, ledger
 from tidewatch.plans.load import load_landing
 from tidewatch.sources import exports
 from tidewatch.sources.tables import DAILY, EventTables
 
 A, B, C, D = "20260326001500", "20260326003000", "20260326004500", "20260327000000"
 AS_OF = "2026-03-27 00:00:00"
+dedupe_limit = dedupe.BROADCAST_KEY_LIMIT
 
 
 def test_a_task_takes_no_more_rows_of_a_larger_table(spark, tmp_path, monkeypatch):
@@ -27,6 +28,16 @@ def test_a_task_takes_no_more_rows_of_a_larger_table(spark, tmp_path, monkeypatc
     assert plan.index("sha2") < plan.index("Repartition")  # a costly filter stays above the exchange
 
 
+def test_many_keys_in_question_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "BROADCAST_KEY_LIMIT", 10)
+    batch = spark.range(100).selectExpr("'s' source", "concat('k', id % 40) dedupe_key", "id export_time_utc", "id row_number")
+    taken = spark.range(15).selectExpr("'s' source", "concat('k', id) dedupe_key")
+    first = dedupe.first_of_new(batch, taken)
+    assert sorted(r.row_number for r in first.collect()) == list(range(15, 40))
+    assert "ResolvedHint (strategy=broadcast)" not in first._jdf.queryExecution().optimizedPlan().toString()
+    assert dedupe_limit <= 250_000
+
+
 def test_exports_meet_the_ledger_as_keys(spark):
     rows = spark.range(1_000).selectExpr("'s' source", "timestamp'2026-03-01' + make_dt_interval(0, int(id % 10)) export_time_utc", "concat('u', id) export_url", "concat('f', id) export_filename")
     stored = rows.filter("hour(export_time_utc) < 4")

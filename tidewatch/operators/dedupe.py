@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 EVENT_KEY = ["source", "dedupe_key"]
 ARRIVAL = ["export_time_utc", "row_number"]
 
-#: Most keys a task may hold as a broadcast hash table: about 100 bytes each, so at most some 200 MB.
-BROADCAST_KEY_LIMIT = 2_000_000
+#: Most keys a task may hold as a broadcast hash table: some 300 bytes each with the table's own pages, which grow by
+#: doubling, so at most some 150 MB; more keys meet their rows by a shuffle.
+BROADCAST_KEY_LIMIT = 250_000
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
