@@ -102,3 +102,11 @@ def test_a_load_lists_the_landing_folder_once(spark, tmp_path, monkeypatch):
         assert "binaryFile" not in named._jdf.queryExecution().executedPlan().toString()
     listed = exports.list_exports(spark, str(tmp_path / "z")).drop("length").collect()
     assert sorted(row for named in seen for row in named.collect()) == sorted(listed)
+
+
+def test_a_small_batch_of_files_is_read_by_all_cores(spark, tmp_path):
+    for i in range(8):
+        write_export(tmp_path / "z", f"202603260{i}0000", [line(GLOBALEVENTID=str(i))])
+    rows = exports.scan_export_zip(spark, str(tmp_path / "z"))
+    held = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(held) == min(8, spark.sparkContext.defaultParallelism) and sum(r["count"] for r in held) == 8
