@@ -9,6 +9,8 @@ from tidewatch.session import shared_folder
 
 #: The six ASCII white-space characters that end a word.
 SPACE_CLASS = " \\t-\\r"
+#: Spark's setting: remove a query's shuffle files when it ends.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,11 +35,21 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+def staged(df: DataFrame, purpose: str, folder: str | None = None, release: bool = False) -> DataFrame:
+    """``df`` written once to the shared folder (``folder``, if given) and read back: cuts lineage, survives lost executors.
+
+    With ``release`` the shuffle files of the write go when it ends, not when the driver next collects its garbage: nothing
+    reads them again.
+    """
+    spark = df.sparkSession
+    folder = folder or shared_folder(spark, purpose)
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, str(release or before == "true").lower())
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def text_bytes(df: DataFrame, column: str = "text") -> int:

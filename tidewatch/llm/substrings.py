@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import groups_for, shuffle_partitions, staged, text_bytes
+from tidewatch.session import remove_shared_folder, shared_folder
 
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
@@ -322,14 +323,17 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text`` (null unless asked for) of every document.
 
     Texts, compressed, are moved once to meet what their unit was told; those without a window to compare are done then,
-    and only the others are staged and moved again.
+    and only the others are staged and moved again. Before that the first pass gives back its disk: the units and all that
+    was shuffled.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = groups_for(text_bytes(rows), BUCKET_BYTES, shuffle_partitions(docs.sparkSession))
 
-    units = staged(rows.mapInArrow(_in_units, UNITS), "units")
+    folder = shared_folder(docs.sparkSession, "units")
+    units = staged(rows.mapInArrow(_in_units, UNITS), "units", folder)
     anchors = units.mapInArrow(_send_anchors(buckets), SENT).groupBy("bucket").applyInArrow(_answer_anchors, TOLD)
-    first = staged(units.groupBy("unit").cogroup(anchors.groupBy("unit")).applyInArrow(_mark(with_text), FIRST), "first-pass")
+    first = staged(units.groupBy("unit").cogroup(anchors.groupBy("unit")).applyInArrow(_mark(with_text), FIRST), "first-pass", release=True)
+    remove_shared_folder(docs.sparkSession, folder)
     waiting = first.where("marks IS NOT NULL").select("unit", "doc_id", "data", "marks")
     windows = waiting.mapInArrow(_send_windows(buckets), SENT).groupBy("bucket").applyInArrow(_answer_windows, TOLD)
     changed = waiting.groupBy("unit").cogroup(windows.groupBy("unit")).applyInArrow(_remove(with_text), RESULT)
