@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +23,42 @@ def tables(spark, tmp_path):
     return tables
 
 
+def _tasks(spark, action) -> int:
+    """Tasks of the jobs that ``action`` starts."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    stages = [s for job in status.getJobIdsForGroup(group) for s in status.getJobInfo(job).stageIds]
+    return sum(info.numTasks for info in map(status.getStageInfo, stages) if info)
+
+
+def test_folders_are_listed_by_a_few_tasks(spark, tables):
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", "3")
+    try:
+        key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        before = spark.conf.get(key)
+        wide = spark.read.schema(tables.schema("normalized_events"))
+        folders = [f"{tables.path('normalized_events')}/{d}/{e}" for d in files.children(spark, tables.path("normalized_events")) if "=" in d
+                   for e in files.children(spark, f"{tables.path('normalized_events')}/{d}")]
+        assert len(folders) == 60 and _tasks(spark, lambda: wide.option("basePath", tables.path("normalized_events")).parquet(*folders)) == 60
+        assert _tasks(spark, lambda: tables._folders("normalized_events", folders)) == 2 * spark.sparkContext.defaultParallelism
+        assert spark.conf.get(key) == before
+        assert tables.read("normalized_events").count() == 60
+    finally:
+        spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.threshold")
+
+
+def test_the_newest_events_leave_older_dates_unlisted(spark, tables):
+    index = tables.newest_events(15)
+    assert len(index.inputFiles()) == 24 and {r.event_date.day for r in index.collect()} == {4, 5}
+    roots = index._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths()
+    assert roots.size() == 2
+
+
 def test_many_folders_are_moved_by_few_calls_and_a_repeat_goes_on(spark, tables, monkeypatch):
     rows = tables.read("normalized_events")
     marked = rows.withColumns({"country_code": F.lit("NO"), "_changed": F.lit(True), "_deleted": F.col("export_key").isin("x1", "x59")})

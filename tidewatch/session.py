@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +39,21 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SETTING = threading.Lock()
+
+
+@contextmanager
+def with_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the calls inside only, of one thread at a time."""
+    with _SETTING:
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name, with scheme and authority, under the cluster's shared ``spark.checkpoint.dir``.
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidewatch import schemas
 from tidewatch.operators.ledger import VERSION
+from tidewatch.session import with_setting
 from tidewatch.sources import files, repairs
 from tidewatch.sources.versioned import Version, VersionedTable, partitions_of
 
@@ -35,12 +36,18 @@ _TABLES: dict[str, tuple[T.StructType, list[str]]] = {
     "ingestion_runs": (T.StructType([*schemas.INGESTION_RUNS.fields, _VERSION]), []),
     "export_checkpoints": (T.StructType([*schemas.EXPORT_CHECKPOINTS.fields, _VERSION]), []),
 }
+#: Spark's folder name for a null.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 #: Logs: one partition, rewritten as one folder once it has more than so many.
 LEDGERS = ("ingestion_runs", "export_checkpoints")
 MOST_LEDGER_FOLDERS = 16
 #: A few rows an export: many exports share the files of a day, which a manifest names.
 DAILY = ("dropped_events", "data_quality_audit", "quality_warnings", "load_histograms")
 MOST_DAILY_FOLDERS = 16
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+#: Tasks move their files when they end, not the driver one by one: into the staging folder of a dynamic overwrite, which
+#: the driver switches at the end as before.
+_TASKS_MOVE = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 _PARTITION_TYPES = {"export_date": T.DateType(), "event_date": T.DateType(), EXPORT_KEY: T.StringType()}
 
 
@@ -73,18 +80,25 @@ class EventTables:
         if name in DAILY:
             return self._per_export(name)
         try:
-            return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
+            return self._folders(name, [self.path(name)])
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], self.schema(name))
 
+    def _folders(self, name: str, folders: list[str]) -> DataFrame:
+        """The rows under folders of a table. Spark lists many folders by a job with a task for each; here a few tasks a core
+        share them, since listing one takes much less time than starting a task."""
+        tasks = 2 * self.spark.sparkContext.defaultParallelism
+        with with_setting(self.spark, _LISTING_TASKS, str(tasks)):
+            return self.spark.read.schema(self.schema(name)).option("basePath", self.path(name)).parquet(*folders)
+
     def _per_export(self, name: str) -> DataFrame:
         """A daily table without a manifest: partitions by date and export, as older versions of this library wrote it."""
         days = [f"{self.path(name)}/{n}" for n in files.children(self.spark, self.path(name)) if n.startswith("export_date=")]
         if not days:
             return self.spark.createDataFrame([], self.schema(name))
-        return self.spark.read.schema(self.schema(name)).option("basePath", self.path(name)).parquet(*days)
+        return self._folders(name, days)
 
     def keys(self):
         """The stored event keys; made from the raw events where these are older than their key table."""
@@ -179,16 +193,16 @@ class EventTables:
     def newest_events(self, rows: int) -> DataFrame:
         """The newest date partitions of the query table that together hold ``rows`` rows: all that a top-k by time needs.
 
-        Dates are read one after another, for their counts alone, until there are enough; rows of unknown time come last.
+        Dates are listed and read one after another, for their counts alone, until there are enough; older ones are not even
+        listed. Rows of unknown time come last.
         """
-        events, wanted, held = self.read("normalized_events"), [], 0
-        for date in self.newest_dates():
-            part = F.col("event_date").isNull() if date is None else F.col("event_date") == F.lit(date).cast("date")
-            wanted.append(part)
-            held += events.filter(part).limit(rows - held).count()
+        name, wanted, held = "normalized_events", [], 0
+        for date in self.newest_dates(name):
+            wanted.append(f"{self.path(name)}/{_TABLES[name][1][0]}={NO_VALUE if date is None else date}")
+            held += self._folders(name, wanted[-1:]).limit(rows - held).count()
             if held >= rows:
                 break
-        return events.filter(reduce(or_, wanted)) if wanted else events
+        return self._folders(name, wanted) if wanted else self.read(name)
 
     def publish(self, name: str, df: DataFrame) -> None:
         """Write whole exports: each replaces the partitions it owns and no others.
@@ -210,7 +224,7 @@ class EventTables:
         if "location_key" in fields.names:  # near places side by side, so that row groups have small boxes
             keyed = keyed.sortWithinPartitions(*partitions, "location_key")
         (
-            keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**_TASKS_MOVE)
             .partitionBy(*partitions).parquet(self.path(name))
         )
 
