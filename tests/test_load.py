@@ -275,3 +275,12 @@ def test_files_of_one_export_time_share_a_load_and_runs_keep_their_id(spark, tab
     load_landing(spark, tables, str(tmp_path / "z" / "*"), AS_OF, run_id="night", exports_per_load=1)
     assert keys(tables) == keys(tables, "raw_events") == ["1", "2", "3"]
     assert {r.id for r in tables.read("ingestion_runs").collect()} == {"night", "night-2"}
+
+
+def test_export_names_with_and_without_a_query(spark):
+    urls = ["file:/z/20260326001500.export.CSV.zip", "http://h/a/b.zip?x=/1", "http://h/c.zip#/d", "plain", "http://h/folder/", "", None]
+    df = spark.createDataFrame([(u,) for u in urls], "url string").coalesce(1)
+    names = [r[0] for r in df.select(exports.export_filename("url")).collect()]
+    assert names == ["20260326001500.export.CSV.zip", "b.zip", "c.zip", "plain", "", "", None]
+    path = exports.export_filename("url")
+    assert "split(" not in df.select(path)._jdf.queryExecution().analyzed().toString()

@@ -85,8 +85,9 @@ def malformed(rows: DataFrame) -> DataFrame:
 
 def export_filename(url: ColumnOrName) -> Column:
     """Last part of a URL or path, query and fragment removed."""
-    path = F.regexp_replace(col(url), r"[?#].*$", "")
-    return F.element_at(F.split(path, "/"), -1)
+    url = col(url)
+    marked = url.contains("?") | url.contains("#")  # most have neither, and need no pattern
+    return F.substring_index(F.when(marked, F.regexp_replace(url, r"[?#].*$", "")).otherwise(url), "/", -1)
 
 
 def export_time(url: ColumnOrName) -> Column:
