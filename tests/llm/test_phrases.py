@@ -119,6 +119,52 @@ def test_prefixes_beyond_their_share(docs, monkeypatch):
     assert got(phrases.collocations(docs, 3, 30)) == plain(some_rows(), 3, 30)
 
 
+def _peak(step) -> float:
+    """MB at most that a step's Python objects and arrays take, beside its input."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        for _ in step:
+            pass
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_steps(monkeypatch):
+    """Blocks of 300,000 words, nearly all pairs and suffixes distinct: a step takes a few arrays of their size."""
+    monkeypatch.setattr(phrases, "COMBINED_PAIRS", 1_000_000)
+    draw = np.random.default_rng(3)
+    words = [f"word{i}".encode() for i in range(3000)]
+    blocks = [phrases._batch(phrases.BLOCKS, **{k: [v] for k, v in zip(phrases.BLOCKS, phrases.block("en", [words[i] for i in draw.integers(0, 3000, 300_000)], 300_000), strict=True)}) for _ in range(4)]
+    every, none = phrases.Bitmap(b"\xff" * (phrases.BITS // 8)), phrases.Bitmap(b"\0" * (phrases.BITS // 8))
+    assert _peak(phrases._count_pairs(every)(iter(blocks))) < 40
+    for extended in (none, every):
+        assert _peak(phrases._send_suffixes(every, every, extended, 50)(iter(blocks[:1]))) < 60
+
+
+def test_batches_of_blocks(docs, spark, tmp_path, monkeypatch):
+    """Tasks get about a block at a time, in all steps; the session keeps its own setting."""
+    key, value = phrases.BATCH_BYTES
+    large = spark.range(0, 8, 1, 1).selectExpr("cast(repeat('x', 1500000) as binary) AS numbers")
+    large.write.parquet(f"{tmp_path}/blocks")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.record_batch({"n": pa.array([batch.num_rows])})
+
+    with phrases.with_setting(spark, key, value):
+        assert [r["n"] for r in spark.read.parquet(f"{tmp_path}/blocks").mapInArrow(sizes, "n long").collect()] == [1] * 8
+    seen, write = [], phrases.staged
+    monkeypatch.setattr(phrases, "staged", lambda *given, **more: seen.append(spark.conf.get(key)) or write(*given, **more))
+    phrases.collocations(docs, 8, 30)
+    assert seen == [value] * 4
+    assert spark.conf.get(key) != value
+
+
 def test_products_beyond_64_bits(spark):
     counts = [("en", "a b", 2, 3 * 10**12), ("en", "a", 1, 4 * 10**12), ("en", "b", 1, 7 * 10**12)]
     made = phrases.scored(

@@ -14,6 +14,9 @@ are read once, into blocks of numbered words that are written to the shared fold
 
 Scores are decimal integers; products have up to 38 digits. All joins are on a phrase that one side has once.
 
+Memory of a task: Arrow batches between Spark and Python hold about a megabyte, so a block at a time; pairs are combined in one
+array that is sorted in place; suffixes become text for a few groups of a block at a time.
+
 Defined results: a null text has no word; a null language is ``und``; repeated rows count each time; ties are ordered by
 count, then phrase; an empty table gives no row; columns beside those named are ignored. A very long text is cut into several
 blocks, each of which ends with the first words of the next.
@@ -29,6 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import groups_for, shuffle_partitions, staged
+from tidewatch.session import with_setting
 
 #: Words in a phrase, at most; characters that end a piece, and those that only part words.
 DEPTH = 5
@@ -38,6 +42,9 @@ BITS = 1 << 26
 CHUNK_BITS = 1 << 14
 #: Bytes of text in a block; pairs that a task combines before sending.
 BLOCK_BYTES, COMBINED_PAIRS = 4_000_000, 4_000_000
+#: Spark's setting and value for the bytes of a batch that tasks get (a row more, at most); pairs and, about, suffixes of one they return.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "1000000")
+BATCH_PAIRS, BATCH_SUFFIXES = 1 << 18, 1 << 16
 #: Suffixes of a group, about, and of a prefix before it is extended.
 GROUP_SUFFIXES = 1_000_000
 PREFIX_SUFFIXES = GROUP_SUFFIXES // 4
@@ -95,9 +102,14 @@ class Numbers(dict):
         return number
 
 
-def _words(text: str) -> list[bytes]:
+def _plain(text: str) -> bytes:
+    """The text in lower case, with one kind of end and of blank."""
+    return text.encode("utf-8", "surrogatepass").translate(_TABLE)
+
+
+def _words(plain: bytes) -> list[bytes]:
     """Words and ends of pieces."""
-    return text.encode("utf-8", "surrogatepass").translate(_TABLE).replace(_END, b" . ").split()
+    return plain.replace(_END, b" . ").split()
 
 
 def block(lang: str, words: list[bytes], starts: int) -> tuple:
@@ -114,31 +126,34 @@ def _make_blocks(batches):
     def row(lang: str, words: list[bytes], starts: int) -> pa.RecordBatch:
         return _batch(BLOCKS, **{name: [value] for name, value in zip(BLOCKS, block(lang, words, starts), strict=True)})
 
+    def whole(lang: str, texts: list[bytes]) -> pa.RecordBatch:
+        words = _words(_END.join([*texts, b""]))
+        return row(lang, words, len(words))
+
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
             for lang, text in zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns), strict=True):
-                words, size = held.pop(lang, ([], 0))
-                new = _words(text)
+                texts, size = held.pop(lang, ([], 0))
                 if len(text) > BLOCK_BYTES:  # alone, in several blocks
+                    new = _words(_plain(text))
                     step = max(1, BLOCK_BYTES * len(new) // max(1, len(text)))
                     for first in range(0, len(new), step):
                         part = new[first : first + step + DEPTH - 1]
                         yield row(lang, part, min(step, len(part)))
                 else:
-                    words += new
-                    words.append(_END)
+                    texts.append(_plain(text))
                     size += len(text)
                 if size >= BLOCK_BYTES:
-                    yield row(lang, words, len(words))
-                    words, size = [], 0
-                held[lang] = words, size
+                    yield whole(lang, texts)
+                    texts, size = [], 0
+                held[lang] = texts, size
             if sum(size for _, size in held.values()) > 2 * BLOCK_BYTES:  # many languages in one task
-                for lang, (words, _) in held.items():
-                    yield row(lang, words, len(words))
+                for lang, (texts, _) in held.items():
+                    yield whole(lang, texts)
                 held.clear()
-    for lang, (words, _) in held.items():
-        if words:
-            yield row(lang, words, len(words))
+    for lang, (texts, _) in held.items():
+        if texts:
+            yield whole(lang, texts)
 
 
 class Block:
@@ -203,20 +218,25 @@ def _pairs_of(part: Block, flagged: Bitmap | None = None) -> tuple[np.ndarray, n
 
 def _count_pairs(frequent: Bitmap):
     def run(batches):
-        held, size = [], 0
+        held, size = np.empty(COMBINED_PAIRS, np.uint64), 0
 
         def sent():
-            h, n = np.unique(np.concatenate(held), return_counts=True)
-            for at in range(0, len(h), 1 << 20):
-                yield _batch(PAIRS, h=h[at:at + (1 << 20)].view(np.int64), n=n[at:at + (1 << 20)])
+            some = held[:size]
+            some.sort()
+            for at in range(0, size, BATCH_PAIRS):
+                h, n = np.unique(some[at : at + BATCH_PAIRS], return_counts=True)
+                yield _batch(PAIRS, h=h.view(np.int64), n=n)
 
         for part in _read_blocks(batches, frequent):
             both, pair = _pairs_of(part)
-            held.append(pair[: np.count_nonzero(both[: part.starts])])
-            size += len(held[-1])
-            if size >= COMBINED_PAIRS:
-                yield from sent()
-                held, size = [], 0
+            pair = pair[: np.count_nonzero(both[: part.starts])]
+            while len(pair):
+                new, pair = pair[: COMBINED_PAIRS - size], pair[COMBINED_PAIRS - size :]
+                held[size : size + len(new)] = new
+                size += len(new)
+                if size == COMBINED_PAIRS:
+                    yield from sent()
+                    size = 0
         if size:
             yield from sent()
 
@@ -244,20 +264,26 @@ def _send_suffixes(frequent: Bitmap, flagged: Bitmap, extended: Bitmap, groups:
             key = ranks * (size + 1)
             key[on] += numbers[at[on] + more + 1] + 1
         _, first, n = np.unique(key, return_index=True, return_counts=True)
-        at, length, prefix = at[first], length[first], prefix[first]
-        words = part.words
-        listed = numbers.tolist()
-        texts = [b" ".join([words[w] for w in listed[a : a + d]]) for a, d in zip(at.tolist(), length.tolist(), strict=True)]
-        long = extended.holds(prefix)
-        key = prefix.copy()
-        key[long] = hashes(part.lang, [texts[i] for i in np.flatnonzero(long).tolist()])
+        at, length, key = at[first], length[first], prefix[first]
+        long = extended.holds(key)
+        for more in range(2, DEPTH):
+            on = np.flatnonzero(long & (length > more))
+            key[on] = mixed(key[on], part.h[numbers[at[on] + more]])
         group = (key % np.uint64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         found, starts = np.unique(group[order], return_index=True)
         parts = np.split(order, starts[1:])
-        yield _batch(
-            SUFFIXES, grp=found, lang=[part.lang] * len(found), suffixes=[b"\n".join([texts[i] for i in p.tolist()]) for p in parts],
-            n=[n[p].astype("<i8").tobytes() for p in parts], extended=[long[p].tobytes() for p in parts])
+        words, numbers = part.words, np.r_[numbers, np.zeros(DEPTH, np.int64)]
+
+        def lines(p: np.ndarray) -> bytes:
+            paths = numbers[at[p][:, None] + np.arange(DEPTH)].tolist()
+            return b"\n".join([b" ".join([words[w] for w in path[:d]]) for path, d in zip(paths, length[p].tolist(), strict=True)])
+
+        for some in np.split(np.arange(len(found)), np.flatnonzero(np.diff(starts // BATCH_SUFFIXES)) + 1):
+            own = [parts[i] for i in some.tolist()]
+            yield _batch(
+                SUFFIXES, grp=found[some], lang=[part.lang] * len(own), suffixes=[lines(p) for p in own],
+                n=[n[p].astype("<i8").tobytes() for p in own], extended=[long[p].tobytes() for p in own])
 
     def run(batches):
         for part in _read_blocks(batches, frequent):
@@ -314,27 +340,28 @@ def phrase_counts(docs: DataFrame, least: int = 100) -> tuple[DataFrame, DataFra
     """Phrases (``lang``, ``phrase``, ``depth``, ``a``) of one to five words found ``least`` times or more, and all words of
     each language (``lang``, ``total``). Both are written once."""
     spark = docs.sparkSession
-    rows = docs.where("text IS NOT NULL").select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    blocks = staged(rows.mapInArrow(_make_blocks, _ddl(BLOCKS)), "word-blocks")
-    counted = blocks.mapInArrow(_count_words, _ddl(WORDS)).groupBy("lang", "word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
-    words = staged(counted.where(F.col("word").isNull() | (F.col("n") >= least)), "words")
-    known = words.where("word IS NOT NULL")
-    share = spark.sparkContext.broadcast
-    frequent = share(bitmap(known))
-
-    pairs = blocks.mapInArrow(lambda batches: _count_pairs(Bitmap(frequent.value))(batches), _ddl(PAIRS))
-    pairs = staged(pairs.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "prefixes")
-    suffixes = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    groups = groups_for(suffixes, GROUP_SUFFIXES, shuffle_partitions(spark))
-    flagged, extended = share(bitmap(pairs)), share(bitmap(pairs.where(F.col("n") > PREFIX_SUFFIXES)))
-
-    def send(batches):
-        return _send_suffixes(Bitmap(frequent.value), Bitmap(flagged.value), Bitmap(extended.value), groups)(batches)
-
-    nodes = blocks.mapInArrow(send, _ddl(SUFFIXES)).groupBy("grp").applyInArrow(_subtree(least), _ddl(NODES))
-    phrases = nodes.groupBy("lang", "phrase", "depth").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
-    single = known.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("depth"), F.col("n").alias("a"))
-    return staged(single.unionByName(phrases), "phrases"), words.where("word IS NULL").select("lang", F.col("n").alias("total"))
+    with with_setting(spark, *BATCH_BYTES):
+        rows = docs.where("text IS NOT NULL").select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
+        blocks = staged(rows.mapInArrow(_make_blocks, _ddl(BLOCKS)), "word-blocks")
+        counted = blocks.mapInArrow(_count_words, _ddl(WORDS)).groupBy("lang", "word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
+        words = staged(counted.where(F.col("word").isNull() | (F.col("n") >= least)), "words")
+        known = words.where("word IS NOT NULL")
+        share = spark.sparkContext.broadcast
+        frequent = share(bitmap(known))
+
+        pairs = blocks.mapInArrow(lambda batches: _count_pairs(Bitmap(frequent.value))(batches), _ddl(PAIRS))
+        pairs = staged(pairs.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "prefixes")
+        suffixes = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        groups = groups_for(suffixes, GROUP_SUFFIXES, shuffle_partitions(spark))
+        flagged, extended = share(bitmap(pairs)), share(bitmap(pairs.where(F.col("n") > PREFIX_SUFFIXES)))
+
+        def send(batches):
+            return _send_suffixes(Bitmap(frequent.value), Bitmap(flagged.value), Bitmap(extended.value), groups)(batches)
+
+        nodes = blocks.mapInArrow(send, _ddl(SUFFIXES)).groupBy("grp").applyInArrow(_subtree(least), _ddl(NODES))
+        phrases = nodes.groupBy("lang", "phrase", "depth").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+        single = known.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("depth"), F.col("n").alias("a"))
+        return staged(single.unionByName(phrases), "phrases"), words.where("word IS NULL").select("lang", F.col("n").alias("total"))
 
 
 def scored(counts: DataFrame, totals: DataFrame) -> DataFrame:
