@@ -165,6 +165,23 @@ def test_batches_of_blocks(docs, spark, tmp_path, monkeypatch):
     assert spark.conf.get(key) != value
 
 
+def test_files_of_blocks(docs, spark, monkeypatch):
+    """A page of a file of blocks has one block, not the first hundred: each page adds its header."""
+    import pyarrow.parquet as pq
+
+    given, write = {}, phrases.staged
+    monkeypatch.setattr(phrases, "staged", lambda df, purpose, **more: given.update({purpose: more.get("options")}) or write(df, purpose, **more))
+    phrases.phrase_counts(docs, 8)
+    blocks = spark.range(0, 40, 1, 1).selectExpr("cast(concat(id, repeat('x', 1500000)) as binary) AS numbers")
+
+    def size(options):
+        made = write(blocks, "blocks", options=options)
+        assert made.count() == 40
+        return pq.ParquetFile(made.inputFiles()[0].replace("file://", "")).metadata.row_group(0).column(0).total_uncompressed_size
+
+    assert size(given["word-blocks"]) - size(None) >= 39 * 15
+
+
 def test_products_beyond_64_bits(spark):
     counts = [("en", "a b", 2, 3 * 10**12), ("en", "a", 1, 4 * 10**12), ("en", "b", 1, 7 * 10**12)]
     made = phrases.scored(

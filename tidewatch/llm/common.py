@@ -35,18 +35,18 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def staged(df: DataFrame, purpose: str, folder: str | None = None, release: bool = False) -> DataFrame:
+def staged(df: DataFrame, purpose: str, folder: str | None = None, release: bool = False, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written once to the shared folder (``folder``, if given) and read back: cuts lineage, survives lost executors.
 
     With ``release`` the shuffle files of the write go when it ends, not when the driver next collects its garbage: nothing
-    reads them again.
+    reads them again. ``options`` are the writer's.
     """
     spark = df.sparkSession
     folder = folder or shared_folder(spark, purpose)
     before = spark.conf.get(RELEASE, "false")
     spark.conf.set(RELEASE, str(release or before == "true").lower())
     try:
-        df.write.parquet(folder)
+        df.write.options(**(options or {})).parquet(folder)
     finally:
         spark.conf.set(RELEASE, before)
     return spark.read.schema(df.schema).parquet(folder)

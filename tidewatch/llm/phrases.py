@@ -42,8 +42,12 @@ BITS = 1 << 26
 CHUNK_BITS = 1 << 14
 #: Bytes of text in a block; pairs that a task combines before sending.
 BLOCK_BYTES, COMBINED_PAIRS = 4_000_000, 4_000_000
-#: Spark's setting and value for the bytes of a batch that tasks get (a row more, at most); pairs and, about, suffixes of one they return.
+#: Spark's setting and value for the bytes of a batch that tasks get (a row more, at most).
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "1000000")
+#: Files of blocks: about a block a page. Otherwise a page ends after 100 rows at first, and writers and readers hold it whole,
+#: several times.
+BLOCK_FILES = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+#: Pairs and, about, suffixes of a batch that they return.
 BATCH_PAIRS, BATCH_SUFFIXES = 1 << 18, 1 << 16
 #: Suffixes of a group, about, and of a prefix before it is extended.
 GROUP_SUFFIXES = 1_000_000
@@ -342,7 +346,7 @@ def phrase_counts(docs: DataFrame, least: int = 100) -> tuple[DataFrame, DataFra
     spark = docs.sparkSession
     with with_setting(spark, *BATCH_BYTES):
         rows = docs.where("text IS NOT NULL").select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-        blocks = staged(rows.mapInArrow(_make_blocks, _ddl(BLOCKS)), "word-blocks")
+        blocks = staged(rows.mapInArrow(_make_blocks, _ddl(BLOCKS)), "word-blocks", options=BLOCK_FILES)
         counted = blocks.mapInArrow(_count_words, _ddl(WORDS)).groupBy("lang", "word").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
         words = staged(counted.where(F.col("word").isNull() | (F.col("n") >= least)), "words")
         known = words.where("word IS NOT NULL")
