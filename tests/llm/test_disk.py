@@ -1,11 +1,14 @@
-"""What a finished pass leaves on disk."""
+"""What a finished pass leaves on disk, and what its plan would send to every executor."""
 
 from __future__ import annotations
 
 import time
 from pathlib import Path
 
-from tidewatch.llm import substrings
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.llm import minwise, simhash, substrings
 
 
 def _shuffled(spark) -> int:
@@ -32,3 +35,20 @@ def test_the_first_pass_gives_back_its_disk(spark, tmp_path):
     assert set(shared.glob("units-*")) == units
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert result.count() == 400
+
+
+@pytest.mark.parametrize("links", ["simhash", "minwise"])
+def test_rows_made_for_every_kind_of_key_are_not_broadcast(spark, links):
+    """Spark sizes what mapInArrow gives at what it gets: a table under the limit becomes one far above it."""
+    if links == "simhash":
+        joined = simhash.links(spark.range(4000).select(F.xxhash64("id").alias("fingerprint")))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    else:
+        prints = spark.range(40).select(F.xxhash64("id").alias("node"), F.expr(f"CAST(repeat('ab', {minwise.SLOTS // 2}) AS binary)").alias("print"))
+        plans, write = [], minwise.staged
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(minwise, "staged", lambda df, purpose: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, purpose))
+            joined = minwise.links(prints)
+        plan = plans[0]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    joined.count()

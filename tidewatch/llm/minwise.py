@@ -131,7 +131,8 @@ def links(nodes: DataFrame) -> DataFrame:
     """Links (a, b) between ``node``s by their ``print``s. Prints meet keys only where a key is shared."""
     banded = nodes.mapInArrow(_banded, "band int, key long, node long, place long")
     shared = banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    met = staged(banded.join(shared, ["band", "key"]).withColumn("part", F.pmod("place", F.ceil(F.col("n") / PART).cast("long"))), "bands")
+    # As in op2's search: a row for each band is more than Spark expects of mapInArrow, so it must not choose a broadcast.
+    met = staged(banded.join(shared.hint("merge"), ["band", "key"]).withColumn("part", F.pmod("place", F.ceil(F.col("n") / PART).cast("long"))), "bands")
 
     def led(rows: DataFrame) -> DataFrame:
         order = ["band", "key", "part"]

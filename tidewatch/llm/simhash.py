@@ -164,7 +164,8 @@ def links(distinct: DataFrame) -> DataFrame:
     keyed = distinct.mapInArrow(_keys, "kind int, key long, fingerprint long, mixed long")
     sizes = keyed.groupBy("kind", "key").agg(F.count("*").alias("n")).where("n > 1")
     cut = sizes.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
-    own = keyed.join(cut, ["kind", "key"]).withColumn("block", F.pmod("mixed", "blocks"))
+    # Spark takes mapInArrow to give as many rows as it gets, so it sizes both sides at a 24th and would broadcast one.
+    own = keyed.join(cut.hint("merge"), ["kind", "key"]).withColumn("block", F.pmod("mixed", "blocks"))
     paired = own.select("kind", "key", "fingerprint", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     rows = paired.select(
         "kind", "key", "fingerprint", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
