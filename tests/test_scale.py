@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from contract import adapters
@@ -110,3 +111,26 @@ def test_a_small_batch_of_files_is_read_by_all_cores(spark, tmp_path):
     rows = exports.scan_export_zip(spark, str(tmp_path / "z"))
     held = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(held) == min(8, spark.sparkContext.defaultParallelism) and sum(r["count"] for r in held) == 8
+
+
+def test_the_next_batch_is_worked_out_while_one_is_written(spark, tmp_path, monkeypatch):
+    """Also where it meets keys that the load before it records, or withdraws since its export is tried again."""
+    from tidewatch.plans import load
+
+    landing, tables = tmp_path / "z", EventTables(spark, str(tmp_path / "t"))
+    write_export(landing, A, [line(GLOBALEVENTID="5")])
+    write_export(landing, B, [line(GLOBALEVENTID="7")])
+    with monkeypatch.context() as patch:
+        patch.setattr(load.lg, "completed", lambda *_: 1 / 0)  # the keys are recorded, the exports are not completed
+        with pytest.raises(ZeroDivisionError):
+            load_landing(spark, tables, str(landing), AS_OF)
+    write_export(landing, A, [line(GLOBALEVENTID="6")])
+    write_export(landing, B, [line(GLOBALEVENTID="7"), line(GLOBALEVENTID="5"), line(GLOBALEVENTID="6")])
+    steps, parse, publish = [], load._Batch.parse, load._publish
+    monkeypatch.setattr(load._Batch, "parse", lambda batch: (steps.append("parsed"), parse(batch)))
+    monkeypatch.setattr(load, "_publish", lambda batch: (publish(batch), steps.append("written"))[0])
+    assert load_landing(spark, tables, str(landing), AS_OF, exports_per_load=1) == 2
+    assert steps[:2] == ["parsed", "parsed"] and steps.count("written") == 2
+    stored = {(r.global_event_id, r.export_key[-14:]) for r in tables.read("raw_events").collect()}
+    assert stored == {(6, A), (7, B), (5, B)}
+    assert sorted(r.global_event_id for r in tables.keys().table.read().collect()) == [5, 6, 7]
