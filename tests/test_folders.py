@@ -72,3 +72,19 @@ def test_many_folders_are_moved_by_few_calls_and_a_repeat_goes_on(spark, tables,
     stored = EventTables(spark, tables.root).read("normalized_events")
     assert stored.count() == 58 and stored.filter("country_code = 'NO'").count() == 58
     assert len(set(stored.inputFiles())) == 58 and files.children(spark, f"{tables.root}/_repairs") == []
+
+
+def test_a_repair_computes_its_rows_twice_only(spark, tmp_path):
+    """Once for the names of touched partitions, once for their rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    made = spark.sql("SELECT id, id = 3 AS _changed, id = 5 AS _deleted, IF(id = 9, NULL, id % 4) AS part FROM range(12)")
+    folder = repairs.prepare(spark, str(tmp_path), "t", made.mapInArrow(counted, made.schema), ["part"])
+    assert seen.value == 24
+    assert sorted(r.id for r in spark.read.parquet(f"{folder}/new").collect()) == [1, 3, 7, 11]
+    assert repairs.prepare(spark, str(tmp_path), "t", made.withColumns({"_changed": F.lit(False), "_deleted": F.lit(False)}), ["part"]) is None
